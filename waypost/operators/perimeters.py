@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from waypost.functions.numbers import to_number
 from waypost.functions.text import upper_trim
-from waypost.operators.routes import ROUTE, _outcome_share, _rates, _segment_rate, _share, _totals, country_top_iata, top_categories
+from waypost.operators.routes import ROUTE, _outcome_share, _rates_first, _segment_rate, _share, _totals, country_top_iata, top_categories
 from waypost.sources import vocab
 
 # Perimeter key -> (traveller column, alarm column).
@@ -203,7 +203,7 @@ def traveler_routes_by_perimeter(tagged: DataFrame, k_nat: int = 3, k_doc: int =
         aggs += [_segment_rate(hit).alias(f"alert_rate_nat_{i}"), _share(hit).alias(f"pct_nat_{i}")]
     aggs += [_segment_rate(F.col("_doc") == i).alias(f"alert_rate_doc_{i}") for i in range(1, k_doc + 1)]
     aggs += [_outcome_share(F.col("_out") == i).alias(f"pct_outcome_{i}") for i in range(1, k_out + 1)]
-    return wide.groupBy(*by, *ROUTE).agg(*aggs).withColumns(_rates())
+    return _rates_first(wide.groupBy(*by, *ROUTE).agg(*aggs), [*by, *ROUTE])
 
 
 def _slots(k_nat: int, k_doc: int, k_out: int):

@@ -239,7 +239,14 @@ def traveler_routes(reduced: DataFrame, cats: Categories) -> DataFrame:
         aggs += [_segment_rate(F.col("nationality") == v).alias(f"alert_rate_{v}"), _share(F.col("nationality") == v).alias(f"pct_nat_{v}")]
     aggs += [_segment_rate(F.col("document_type2") == v).alias(f"alert_rate_doc_{v}") for v in cats.documents]
     aggs += [_outcome_share(F.col("control_outcome") == v).alias(f"pct_{v}") for v in cats.outcomes]
-    return reduced.groupBy(*ROUTE).agg(*aggs).withColumns(_rates())
+    return _rates_first(reduced.groupBy(*ROUTE).agg(*aggs), ROUTE)
+
+
+def _rates_first(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Totals, then route rates, then segment columns: the feature order."""
+    totals = ["tot_entries", "tot_investigated", "tot_alarms", "n_records"]
+    segments = [c for c in df.columns if c not in (*keys, *totals)]
+    return df.withColumns(_rates()).select(*keys, *totals, *_rates(), *[q_col(c) for c in segments])
 
 
 def fill_numeric0(df: DataFrame) -> DataFrame:
