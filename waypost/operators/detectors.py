@@ -14,8 +14,7 @@ from waypost.operators.features import feature_matrix, scaled_vectors, select_fe
 from waypost.operators.forest import PANEL_TREES, TREES, isolation_scores
 from waypost.operators.neighbors import (
     BLOCK_ROWS,
-    dbscan_params,
-    dbscan_points,
+    density_points,
     lof_points,
     neighborhood,
     point_scores,
@@ -54,20 +53,33 @@ def robust_z(
     A zero MAD is floored, so any departure from the median is flagged;
     ``mad_zero="skip"`` leaves such columns out instead.
     """
-    names = [f"_x{i}" for i in range(len(cols))]
-    base = df.select(*by, *key, *[F.col(q(c)).cast("double").alias(n) for c, n in zip(cols, names)])
-    med = quantiles(base, names, [0.5], by, rows=rows)
-    med = med.select(*by, *[F.col(n)[0].alias(f"_m{i}") for i, n in enumerate(names)])
-    dev = attach(base, med, by).select(*by, *key, *[F.abs(F.col(n) - F.col(f"_m{i}")).alias(n) for i, n in enumerate(names)])
-    mad = quantiles(dev, names, [0.5], by, rows=rows)
-    mad = mad.select(*by, *[(F.col(n)[0] / MAD_TO_SIGMA).alias(f"_s{i}") for i, n in enumerate(names)])
-    scaled: list[Column] = []
-    for i, n in enumerate(names):
-        sigma = F.col(f"_s{i}")
-        z = F.col(n) / F.greatest(sigma, F.lit(MAD_FLOOR))
-        scaled.append(F.when(sigma < MAD_FLOOR, 0.0).otherwise(z) if mad_zero == "skip" else z)
-    z_max = F.greatest(*scaled) if len(scaled) > 1 else scaled[0]
-    return attach(dev, mad, by).select(*by, *key, z_max.alias("z_max"), (z_max > t).cast("int").alias("z_anomaly"))
+    vectors = df.select(*by, *key, F.array(*[F.col(q(c)).cast("double") for c in cols]).alias("x"))
+    return robust_z_vectors(vectors, "x", key, t, by, rows, mad_zero)
+
+
+def robust_z_vectors(
+    df: DataFrame, vec: str, key: Sequence[str], t: float = 3.0, by: Sequence[str] = (), rows: int | None = None, mad_zero: str = "floor",
+) -> DataFrame:
+    """``robust_z`` on an array column."""
+    n = df.count() if rows is None else rows
+
+    def middle(vectors: DataFrame, name: str) -> DataFrame:
+        cells = vectors.select(*by, F.posexplode("x").alias("_i", "_v"))
+        per = quantiles(cells, ["_v"], [0.5], [*by, "_i"], rows=n).select(*by, "_i", F.col("_v")[0].alias("m"))
+        packed = F.transform(F.array_sort(F.collect_list(F.struct("_i", "m"))), lambda s: s["m"]).alias(name)
+        return per.groupBy(*by).agg(packed) if by else per.agg(packed)
+
+    base = df.select(*by, *key, F.col(vec).alias("x"))
+    centred = attach(base, middle(base, "_med"), by)
+    dev = centred.select(*by, *key, F.zip_with("x", "_med", lambda v, m: F.abs(v - m)).alias("x"))
+
+    def scaled(d: Column, mad: Column) -> Column:
+        z = d / F.greatest(mad / MAD_TO_SIGMA, F.lit(MAD_FLOOR))
+        return F.when(mad / MAD_TO_SIGMA < MAD_FLOOR, 0.0).otherwise(z) if mad_zero == "skip" else z
+
+    z_max = F.array_max(F.zip_with("x", "_mad", scaled))
+    wide = attach(dev, middle(dev, "_mad"), by).select(*by, *key, z_max.alias("z_max"))
+    return wide.withColumn("z_anomaly", (F.col("z_max") > t).cast("int"))
 
 
 def sigma_z(df: DataFrame, col: str, t: float = 3.0) -> DataFrame:
@@ -121,16 +133,14 @@ def fit_detectors(
     forest = flag_top(materialize(forest), "if_raw", contamination, "if_anomaly", by, n, severity="if_score").drop("if_raw")
 
     nb = neighborhood(matrix, key, "x", by, block_rows=block_rows)
-    params = materialize(dbscan_params(nb))
-    density = lof_points(nb).join(dbscan_points(nb, params=params).drop("eps"), [*by, "p"], "full")
-    density = materialize(point_scores(nb, key, density))
+    marks, params = density_points(nb)
+    density = materialize(point_scores(nb, key, marks))
     density = flag_top(density, "lof_score", contamination, "lof_anomaly", by, n)
 
-    wide = matrix.select(*by, key, *[F.col("x")[i].alias(f"f{i}") for i in range(len(chosen))])
-    z = robust_z(wide, [f"f{i}" for i in range(len(chosen))], [key], by=by, rows=n)
+    z = robust_z_vectors(matrix, "x", [key], by=by, rows=n)
 
     on = [*by, key]
-    scored = routes.join(forest, on, "left").join(density.drop("core"), on, "left").join(z, on, "left")
+    scored = routes.join(forest, on, "left").join(density, on, "left").join(z, on, "left")
     scored = scored.withColumns({f: F.coalesce(F.col(f), F.lit(0)) for f in FLAGS})
     scored = guard_min_rows(consensus(scored), min_rows, scores=["if_score", "lof_score", "z_max"], by=by)
     if dbscan_info:

@@ -63,16 +63,28 @@ def standard_scale(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = (),
 
 def feature_matrix(df: DataFrame, cols: Sequence[str], key: str, by: Sequence[str] = ()) -> DataFrame:
     """Key and one array column ``x`` of scaled log features, in ``cols`` order."""
-    logs = log1p_features(df, cols, keep=[*by, key])
-    scaled = standard_scale(logs, cols, keep=[key], by=by)
-    return scaled.select(*by, key, F.array(*[F.col(q(c)) for c in cols]).alias("x"))
+    return scale_vectors(df.select(*by, key, F.array(*[_log1p(c) for c in cols]).alias("x")), key, by)
 
 
 def scaled_vectors(df: DataFrame, cols: Sequence[str], key: str, by: Sequence[str] = ()) -> DataFrame:
     """As ``feature_matrix`` without the logarithm."""
-    filled = df.select(*by, key, *[F.coalesce(F.col(q(c)).cast("double"), F.lit(0.0)).alias(c) for c in cols])
-    scaled = standard_scale(filled, cols, keep=[key], by=by)
-    return scaled.select(*by, key, F.array(*[F.col(q(c)) for c in cols]).alias("x"))
+    raw = [F.coalesce(F.col(q(c)).cast("double"), F.lit(0.0)) for c in cols]
+    return scale_vectors(df.select(*by, key, F.array(*raw).alias("x")), key, by)
+
+
+def scale_vectors(df: DataFrame, key: str, by: Sequence[str] = ()) -> DataFrame:
+    """Standardise an array column ``x`` position by position.
+
+    Moments are aggregated per position, which keeps the generated code small
+    for any number of features and still combines map-side.
+    """
+    cells = df.select(*by, F.posexplode("x").alias("_i", "_v"))
+    moments = cells.groupBy(*by, "_i").agg(F.avg("_v").alias("mu"), F.stddev_pop("_v").alias("sd"))
+    packed = F.array_sort(F.collect_list(F.struct("_i", "mu", "sd"))).alias("_m")
+    stats = moments.groupBy(*by).agg(packed) if by else moments.agg(packed)
+    wide = attach(df.select(*by, key, "x"), stats, by)
+    scaled = F.zip_with("x", "_m", lambda v, m: F.when(m["sd"] > 0, (v - m["mu"]) / m["sd"]).otherwise(0.0))
+    return wide.select(*by, key, scaled.alias("x"))
 
 
 def scaler_check(df: DataFrame, cols: Sequence[str]) -> DataFrame:

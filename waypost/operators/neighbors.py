@@ -24,7 +24,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from waypost.operators.stats import quantiles
+from waypost.operators.stats import attach, quantiles
 from waypost.session import materialize
 
 BLOCK_ROWS = 2048
@@ -58,10 +58,14 @@ def _nearest(dist: np.ndarray, k: int) -> np.ndarray:
     """Column indexes of the ``k`` smallest per row, ties by column index."""
     if k >= dist.shape[1]:
         return np.argsort(dist, axis=1, kind="stable")
-    cut = np.partition(dist, k - 1, axis=1)[:, k - 1 : k]
-    # Everything beyond the cut goes last; a stable sort settles ties by index.
-    order = np.argsort(np.where(dist <= cut, dist, np.inf), axis=1, kind="stable")
-    return order[:, :k]
+    chosen = np.argpartition(dist, k - 1, axis=1)[:, :k]
+    near = np.take_along_axis(dist, chosen, axis=1)
+    chosen = np.take_along_axis(chosen, np.lexsort((chosen, near), axis=1), axis=1)
+    # Where equal distances straddle the cut the choice was arbitrary: sort those rows fully.
+    tied = np.flatnonzero((dist <= near.max(axis=1)[:, None]).sum(axis=1) > k)
+    if len(tied):
+        chosen[tied] = np.argsort(dist[tied], axis=1, kind="stable")[:, :k]
+    return chosen
 
 
 @dataclass(frozen=True)
@@ -579,6 +583,43 @@ def dbscan_points(nb: Neighborhood, min_samples: Column | None = None, params: D
     return joined.select(*by, "p", F.col("core").cast("int").alias("core"), noise.alias("dbscan_anomaly"), "eps")
 
 
+def density_points(nb: Neighborhood, k: int = 20) -> tuple[DataFrame, DataFrame]:
+    """LOF and DBSCAN noise together: ``by, p, lof_score, dbscan_anomaly``, and the
+    DBSCAN parameters per scope.
+
+    Both look the same neighbours up, so they share the two joins.
+    """
+    by = nb.by
+    sized = _with_size(nb.edges, nb).withColumns({"k": lof_neighbors(F.col("n"), k), "m": dbscan_min_samples(F.col("n"))})
+    used = sized.withColumn("lw", F.greatest(F.lit(0), F.least(F.col("w"), F.col("k") - F.col("before"))))
+    reach = used.groupBy(*by, "p").agg(
+        F.max(F.when(F.col("lw") > 0, F.col("dist"))).alias("kdist"),
+        F.max(F.when(F.col("before") < F.col("m") - 1, F.col("dist"))).alias("ddist"),
+        F.first("n").alias("n"),
+        F.first("m").cast("bigint").alias("min_samples"),
+    )
+    reach = materialize(nb.points.select(*by, "p", F.col("w").alias("copies")).join(reach, [*by, "p"]))
+    eps = quantiles(reach, ["ddist"], [0.95], by, weight="copies", rows=nb.rows)
+    sizes = reach.groupBy(*by).agg(F.first("n").alias("n"), F.first("min_samples").alias("min_samples"))
+    params = materialize(attach(sizes, eps.select(*by, F.col("ddist")[0].alias("eps")), by))
+
+    own = attach(reach, params.select(*by, "eps"), by).withColumn("core", F.col("ddist") <= F.col("eps"))
+    other = own.select(*by, F.col("p").alias("o"), "kdist", F.col("core").alias("core_o"), "eps")
+    looked = used.join(other, [*by, "o"])
+    reachable = F.greatest("kdist", "dist")
+    lrd = looked.groupBy(*by, "p").agg(
+        (1.0 / (F.sum(F.col("lw") * reachable) / F.sum("lw") + 1e-10)).alias("lrd"),
+        F.max(F.when((F.col("p") != F.col("o")) & (F.col("dist") <= F.col("eps")), F.col("core_o").cast("int"))).alias("touches"),
+    )
+    lrd = materialize(lrd)
+    around = used.filter(F.col("lw") > 0).join(lrd.select(*by, F.col("p").alias("o"), F.col("lrd").alias("lrd_o")), [*by, "o"])
+    mean = around.groupBy(*by, "p").agg((F.sum(F.col("lw") * F.col("lrd_o")) / F.sum("lw")).alias("_around"))
+    joined = own.join(lrd, [*by, "p"]).join(mean, [*by, "p"], "left")
+    enough = F.col("n") >= F.col("min_samples") + 1
+    noise = enough & ~F.col("core") & (F.coalesce("touches", F.lit(0)) == 0)
+    return joined.select(*by, "p", (F.col("_around") / F.col("lrd")).alias("lof_score"), noise.cast("int").alias("dbscan_anomaly")), params
+
+
 def point_scores(nb: Neighborhood, key: str, scores: DataFrame) -> DataFrame:
     return _to_rows(nb.source, key, nb.by, nb.points, scores)
 

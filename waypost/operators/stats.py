@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from waypost.sources.files import q
 
-MAX_BUFFERED = 2_000_000
+MAX_BUFFERED = 1_000_000
 BUCKETS = 256
 
 

@@ -21,7 +21,7 @@ DIM = len(FEATURES)
 
 
 def matrix_of(spark: SparkSession, sf: str) -> DataFrame:
-    return feature_matrix(routes_of(spark, sf), FEATURES, "route")
+    return feature_matrix(materialize(routes_of(spark, sf)), FEATURES, "route")
 
 
 SQ = " + ".join(f"(a.f{i} - b.f{i}) * (a.f{i} - b.f{i})" for i in range(DIM))
