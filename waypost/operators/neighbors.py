@@ -2,12 +2,12 @@
 
 Points with equal vectors are collapsed into one point with a multiplicity
 before anything is compared, so a group of copies costs one row however large
-it is. The remaining points are split into blocks of bounded size around
-sampled centres. A block is searched by a small NumPy kernel that returns only
-the ``k`` best rows (or a count, or a spanning forest) per query, never the
-pairs it looked at. Other blocks are visited only if the triangle inequality
-allows a nearer point in them, and the queries sent to one block are cut into
-bounded chunks. The result is exact.
+it is. The remaining points are split into blocks of bounded size by median
+cuts learned from a sample. A block is searched by a small NumPy kernel that
+returns only the ``k`` best rows (or a count, or a spanning forest) per query,
+never the pairs it looked at. Other blocks are visited only if their bounding
+box is near enough, and the queries sent to one block are cut into bounded
+chunks. The result is exact.
 """
 
 from __future__ import annotations
@@ -30,6 +30,7 @@ from waypost.session import materialize
 BLOCK_ROWS = 2048
 QUERY_CHUNK = 8192
 MAX_BLOCKS = 50_000
+MAX_SAMPLE = 200_000
 _TILE = 256
 _SLACK = 1 + 1e-9
 
@@ -54,18 +55,61 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(out)
 
 
-def _nearest(dist: np.ndarray, k: int) -> np.ndarray:
-    """Column indexes of the ``k`` smallest per row, ties by column index."""
-    if k >= dist.shape[1]:
-        return np.argsort(dist, axis=1, kind="stable")
-    chosen = np.argpartition(dist, k - 1, axis=1)[:, :k]
-    near = np.take_along_axis(dist, chosen, axis=1)
-    chosen = np.take_along_axis(chosen, np.lexsort((chosen, near), axis=1), axis=1)
-    # Where equal distances straddle the cut the choice was arbitrary: sort those rows fully.
-    tied = np.flatnonzero((dist <= near.max(axis=1)[:, None]).sum(axis=1) > k)
-    if len(tied):
-        chosen[tied] = np.argsort(dist[tied], axis=1, kind="stable")[:, :k]
-    return chosen
+def _rough(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Squared distances by one matrix product, and their error bound per row.
+
+    Cancellation makes them inexact, so they only preselect; whatever they
+    cannot decide is computed again from the differences.
+    """
+    aa, bb = (a * a).sum(axis=1), (b * b).sum(axis=1)
+    rough = aa[:, None] - 2 * (a @ b.T) + bb[None, :]
+    bound = (aa + bb.max(initial=0.0)) * (8 * (a.shape[1] + 4) * np.finfo(float).eps)
+    return rough, bound
+
+
+def _nearest(a: np.ndarray, b: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Indexes into ``b`` and distances of the ``k`` nearest per row of ``a``, ties by index."""
+    n = len(b)
+    k = min(k, n)
+    spare = min(k + 8, n)
+    if spare == n:
+        dist = _distances(a, b)
+        chosen = np.argsort(dist, axis=1, kind="stable")[:, :k]
+        return chosen, np.take_along_axis(dist, chosen, axis=1)
+    rough, bound = _rough(a, b)
+    chosen = np.argpartition(rough, (k - 1, spare - 1), axis=1)[:, :spare]
+    picked = np.take_along_axis(rough, chosen, axis=1)
+    unsafe = picked[:, spare - 1] <= picked[:, k - 1] + 4 * bound
+    near = np.zeros(chosen.shape)
+    for j in range(a.shape[1]):
+        diff = a[:, j, None] - b[chosen, j]
+        near += diff * diff
+    near = np.sqrt(near)
+    order = np.lexsort((chosen, near), axis=1)[:, :k]
+    chosen, near = np.take_along_axis(chosen, order, axis=1), np.take_along_axis(near, order, axis=1)
+    again = np.flatnonzero(unsafe)
+    if len(again):
+        dist = _distances(a[again], b)
+        full = np.argsort(dist, axis=1, kind="stable")[:, :k]
+        chosen[again], near[again] = full, np.take_along_axis(dist, full, axis=1)
+    return chosen, near
+
+
+def _within(a: np.ndarray, b: np.ndarray, radius: np.ndarray) -> np.ndarray:
+    """Whether each point of ``b`` is within its row's radius."""
+    rough, bound = _rough(a, b)
+    limit = (radius * radius)[:, None]
+    slack = (4 * bound + 1e-12 * radius * radius)[:, None]
+    near = rough <= limit - slack
+    qi, bi = np.nonzero(~near & (rough <= limit + slack))
+    for start in range(0, len(qi), 1 << 16):
+        q, p = qi[start : start + (1 << 16)], bi[start : start + (1 << 16)]
+        exact = np.zeros(len(q))
+        for j in range(a.shape[1]):
+            diff = a[q, j] - b[p, j]
+            exact += diff * diff
+        near[q, p] = np.sqrt(exact) <= radius[q]
+    return near
 
 
 @dataclass(frozen=True)
@@ -94,12 +138,11 @@ class _TopK:
         found: list[np.ndarray] = []
         for start in range(0, len(qx), _TILE):
             tile = qx[start : start + _TILE]
-            dist = _distances(tile, bx)
             # The extra entry makes room for the query itself, dropped below.
-            take = _nearest(dist, min(self.k + 1, dist.shape[1]))
+            take, near = _nearest(tile, bx, self.k + 1)
             q_index.append(np.repeat(np.arange(start, start + len(tile)), take.shape[1]))
             b_index.append(take.ravel())
-            found.append(np.take_along_axis(dist, take, axis=1).ravel())
+            found.append(near.ravel())
         qi = np.concatenate(q_index) if q_index else np.zeros(0, dtype=np.int64)
         bi = np.concatenate(b_index) if b_index else np.zeros(0, dtype=np.int64)
         d = np.concatenate(found) if found else np.zeros(0)
@@ -127,7 +170,7 @@ class _CountWithin:
         weight = base.column("w").to_numpy()
         parts = []
         for start in range(0, len(qx), _TILE):
-            near = _distances(qx[start : start + _TILE], bx) <= radius[start : start + _TILE, None]
+            near = _within(qx[start : start + _TILE], bx, radius[start : start + _TILE])
             parts.append(near @ weight)
         out = {name: queries.column(name) for name in [*by, "p"]}
         out["n"] = pa.array(np.concatenate(parts).astype(np.int64) if parts else np.zeros(0, dtype=np.int64))
@@ -155,7 +198,7 @@ class _Forest:
         order = pc.rank(keys, tiebreaker="dense").to_numpy().astype(np.int64)
         near = np.zeros((len(qx), len(bx)), dtype=bool)
         for start in range(0, len(qx), _TILE):
-            near[start : start + _TILE] = _distances(qx[start : start + _TILE], bx) <= radius[start : start + _TILE, None]
+            near[start : start + _TILE] = _within(qx[start : start + _TILE], bx, radius[start : start + _TILE])
         left, right = order[: len(qx)].copy(), order[len(qx) :].copy()
         top = order.max(initial=0) + 1
         changed = True
@@ -200,7 +243,7 @@ class Blocks:
     """Base points with a block number, and one descriptor per block."""
 
     points: DataFrame  # by, p, w, x, blk
-    centres: list[tuple]  # (by values, centre, inner radius, outer radius, block number)
+    boxes: list[tuple]  # (by values, lower corner, upper corner, block number)
     by: list[str]
     key_type: T.DataType
     by_fields: list[T.StructField]
@@ -209,87 +252,108 @@ class Blocks:
     @property
     def single(self) -> bool:
         """True when every scope fits one block, so no other block exists."""
-        return not self.centres
+        return not self.boxes
 
 
-def _sq_to_centres(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
-    return ((x * x).sum(1)[:, None] - 2 * x @ centres.T + (centres * centres).sum(1)[None, :]).clip(min=0)
+def _median_cuts(sample: np.ndarray, leaves: int) -> tuple[np.ndarray, np.ndarray]:
+    """Cut dimension and value of every inner node of a complete binary tree.
+
+    Each node cuts its widest dimension at the median of its sample.
+    """
+    depth = max(1, math.ceil(math.log2(max(leaves, 2))))
+    inner = 2**depth - 1
+    dims, cuts = np.zeros(inner, dtype=np.int64), np.zeros(inner)
+    held = {0: sample}
+    for node in range(inner):
+        part = held.pop(node)
+        if len(part):
+            dims[node] = int(part.std(axis=0).argmax())
+            column = part[:, dims[node]]
+            cuts[node] = float(np.median(column))
+            if cuts[node] >= column.max():  # many equal values at the top
+                lower = column[column < cuts[node]]
+                cuts[node] = float(lower.max()) if len(lower) else cuts[node]
+        left = part[:, dims[node]] <= cuts[node]
+        if 2 * node + 2 < inner:
+            held[2 * node + 1], held[2 * node + 2] = part[left], part[~left]
+    return dims, cuts
+
+
+def _leaf(x: np.ndarray, dims: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+    node = np.zeros(len(x), dtype=np.int64)
+    rows = np.arange(len(x))
+    while len(node) and node[0] < len(dims):
+        node = 2 * node + 1 + (x[rows, dims[node]] > cuts[node])
+    return (node - len(dims)).astype(np.int32)
 
 
 def make_blocks(points: DataFrame, by: Sequence[str] = (), block_rows: int = BLOCK_ROWS, rows: int | None = None) -> Blocks:
-    """Split points into blocks of about ``block_rows`` around sampled centres.
+    """Split points into blocks of about ``block_rows``.
 
     ``points`` has ``by``, ``p``, ``w`` and ``x`` and should be materialized.
-    Scopes that fit one block are one block. For larger ones the driver keeps
-    one centre and two radii per block; blocks grow with the data, so there
-    are never more than about ``MAX_BLOCKS`` of them.
+    Scopes that fit one block are one block. For larger ones the driver sees a
+    bounded sample and keeps one bounding box per block; blocks grow with the
+    data, so there are never more than about ``MAX_BLOCKS`` of them.
     """
     by = list(by)
     n = points.count() if rows is None else rows
     fields = [points.schema[c] for c in by]
     key_type = points.schema["p"].dataType
-    scope = [F.col(c) for c in by]
+    whole = Blocks(points.withColumn("blk", F.lit(0)), [], by, key_type, fields)
     if n <= block_rows:
-        return Blocks(points.withColumn("blk", F.lit(0)), [], by, key_type, fields)
+        return whole
     size = max(block_rows, math.ceil(n / MAX_BLOCKS))
     sizes = points.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > size).collect()
     if not sizes:
-        return Blocks(points.withColumn("blk", F.lit(0)), [], by, key_type, fields)
+        return whole
 
-    # Centres: the points with the smallest key hash in each large scope.
-    wanted = points.sparkSession.createDataFrame(
-        [(*[r[c] for c in by], math.ceil(r["n"] / size), r["n"]) for r in sizes],
-        T.StructType([*fields, T.StructField("c", T.LongType()), T.StructField("n", T.LongType())]),
-    )
+    # A sample by key hash, shared out by scope size and bounded in total.
+    per_leaf = max(2, min(32, MAX_SAMPLE // math.ceil(n / size)))
     if by:
-        joined = points.join(F.broadcast(wanted), by)
+        large = points.sparkSession.createDataFrame(
+            [(*[r[c] for c in by], r["n"]) for r in sizes], T.StructType([*fields, T.StructField("_n", T.LongType())])
+        )
+        inside = points.join(F.broadcast(large), by)
     else:
-        joined = points.withColumns({"c": F.lit(math.ceil(n / size)), "n": F.lit(n)})
-    hashed = joined.withColumn("_h", F.pmod(F.xxhash64("p"), F.lit(1 << 40)) / float(1 << 40))
-    # Keep roughly the wanted number of hashes before the exchange, with room.
-    likely = hashed.filter(F.col("_h") <= (F.col("c") + 8 * F.sqrt(F.col("c")) + 16) / F.col("n"))
-    place = F.row_number().over(W.partitionBy(*(scope or [F.lit(0)])).orderBy("_h", "p"))
-    picked = likely.withColumn("_r", place).filter(F.col("_r") <= F.col("c")).select(*by, "x", "_r").collect()
-    centres: dict[tuple, list] = {}
-    for r in sorted(picked, key=lambda r: r["_r"]):
-        centres.setdefault(tuple(r[c] for c in by), []).append(r["x"])
-    packed = points.sparkSession.sparkContext.broadcast({s: np.array(c) for s, c in centres.items()})
-
-    out_schema = T.StructType([*fields, *[points.schema[c] for c in ("p", "w", "x")], T.StructField("cell", T.IntegerType()), T.StructField("r", T.DoubleType())])
+        inside = points.withColumn("_n", F.lit(n))
+    wanted = F.ceil(F.col("_n") / size) * per_leaf
+    draw = F.pmod(F.xxhash64("p"), F.lit(1 << 40)) / float(1 << 40)
+    samples: dict[tuple, list] = {}
+    for r in inside.filter(draw <= wanted / F.col("_n")).select(*by, "p", "x").orderBy("p").collect():
+        samples.setdefault(tuple(r[c] for c in by), []).append(r["x"])
+    cut = {tuple(r[c] for c in by): math.ceil(r["n"] / size) for r in sizes}
+    trees = {s: _median_cuts(np.array(samples[s]), leaves) for s, leaves in cut.items() if s in samples}
+    packed = points.sparkSession.sparkContext.broadcast(trees)
+    out_schema = T.StructType([*fields, *[points.schema[c] for c in ("p", "w", "x")], T.StructField("cell", T.IntegerType())])
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             table = pa.Table.from_batches([batch])
             x = _vectors(table)
             cell = np.zeros(len(x), dtype=np.int32)
-            radius = np.zeros(len(x))
-            scopes = list(zip(*[table.column(c).to_pylist() for c in by])) if by else [()] * len(x)
-            for s in set(scopes):
-                known = packed.value.get(s)
-                if known is None:
-                    continue
-                rows = np.flatnonzero([t == s for t in scopes]) if by else np.arange(len(x))
-                for start in range(0, len(rows), _TILE):
-                    part = rows[start : start + _TILE]
-                    near = _sq_to_centres(x[part], known).argmin(1)
-                    cell[part] = near
-                    radius[part] = np.sqrt(((x[part] - known[near]) ** 2).sum(1))
-            done = table.select([*by, "p", "w", "x"]).append_column("cell", pa.array(cell)).append_column("r", pa.array(radius))
-            yield from done.to_batches()
+            for s, rows in _by_scope(table, by, packed.value):
+                cell[rows] = _leaf(x[rows], *packed.value[s])
+            yield from table.select([*by, "p", "w", "x"]).append_column("cell", pa.array(cell)).to_batches()
 
     placed = materialize(points.select(*by, "p", "w", "x").mapInArrow(assign, out_schema))
     # A crowded cell is cut into chunks by key hash.
     crowd = placed.groupBy(*by, "cell").agg(F.count(F.lit(1)).alias("n"))
     chunks = crowd.select(*by, "cell", F.greatest(F.lit(1), F.ceil(F.col("n") / (2 * size))).alias("_chunks"))
     chunked = placed.join(F.broadcast(chunks), [*by, "cell"]).withColumn("chunk", F.pmod(F.xxhash64("p"), F.col("_chunks")))
-    meta = chunked.groupBy(*by, "cell", "chunk").agg(F.min("r").alias("lo"), F.max("r").alias("hi")).collect()
-    numbered = sorted(meta, key=lambda r: (*[str(r[c]) for c in by], r["cell"], r["chunk"]))
-    rows_out, descriptors, solo = [], [], {}
+    edges = (
+        chunked.select(*by, "cell", "chunk", F.posexplode("x").alias("_i", "_v"))
+        .groupBy(*by, "cell", "chunk", "_i")
+        .agg(F.min("_v").alias("lo"), F.max("_v").alias("hi"))
+        .groupBy(*by, "cell", "chunk")
+        .agg(F.array_sort(F.collect_list(F.struct("_i", "lo", "hi"))).alias("box"))
+    )
+    numbered = sorted(edges.collect(), key=lambda r: (*[str(r[c]) for c in by], r["cell"], r["chunk"]))
+    rows_out, boxes, solo = [], [], {}
     for i, r in enumerate(numbered):
         s = tuple(r[c] for c in by)
         rows_out.append((*s, r["cell"], r["chunk"], i))
-        if s in centres:
-            descriptors.append((s, np.array(centres[s][r["cell"]]), r["lo"], r["hi"], i))
+        if s in trees:
+            boxes.append((s, np.array([e["lo"] for e in r["box"]]), np.array([e["hi"] for e in r["box"]]), i))
         else:
             solo[s] = i
     names = points.sparkSession.createDataFrame(
@@ -297,7 +361,19 @@ def make_blocks(points: DataFrame, by: Sequence[str] = (), block_rows: int = BLO
         T.StructType([*fields, T.StructField("cell", T.IntegerType()), T.StructField("chunk", T.LongType()), T.StructField("blk", T.IntegerType())]),
     )
     blocked = chunked.join(F.broadcast(names), [*by, "cell", "chunk"]).select(*by, "p", "w", "x", "blk")
-    return Blocks(materialize(blocked), descriptors, by, key_type, fields, solo)
+    return Blocks(materialize(blocked), boxes, by, key_type, fields, solo)
+
+
+def _by_scope(table: pa.Table, by: list[str], known) -> Iterator[tuple[tuple, np.ndarray]]:
+    """Row numbers of each scope that occurs in ``known``."""
+    if not by:
+        if () in known:
+            yield (), np.arange(table.num_rows)
+        return
+    scopes = list(zip(*[table.column(c).to_pylist() for c in by]))
+    for s in set(scopes):
+        if s in known:
+            yield s, np.flatnonzero([t == s for t in scopes])
 
 
 def _search(queries: DataFrame, blocks: Blocks, kernel, own_block: bool) -> DataFrame:
@@ -341,16 +417,16 @@ def _route(queries: DataFrame, blocks: Blocks, own_block: bool) -> DataFrame:
     """One row per (query, block to visit)."""
     by = blocks.by
     by_scope: dict[tuple, list] = {}
-    for s, centre, lo, hi, i in blocks.centres:
-        by_scope.setdefault(s, []).append((centre, lo, hi, i))
+    for s, lo, hi, i in blocks.boxes:
+        by_scope.setdefault(s, []).append((lo, hi, i))
     packed = queries.sparkSession.sparkContext.broadcast(
         {s: tuple(np.array(v) for v in zip(*items)) for s, items in by_scope.items()}
     )
     # A scope that fits one block has nowhere else to look.
     solo = queries.sparkSession.sparkContext.broadcast(blocks.solo if own_block else {})
     has_home = "blk" in queries.columns
-    cols = [*by, "p", "x", "reach", *(["blk"] if has_home else [])]
-    schema = T.StructType([*[queries.schema[c] for c in [*by, "p", "x", "reach"]], T.StructField("blk", T.IntegerType())])
+    cols = [*by, "p", "x", "reach"]
+    schema = T.StructType([*[queries.schema[c] for c in cols], T.StructField("blk", T.IntegerType())])
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -358,29 +434,27 @@ def _route(queries: DataFrame, blocks: Blocks, own_block: bool) -> DataFrame:
             x = _vectors(table)
             reach = table.column("reach").to_numpy()
             home = table.column("blk").to_numpy() if has_home else np.full(len(x), -1)
-            scopes = list(zip(*[table.column(c).to_pylist() for c in by])) if by else [()] * len(x)
-            for s in set(scopes):
-                rows = np.flatnonzero([t == s for t in scopes]) if by else np.arange(len(x))
-                if s in solo.value:
-                    only = np.full(len(rows), solo.value[s], dtype=np.int32)
-                    out = table.select([*by, "p", "x", "reach"]).take(pa.array(rows))
-                    yield from out.append_column("blk", pa.array(only)).to_batches()
-                known = packed.value.get(s)
-                if known is None:
-                    continue
-                centre, lo, hi, number = known
+            bare = table.select(cols)
+            for s, rows in _by_scope(table, by, solo.value):
+                only = np.full(len(rows), solo.value[s], dtype=np.int32)
+                yield from bare.take(pa.array(rows)).append_column("blk", pa.array(only)).to_batches()
+            for s, rows in _by_scope(table, by, packed.value):
+                lo, hi, number = packed.value[s]
                 for start in range(0, len(rows), _TILE):
                     part = rows[start : start + _TILE]
-                    d = _distances(x[part], centre)
-                    bound = np.maximum(np.maximum(d - hi, lo - d), 0.0)
-                    go = bound <= reach[part, None] * _SLACK + 1e-12
+                    gap = np.zeros((len(part), len(lo)))
+                    for j in range(lo.shape[1]):
+                        v = x[part, j, None]
+                        out = np.maximum(np.maximum(lo[None, :, j] - v, v - hi[None, :, j]), 0.0)
+                        gap += out * out
+                    go = np.sqrt(gap) <= reach[part, None] * _SLACK + 1e-12
                     if not own_block:
                         go &= number[None, :] != home[part, None]
                     qi, bi = np.nonzero(go)
-                    out = table.select([*by, "p", "x", "reach"]).take(pa.array(part[qi]))
-                    yield from out.append_column("blk", pa.array(number[bi].astype(np.int32))).to_batches()
+                    found = bare.take(pa.array(part[qi]))
+                    yield from found.append_column("blk", pa.array(number[bi].astype(np.int32))).to_batches()
 
-    return queries.select(*cols).mapInArrow(visit, schema)
+    return queries.select(*cols, *(["blk"] if has_home else [])).mapInArrow(visit, schema)
 
 
 def _best(edges: DataFrame, by: list[str], k: int) -> DataFrame:
