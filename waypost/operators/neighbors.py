@@ -389,10 +389,17 @@ def _search(queries: DataFrame, blocks: Blocks, kernel, own_block: bool) -> Data
         routed = queries.withColumn("blk", F.lit(0))
     else:
         routed = materialize(_route(queries, blocks, own_block))
-    load = routed.groupBy(*by, "blk").agg(F.count(F.lit(1)).alias("_n"))
-    load = load.select(*by, "blk", F.ceil(F.col("_n") / QUERY_CHUNK).cast("int").alias("_salts"))
-    base = blocks.points.join(load, [*by, "blk"]).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)))
-    salted = routed.join(load, [*by, "blk"]).withColumn("salt", F.pmod(F.xxhash64("p"), F.col("_salts")).cast("int"))
+    # With one block per scope the scope alone is the key; without scopes there
+    # is one count, which needs no join.
+    on = list(by) if blocks.single else [*by, "blk"]
+    salts = F.ceil(F.count(F.lit(1)) / QUERY_CHUNK).cast("int").alias("_salts")
+    load = routed.groupBy(*on).agg(salts) if on else routed.agg(F.greatest(salts, F.lit(1)).alias("_salts"))
+
+    def with_load(df: DataFrame) -> DataFrame:
+        return df.join(load, on) if on else df.withColumn("_salts", load.scalar())
+
+    base = with_load(blocks.points).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)))
+    salted = with_load(routed).withColumn("salt", F.pmod(F.xxhash64("p"), F.col("_salts")).cast("int"))
     group = [*by, "blk", "salt"]
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:

@@ -402,19 +402,19 @@ def _(spark, sf):
 
 @query(
     "clean_alarms",
-    f"""{with_views('dirty', 'airports')}, raw AS (SELECT *, {_RAW_GEO} FROM dirty)
-SELECT o_orderkey, upper(code) AS "DEPARTURE_AIRPORT_IATA", d.city AS "DEPARTURE_CITY", d.airport AS "DEPARTURE_AIRPORT_DESCRIPTION", 'C01' AS "ARRIVAL_AIRPORT_IATA", a.city AS "ARRIVAL_CITY", a.airport AS "ARRIVAL_AIRPORT_DESCRIPTION",
+    f"""{with_views('dirty', 'airports')}, raw AS (SELECT *, {_RAW_GEO}, 'c' || lpad(CAST(o_orderkey % 27 AS STRING), 2, '0') AS arr FROM dirty)
+SELECT o_orderkey, upper(code) AS "DEPARTURE_AIRPORT_IATA", d.city AS "DEPARTURE_CITY", d.airport AS "DEPARTURE_AIRPORT_DESCRIPTION", upper(arr) AS "ARRIVAL_AIRPORT_IATA", a.city AS "ARRIVAL_CITY", a.airport AS "ARRIVAL_AIRPORT_DESCRIPTION",
 'Italia' AS "ARRIVAL_COUNTRY", 'ITA' AS "ARRIVAL_COUNTRY_CODE", CASE raw_zone WHEN '7' THEN 7 WHEN '10' THEN 10 ELSE CAST(raw_zone_3 AS INT) END AS "ZONE",
 CASE o_orderkey % 3 WHEN 0 THEN 'closed_alerts' WHEN 1 THEN 'negative_outcome' END AS "OCCURRENCES", COALESCE(upper(trim(text_backup)), 'NO REASON PROVIDED') AS "ALARM_REASON",
 COALESCE({_case('raw_risk', vocab.RISK, 'raw_risk')}, 'LOW RISK') AS "RISK_FLAG", CASE WHEN o_orderkey % 4 = 0 THEN 'NATION_3' ELSE 'NATION_' || (o_orderkey % 30) END AS "DEPARTURE_COUNTRY",
 CASE WHEN o_orderkey % 4 = 0 THEN 'I3' WHEN o_orderkey % 30 < 25 THEN 'I' || (o_orderkey % 30) END AS "DEPARTURE_COUNTRY_CODE",
 CAST(round_even(COALESCE(CASE WHEN {_FLIGHTS} BETWEEN 0 AND 1000 THEN {_FLIGHTS} END, 0), 0) AS INT) AS "TOTAL_FLIGHTS"
-FROM raw LEFT JOIN airports d ON upper(code) = d.iata LEFT JOIN airports a ON a.iata = 'C01'""",
+FROM raw LEFT JOIN airports d ON upper(code) = d.iata LEFT JOIN airports a ON a.iata = upper(arr)""",
 )
 def _(spark, sf):
     k = F.col("o_orderkey")
     raw = _dirty(spark, sf).select(
-        "o_orderkey", _raw_geo().alias("DEPARTURE_AIRPORT_IATA"), F.lit("c01 ").alias("ARRIVAL_AIRPORT_IATA"), F.col("raw_zone").alias("ZONE"), F.col("raw_zone_3").alias("ZONE_3"),
+        "o_orderkey", _raw_geo().alias("DEPARTURE_AIRPORT_IATA"), F.concat(F.lit("c"), F.lpad((k % 27).cast("string"), 2, "0"), F.lit(" ")).alias("ARRIVAL_AIRPORT_IATA"), F.col("raw_zone").alias("ZONE"), F.col("raw_zone_3").alias("ZONE_3"),
         F.when(k % 3 == 0, "Allarmi Chiusi ").when(k % 3 == 1, "RESPINTO/A").otherwise("n/c").alias("OCCURRENCES"),
         F.col("text_backup").alias("ALARM_REASON"), F.col("raw_risk").alias("RISK_FLAG"),
         F.when(k % 4 == 0, " NATION_3").otherwise("?").alias("DEPARTURE_COUNTRY_FULL"), F.concat(F.lit("NATION_"), (k % 30).cast("string")).alias("DEPARTURE_COUNTRY"),
