@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waypost.functions.text import upper_trim
+from waypost.session import materialize
 
 
 def outer_join_with_coverage(a: DataFrame, b: DataFrame, keys: Sequence[str], name: str = "data_coverage") -> DataFrame:
@@ -29,8 +30,10 @@ def attach_group_stat(df: DataFrame, key: Sequence[str], **stats: Column) -> Dat
 
     Aggregate and join back instead of a window: the aggregate combines
     map-side, so a group holding a third of all rows is not sorted in one task.
+    The statistics are written first; the optimizer then knows their true size
+    and ships them to the rows only while they are under its own threshold.
     """
-    table = df.groupBy(*key).agg(*[c.alias(n) for n, c in stats.items()])
+    table = materialize(df.groupBy(*key).agg(*[c.alias(n) for n, c in stats.items()]))
     return df.join(table, list(key))
 
 

@@ -86,8 +86,12 @@ def _descriptor(col: str) -> Column:
 
 
 def _descriptor_columns(reduced: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[Column]]:
-    """Reduced rows with mode weights, and the aggregates that use them."""
-    weighted = reduced.withColumns(
+    """Reduced rows with mode weights, and the aggregates that use them.
+
+    Placing the reduced rows by route once serves both weights, the aggregate
+    and the route join after it.
+    """
+    weighted = reduced.repartition(*keys).withColumns(
         {
             "_zone_n": F.sum("n").over(W.partitionBy(*keys, "zone")),
             "_reason_n": F.sum("n").over(W.partitionBy(*keys, "alarm_reason")),
