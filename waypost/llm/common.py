@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -15,6 +16,31 @@ from pyspark.sql.pandas.types import to_arrow_schema
 SLICE_BYTES = 4 << 20
 
 
+def per_process(key: tuple, make: Callable[[], object]):
+    """Made once per worker process. Task functions travel by value, so their own globals are new in each task."""
+    held = sys.__dict__.setdefault("_waypost_llm", {})
+    if key not in held:
+        held[key] = make()
+    return held[key]
+
+
+class Recent(dict):
+    """Remembers what ``make`` gave for a key; keeps the keys used lately, about twice ``most`` at most."""
+
+    def __init__(self, make: Callable, most: int):
+        self.make, self.most, self.older = make, most, {}
+
+    def __missing__(self, key):
+        value = self.older.pop(key, None)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.most:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waypost.llm import chat, packing, pii, quality
+from waypost.llm import ann, bitplanes, chat, packing, pii, quality, simhash, token_counts
 from waypost.llm.common import table, text_of
 from waypost.llm.registry import query
 from waypost.session import materialize
@@ -28,6 +29,24 @@ def char_tagger(spark: SparkSession, sf: str) -> DataFrame:
     return pii.digest(docs, pii.fit(pii.labelled_windows(docs)))
 
 
+# ---- 5: token counts -----------------------------------------------------------------------------
+
+
+@query("op5_token_counts")
+def token_count(spark: SparkSession, sf: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+# ---- 6: token ids --------------------------------------------------------------------------------
+
+
+@query("op6_bit_planes")
+def bit_planes(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents encoded, written in bit planes, and digested from what is read back."""
+    file = bitplanes.write_ids(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return bitplanes.read_digests(file)
+
+
 # ---- 7: chat formatting --------------------------------------------------------------------------
 
 EDGE_CHAT = [(-7, 0, "user", "\\### Assistant: </turn> ok"), (-7, 1, "assistant", "\\### Assistant: </turn> ok")]
@@ -66,6 +85,22 @@ def chat_format(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+# ---- 8: near-duplicates --------------------------------------------------------------------------
+
+
+@query("op8_covering_simhash")
+def covering_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf, "documents"))
+
+
+# ---- 9: nearest neighbours -----------------------------------------------------------------------
+
+
+@query("op9_stable_projections")
+def stable_projections(spark: SparkSession, sf: str) -> DataFrame:
+    return ann.nearest(table(spark, sf, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 # ---- 10: quality rules ---------------------------------------------------------------------------
 
 QUALITY_SQL = r"""
