@@ -208,7 +208,8 @@ def nearest(rows: DataFrame, is_query: Column, key: str = "vec_id", vector: str
         asked = to.join(shares.join(crowds, "leaf"), "leaf").withColumn("crowd", F.pmod(F.xxhash64("id"), F.col("crowds"))).withColumn("share", every("shares"))
         met = points.join(crowds, "leaf").withColumn("crowd", every("crowds"))
         columns = ["leaf", "share", "crowd"]
-        return asked.select(*columns, "id", "v", "p", "bound").groupBy(*columns).cogroup(met.select(*columns, "id", "v", "p").groupBy(*columns)).applyInPandas(visit, found_schema)
+        own = met.select(*(F.col(c).alias(c) for c in [*columns, "id", "v", "p"]))  # both sides come from one table
+        return asked.select(*columns, "id", "v", "p", "bound").groupBy(*columns).cogroup(own.groupBy(*columns)).applyInPandas(visit, found_schema)
 
     def best(found: DataFrame) -> DataFrame:
         return found.groupBy("query_id").agg(F.slice(F.array_sort(F.collect_list(F.struct("score", "vec_id"))), 1, k).alias("near"))

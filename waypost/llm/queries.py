@@ -6,11 +6,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waypost.llm import ann, bitplanes, chat, packing, pii, quality, simhash, token_counts
+from waypost.llm import ann, bitplanes, chat, lattice, lm_scores, packing, pii, quality, simhash, token_counts
 from waypost.llm.common import table, text_of
 from waypost.llm.registry import query
 from waypost.session import materialize
 
+# ---- 1: segmentation samples ---------------------------------------------------------------------
+
+
+@query("op1_gumbel_top_k")
+def gumbel_top_k(spark: SparkSession, sf: str) -> DataFrame:
+    return lattice.sample_digests(table(spark, sf, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 # ---- 2: packing ----------------------------------------------------------------------------------
 
 
@@ -29,6 +37,16 @@ def char_tagger(spark: SparkSession, sf: str) -> DataFrame:
     return pii.digest(docs, pii.fit(pii.labelled_windows(docs)))
 
 
+# ---- 4: language-model scores --------------------------------------------------------------------
+
+
+@query("op4_cross_entropy_difference")
+def cross_entropy_difference(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents against those labelled of good quality."""
+    good = table(spark, sf, "labels").where("quality = 1").select("doc_id")
+    return lm_scores.score(table(spark, sf, "documents"), good)
+
+
 # ---- 5: token counts -----------------------------------------------------------------------------
 
 
