@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waypost.llm import packing, pii, quality
+from waypost.llm import packing, pii, quality, simhash
 from waypost.llm.common import table, text_of
 from waypost.session import materialize
 
@@ -15,6 +15,11 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.keep(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document of each group whose SimHash fingerprints link (as the library's near-duplicate query defines it)."""
+    return simhash.deduplicate(docs)
+
+
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data masked by its kind; n_chars follows the text."""
     masked = pii.redact(docs, pii.fit(pii.labelled_windows(docs)))
@@ -26,7 +31,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, F.octet_length(text_of("text")) + 1)
 
 
-STAGES = [("quality rules", rules), ("personal data", personal_data), ("packing", pack)]
+STAGES = [("quality rules", rules), ("near-duplicates", near_duplicates), ("personal data", personal_data), ("packing", pack)]
 
 #: Near-duplicate groups and the model's spans are beyond SQL.
 ORACLE_SQL = None

@@ -97,7 +97,7 @@ def covering_masks(radius: int, bits: int = 64) -> list[int]:
 
 
 def forest(fps: np.ndarray, radius: int) -> list[tuple[int, int]]:
-    """A spanning forest of the links among distinct fingerprints, as index pairs."""
+    """A spanning forest of the links among distinct unsigned fingerprints, as index pairs."""
     left = np.arange(len(fps))
     out: list[tuple[int, int]] = []
     while len(left) > 1:
@@ -129,14 +129,15 @@ def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     arrow = to_arrow_schema(T.StructType.fromDDL(schema))
 
     def edges(part: np.ndarray, group: np.ndarray) -> Iterator[tuple[int, int]]:
+        bits = part.view(np.uint64)  # counting the bits of signed numbers would take their absolute values
         cuts = np.flatnonzero(np.concatenate([[True], (group[1:] != group[:-1]).any(axis=1), [True]]))
         sizes = np.diff(cuts)
         pairs = cuts[:-1][sizes == 2]
-        near = pairs[np.bitwise_count(part[pairs] ^ part[pairs + 1]) <= radius]
+        near = pairs[np.bitwise_count(bits[pairs] ^ bits[pairs + 1]) <= radius]
         yield from zip(part[near].tolist(), part[near + 1].tolist())
         for a, size in zip(cuts[:-1][sizes > 2], sizes[sizes > 2]):
             own = part[a : a + size]
-            yield from ((int(own[x]), int(own[y])) for x, y in forest(own, radius))
+            yield from ((int(own[x]), int(own[y])) for x, y in forest(bits[a : a + size], radius))
 
     def run(batches):
         fp, group = np.empty(0, np.int64), np.empty((0, 4), np.int64)
@@ -191,15 +192,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
 
 def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, radius: int = RADIUS) -> DataFrame:
     """``docs``, all columns as they are, with the first row of each group; of equal rows one stays."""
-    found = groups(docs, key, text, words, radius)
-    firsts = found.select("first").distinct().select(F.col("first.key").alias("_key"), F.col("first.h").alias("_h"))
-    return first_rows(docs, firsts, key, text)
-
-
-def first_rows(docs: DataFrame, firsts: DataFrame, key: str, text: str) -> DataFrame:
-    """One row of ``docs`` for each (_key, _h) in ``firsts``."""
-    hashed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(key).alias("k"), F.xxhash64(text_of(text)).alias("h"))
-    same = hashed["k"].eqNullSafe(firsts["_key"]) & (hashed["h"] == firsts["_h"])
-    kept = hashed.join(firsts, same, "left_semi")
-    numbered = kept.withColumn("n", F.row_number().over(Window.partitionBy("h", "k").orderBy("k")))
-    return numbered.where("n = 1").select("row.*")
+    name = lambda k: F.coalesce(k.cast("string"), F.lit("\x00"))  # noqa: E731  a null key is a key
+    firsts = groups(docs, key, text, words, radius).select("first").distinct().select(name(F.col("first.key")).alias("k"), F.col("first.h").alias("h"))
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), name(F.col(key)).alias("k"), F.xxhash64(text_of(text)).alias("h"))
+    same = Window.partitionBy("k", "h").orderBy("k")  # dealt by the join already
+    return rows.join(firsts, ["k", "h"], "left_semi").withColumn("n", F.row_number().over(same)).where("n = 1").select("row.*")
