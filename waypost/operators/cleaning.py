@@ -137,20 +137,22 @@ def fingerprint_counts(df: DataFrame, col: str, keep_digits: bool = False) -> Da
 def impute(df: DataFrame, spec: Mapping[str, str], constant: str = "UNKNOWN") -> DataFrame:
     """Fill NULLs: ``spec`` maps column -> ``median``, ``mode`` or ``constant``.
 
-    Fill values come from value counts, so a median or mode never needs more
-    than one row per distinct value of its column.
+    All medians and modes come from one aggregate over (column, value) counts;
+    one row per column reaches the driver. Ties of a mode take the smallest value.
     """
-    for c, how in spec.items():
-        if how == "constant":
-            df = df.withColumn(c, F.coalesce(F.col(q(c)), F.lit(constant)))
-            continue
-        if how == "median":
-            counts = df.filter(F.col(q(c)).isNotNull()).groupBy(F.col(q(c)).alias("_v")).agg(F.count(F.lit(1)).alias("_w"))
-            fill = quantiles(counts, ["_v"], [0.5], weight="_w").select(F.col("_v")[0])
-        else:
-            fill = most_frequent(df, [], c, "_v")
-        df = df.withColumn(c, F.coalesce(F.col(q(c)), fill.scalar()))
-    return df
+    kinds = dict(df.dtypes)
+    counted = [c for c, how in spec.items() if how != "constant"]
+    fills = {c: F.lit(constant) for c, how in spec.items() if how == "constant"}
+    if counted:
+        cells = [F.struct(F.lit(i).alias("i"), F.col(q(c)).try_cast("double").alias("number"), F.col(q(c)).cast("string").alias("text")) for i, c in enumerate(counted)]
+        values = df.select(F.inline(F.array(*cells))).filter(F.col("text").isNotNull()).groupBy("i", "number", "text").agg(F.count(F.lit(1)).alias("w"))
+        found = values.groupBy("i").agg(
+            F.percentile("number", 0.5, F.col("w")).alias("median"), F.min_by("text", F.struct(-F.col("w"), "number", "text")).alias("mode")
+        )
+        for r in found.collect():
+            c = counted[r["i"]]
+            fills[c] = F.lit(r["median"]) if spec[c] == "median" else F.lit(r["mode"]).cast(kinds[c])
+    return df.withColumns({c: F.coalesce(F.col(q(c)), fill) for c, fill in fills.items()})
 
 
 def missing_policy(df: DataFrame, hi: float = 0.6, lo: float = 0.2, exempt: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
@@ -309,16 +311,26 @@ def clean_alarms(df: DataFrame, dims: Dims) -> DataFrame:
     return df.drop("ZONE_3", "DEPARTURE_COUNTRY_FULL", "TOTAL")
 
 
-def load_clean_data(spark: SparkSession, folder: str, dims: Dims, italian_months: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Read both CSV files, rename, clean, parse dates, drop undated rows."""
-
-    def dated(df: DataFrame) -> DataFrame:
-        parsed = parse_dates(F.col("DEPARTURE_DATE"), italian_months=italian_months)
-        return drop_unparsed(df.withColumn("DEPARTURE_DATE", parsed), "DEPARTURE_DATE")
+def _loaded(spark: SparkSession, folder: str, dims: Dims, italian_months: bool) -> tuple[DataFrame, DataFrame]:
+    """Both tables cleaned, dates parsed, undated rows still there."""
 
     def raw(name: str) -> DataFrame:
         return rename_columns(scan_csv(spark, f"{folder}/{name}.csv"), vocab.COLUMN_NAMES)
 
-    alarms = dated(clean_alarms(raw("ALLARMI"), dims))
-    travelers = dated(clean_travelers(raw("TIPOLOGIA_VIAGGIATORE"), dims))
-    return alarms, travelers
+    def dated(df: DataFrame) -> DataFrame:
+        return df.withColumn("DEPARTURE_DATE", parse_dates(F.col("DEPARTURE_DATE"), italian_months=italian_months))
+
+    return dated(clean_alarms(raw("ALLARMI"), dims)), dated(clean_travelers(raw("TIPOLOGIA_VIAGGIATORE"), dims))
+
+
+def load_clean_data(spark: SparkSession, folder: str, dims: Dims, italian_months: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Read both CSV files, rename, clean, parse dates, drop undated rows (``undated_rows`` counts them)."""
+    alarms, travelers = _loaded(spark, folder, dims, italian_months)
+    return drop_unparsed(alarms, "DEPARTURE_DATE"), drop_unparsed(travelers, "DEPARTURE_DATE")
+
+
+def undated_rows(spark: SparkSession, folder: str, dims: Dims, italian_months: bool = False) -> DataFrame:
+    """One row per table: its rows, and those that loading drops because their date is in no accepted layout."""
+    alarms, travelers = _loaded(spark, folder, dims, italian_months)
+    counts = [unparsed_count(df, "DEPARTURE_DATE").withColumn("source", F.lit(name)) for name, df in (("alarms", alarms), ("travelers", travelers))]
+    return counts[0].unionByName(counts[1])

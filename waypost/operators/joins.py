@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waypost.functions.text import upper_trim
-from waypost.session import materialize
+from waypost.sources.files import q
 
 
 def outer_join_with_coverage(a: DataFrame, b: DataFrame, keys: Sequence[str], name: str = "data_coverage") -> DataFrame:
@@ -21,6 +21,14 @@ def outer_join_with_coverage(a: DataFrame, b: DataFrame, keys: Sequence[str], na
     return left.join(right, list(keys), "full").withColumn(name, side).drop("_in_a", "_in_b")
 
 
+def join_groups(df: DataFrame, table: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join a table of groups to rows; a missing key is a group like any other, as it is in ``groupBy``."""
+    own = {k: f"_group_{i}" for i, k in enumerate(keys)}
+    renamed = table.withColumnsRenamed(own)
+    same = [F.col(k).eqNullSafe(F.col(g)) for k, g in own.items()]
+    return df.join(renamed, same, how).drop(*own.values())
+
+
 def left_join_fill0(a: DataFrame, b: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
     return a.join(b, list(keys), "left").na.fill(0, list(cols))
 
@@ -30,26 +38,31 @@ def attach_group_stat(df: DataFrame, key: Sequence[str], **stats: Column) -> Dat
 
     Aggregate and join back instead of a window: the aggregate combines
     map-side, so a group holding a third of all rows is not sorted in one task.
-    The statistics are written first; the optimizer then knows their true size
-    and ships them to the rows only while they are under its own threshold.
+    Adaptive execution knows the statistics' size once they are there, and
+    ships them to the rows only while they are under its own threshold.
     """
-    table = materialize(df.groupBy(*key).agg(*[c.alias(n) for n, c in stats.items()]))
-    return df.join(table, list(key))
+    return join_groups(df, df.groupBy(*key).agg(*[c.alias(n) for n, c in stats.items()]), key)
 
 
 def merge_with_loss(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """Inner join on the shared keys, and one row telling how much it dropped."""
+    """Inner join on the shared keys, and one row telling how much it dropped.
+
+    The loss is 1 - merged rows / rows of the smaller table, in per cent; keys
+    that repeat on both sides can make it negative. It needs no join: both
+    tables are counted by key, and the counts of shared keys are multiplied.
+    """
     used = [k for k in keys if k in a.columns and k in b.columns]
     merged = a.join(b, used, "inner")
-    matched = semi(a, b, used).agg(F.count(F.lit(1)).alias("n_left_matched"))
-    loss = (
-        a.agg(F.count(F.lit(1)).alias("n_left"))
-        .withColumn("n_left_matched", matched.scalar())
-        .withColumn("n_merged", merged.agg(F.count(F.lit(1))).scalar())
-        .withColumn("loss_pct", 100.0 * (1 - F.col("n_left_matched") / F.col("n_left")))
-        .withColumn("warn", (F.col("loss_pct") > 20).cast("int"))
-    )
-    return merged, loss
+    one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    tagged = a.select(*used, one.alias("_a"), none.alias("_b")).unionByName(b.select(*used, none.alias("_a"), one.alias("_b")))
+    whole = F.lit(True)
+    for k in used:
+        whole = whole & F.col(q(k)).isNotNull()
+    per_key = tagged.groupBy(*used).agg(F.sum("_a").alias("_a"), F.sum("_b").alias("_b")).withColumn("_m", F.when(whole, F.col("_a") * F.col("_b")).otherwise(0))
+    sums = per_key.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(n) for c, n in (("_a", "n_left"), ("_b", "n_right"), ("_m", "n_merged"))])
+    smaller = F.least("n_left", "n_right")
+    loss = sums.withColumn("loss_pct", F.when(smaller > 0, 100.0 * (1 - F.col("n_merged") / smaller)))
+    return merged, loss.withColumn("warn", F.coalesce((F.col("loss_pct") > 20).cast("int"), F.lit(0)))
 
 
 def semi(df: DataFrame, keys_df: DataFrame, on: Sequence[str]) -> DataFrame:

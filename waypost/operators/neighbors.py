@@ -313,7 +313,7 @@ def make_blocks(points: DataFrame, by: Sequence[str] = (), block_rows: int = BLO
         large = points.sparkSession.createDataFrame(
             [(*[r[c] for c in by], r["n"]) for r in sizes], T.StructType([*fields, T.StructField("_n", T.LongType())])
         )
-        inside = points.join(F.broadcast(large), by)
+        inside = points.join(large, by)
     else:
         inside = points.withColumn("_n", F.lit(n))
     wanted = F.ceil(F.col("_n") / size) * per_leaf
@@ -339,7 +339,7 @@ def make_blocks(points: DataFrame, by: Sequence[str] = (), block_rows: int = BLO
     # A crowded cell is cut into chunks by key hash.
     crowd = placed.groupBy(*by, "cell").agg(F.count(F.lit(1)).alias("n"))
     chunks = crowd.select(*by, "cell", F.greatest(F.lit(1), F.ceil(F.col("n") / (2 * size))).alias("_chunks"))
-    chunked = placed.join(F.broadcast(chunks), [*by, "cell"]).withColumn("chunk", F.pmod(F.xxhash64("p"), F.col("_chunks")))
+    chunked = placed.join(chunks, [*by, "cell"]).withColumn("chunk", F.pmod(F.xxhash64("p"), F.col("_chunks")))
     edges = (
         chunked.select(*by, "cell", "chunk", F.posexplode("x").alias("_i", "_v"))
         .groupBy(*by, "cell", "chunk", "_i")
@@ -360,7 +360,7 @@ def make_blocks(points: DataFrame, by: Sequence[str] = (), block_rows: int = BLO
         rows_out,
         T.StructType([*fields, T.StructField("cell", T.IntegerType()), T.StructField("chunk", T.LongType()), T.StructField("blk", T.IntegerType())]),
     )
-    blocked = chunked.join(F.broadcast(names), [*by, "cell", "chunk"]).select(*by, "p", "w", "x", "blk")
+    blocked = chunked.join(names, [*by, "cell", "chunk"]).select(*by, "p", "w", "x", "blk")
     return Blocks(materialize(blocked), boxes, by, key_type, fields, solo)
 
 
@@ -590,7 +590,7 @@ def neighborhood(df: DataFrame, key: str, vec: str, by: Sequence[str] = (), k: i
 
 def _with_size(df: DataFrame, nb: Neighborhood) -> DataFrame:
     if nb.by:
-        return df.join(F.broadcast(nb.sizes), nb.by)
+        return df.join(nb.sizes, nb.by)
     return df.withColumn("n", nb.sizes.select("n").scalar())
 
 
@@ -642,7 +642,7 @@ def dbscan_points(nb: Neighborhood, min_samples: Column | None = None, params: D
     limits = params.select(*by, "eps", "min_samples")
     kd = k_distance(nb, min_samples)
     if by:
-        marked = kd.join(F.broadcast(limits), by)
+        marked = kd.join(limits, by)
     else:
         packed = limits.select(F.struct("eps", "min_samples").alias("s")).scalar()
         marked = kd.withColumn("_s", packed).withColumns({"eps": F.col("_s.eps"), "min_samples": F.col("_s.min_samples")}).drop("_s")
@@ -747,7 +747,7 @@ def dbscan_clusters(df: DataFrame, key: str, vec: str, by: Sequence[str] = (), m
     return point_scores(nb, key, scores)
 
 
-def connected_components(links: DataFrame, by: Sequence[str] = (), done: bool = False, max_rounds: int = 60) -> DataFrame:
+def connected_components(links: DataFrame, by: Sequence[str] = (), done: bool = False) -> DataFrame:
     """Component label (smallest member) of every linked node: ``by, a, label``.
 
     Alternates the two star steps of Kiveris et al. (2014): every node's larger
@@ -761,14 +761,12 @@ def connected_components(links: DataFrame, by: Sequence[str] = (), done: bool =
         return star.groupBy(*by, "a").agg(F.min("b").alias("label"))
     edges = materialize(star)
     before = None
-    for _ in range(max_rounds):
+    while True:  # every round but the last changes an edge
         edges = materialize(_small_star(_large_star(edges, by), by))
         now = tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if now == before:
             break
         before = now
-    else:
-        raise RuntimeError("connected components did not settle")
     return edges.groupBy(*by, "a").agg(F.min("b").alias("label"))
 
 

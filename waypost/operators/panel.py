@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from waypost.functions.dates import calendar_columns
 from waypost.functions.numbers import finite_or_zero, ratio_or
-from waypost.operators.joins import attach_group_stat, left_join_fill0
+from waypost.operators.joins import attach_group_stat, join_groups, left_join_fill0
 from waypost.session import materialize
 
 AIRPORT = "departure_airport_iata"
@@ -103,7 +103,7 @@ def _parts(df: DataFrame, day: str, order: Sequence[str], max_rows: int) -> Data
         big = materialize(big)
         if big.isEmpty():
             break
-        marked = df.join(big.withColumn("_big", F.lit(True)), key, "left")
+        marked = join_groups(df, big.withColumn("_big", F.lit(True)), key, "left")
         deeper = F.col("_part").withField(f"c{i}", F.coalesce(F.col(order[i]).cast("string"), F.lit("")))
         df = marked.withColumn("_part", F.when(F.col("_big"), deeper).otherwise(F.col("_part"))).drop("_big")
     return df
@@ -149,28 +149,34 @@ def past_window_features(
             "_r": F.row_number().over(run),
             "_lag": F.lag(value, 1).over(run),
             "_sum": F.coalesce(F.sum(value).over(run.rowsBetween(-depth, -1)), F.lit(0.0)),
+            "_n": F.count(value).over(run.rowsBetween(-depth, -1)),
             "_sum_in": F.coalesce(F.sum(value).over(run.rowsBetween(-(depth - 1), 0)), F.lit(0.0)),
+            "_n_in": F.count(value).over(run.rowsBetween(-(depth - 1), 0)),
         }
     )
-    joined = local.join(halo, key)
+    joined = join_groups(local, halo, key)
 
     def borrowed(missing: Column) -> Column:
         return F.slice("_halo", 1, F.greatest(missing, F.lit(0)))
 
     def total(values: Column) -> Column:
-        return F.aggregate(values, F.lit(0.0), lambda acc, v: acc + v)
+        return F.aggregate(values, F.lit(0.0), lambda acc, v: acc + F.coalesce(v, F.lit(0.0)))
 
+    def known(values: Column) -> Column:
+        return F.size(F.filter(values, lambda v: v.isNotNull()))
+
+    # Rows without a value take a place in the window but no part in the mean.
     before = borrowed(depth - (F.col("_r") - 1))
-    n_before = F.least(F.col("_r") - 1, F.lit(depth)) + F.size(before)
+    n_before = F.col("_n") + known(before)
     new: dict[str, Column] = {
         lag_name: F.when(F.col("_r") > 1, F.col("_lag")).otherwise(F.try_element_at("_halo", F.lit(1))),
         mean_name: F.when(n_before > 0, (F.col("_sum") + total(before)) / n_before),
     }
     if inclusive_name:
         around = borrowed((depth - 1) - (F.col("_r") - 1))
-        n_around = F.least(F.col("_r"), F.lit(depth)) + F.size(around)
-        new[inclusive_name] = (F.col("_sum_in") + total(around)) / n_around
-    return joined.withColumns(new).drop("_part", "_r", "_lag", "_sum", "_sum_in", "_halo")
+        n_around = F.col("_n_in") + known(around)
+        new[inclusive_name] = F.when(n_around > 0, (F.col("_sum_in") + total(around)) / n_around)
+    return joined.withColumns(new).drop("_part", "_r", "_lag", "_sum", "_n", "_sum_in", "_n_in", "_halo")
 
 
 def lag_with_fallback(df: DataFrame, order: Sequence[str], max_part_rows: int = MAX_PART_ROWS) -> DataFrame:
@@ -205,7 +211,7 @@ def by_day_features(df: DataFrame, days: int = 7) -> DataFrame:
             "rate_previous_days": F.avg("_rate").over(w.rangeBetween(-days, -1)),
         }
     ).drop("_rate")
-    return df.join(past, [AIRPORT, DAY])
+    return join_groups(df, past, [AIRPORT, DAY])
 
 
 def target_encode(df: DataFrame, col: str, value: str = "alarm_rate") -> DataFrame:
@@ -226,7 +232,7 @@ def engineer_features(
         base.groupBy(AIRPORT).agg(F.avg("alarm_rate").alias("airport_historical_avg_rate"), F.avg("entries").alias("airport_historical_avg_entries"))
     )
     past = past_window_features(base, "alarm_rate", order, 7, "alarm_rate_yesterday", "rolling_7d_avg_rate", max_part_rows=max_part_rows)
-    wide = past.join(baselines, AIRPORT).withColumns(
+    wide = join_groups(past, baselines, [AIRPORT]).withColumns(
         {
             "rate_deviation": F.col("alarm_rate") - F.col("airport_historical_avg_rate"),
             "alarm_rate_yesterday": F.coalesce("alarm_rate_yesterday", "airport_historical_avg_rate"),

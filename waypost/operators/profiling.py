@@ -249,7 +249,7 @@ def crosstab(df: DataFrame, a: str, b: str, values: Sequence) -> DataFrame:
 
 
 def top_routes(df: DataFrame, dep: str, arr: str, n: int = 15) -> DataFrame:
-    counts = df.groupBy(dep, arr).agg(F.count(F.lit(1)).alias("n"))
+    counts = df.dropna(subset=[dep, arr]).groupBy(dep, arr).agg(F.count(F.lit(1)).alias("n"))
     return counts.orderBy(F.desc("n"), dep, arr).limit(n).withColumn("route", F.concat_ws(" -> ", dep, arr))
 
 

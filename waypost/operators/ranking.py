@@ -114,8 +114,8 @@ def drop_disqualified(df: DataFrame) -> DataFrame:
     return df.filter(~F.col("quality_note").isin(vocab.DISQUALIFYING))
 
 
-def apply_post_processing(scored: DataFrame, by: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
-    """Ranked consensus rows, and the same without disqualified ones.
+def apply_post_processing(scored: DataFrame, by: Sequence[str] = (), drop: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Ranked consensus rows, and the same without disqualified ones (with them if ``drop`` is off).
 
     Ranks are given before disqualified rows leave, so the clean table has
     gaps. ``scored`` should be materialized: three passes read it.
@@ -124,7 +124,7 @@ def apply_post_processing(scored: DataFrame, by: Sequence[str] = ()) -> tuple[Da
     prepared = normalise_for_priority(scored, by)
     levelled = with_risk_level(with_confidence(prepared), risk_thresholds(scored, by, n), by)
     post = rank(priority_score(levelled), by, rows=n)
-    return post, drop_disqualified(post)
+    return post, drop_disqualified(post) if drop else post
 
 
 def risk_distribution(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:

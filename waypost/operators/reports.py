@@ -113,7 +113,24 @@ def perimeter_json(role: Column, iata: Column) -> Column:
     )
 
 
-def context_lines(df: DataFrame, severity: str, key: Sequence[str], k: int = 10) -> DataFrame:
+# Texts of the context block.
+CONTEXT_TITLE, CONTEXT_NONE = "TOP CONFIRMED ANOMALIES (most severe first):", "NO CONFIRMED ANOMALIES IN THIS PERIMETER."
+
+
+def context_block(df: DataFrame, severity: str, key: Sequence[str], k: int = 10, perimeter: str = "{}", request: str | None = None) -> DataFrame:
+    """The whole context as numbered lines: what was asked, rows in scope, confirmed rows, then the lines or a note that there are none."""
+    counted = df.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("confirmed_anomaly") == 1).alias("c"))
+    head = F.array(
+        F.lit(f"PERIMETER: {perimeter}"), F.lit(f"USER QUERY: {request or '(none)'}"),
+        F.concat(F.lit("TOTAL OBSERVATIONS IN SCOPE: "), F.col("n").cast("string")), F.concat(F.lit("CONFIRMED ANOMALIES: "), F.col("c").cast("string")),
+        F.lit(""), F.when(F.col("c") == 0, CONTEXT_NONE).otherwise(CONTEXT_TITLE),
+    )
+    order = W.orderBy(F.desc(severity), *key)
+    lines = context_lines(df, severity, key, k, severity_column=True).select((F.row_number().over(order) + 5).cast("bigint").alias("line"), F.col("context_line").alias("text"))
+    return counted.select(F.posexplode(head).alias("line", "text")).withColumn("line", F.col("line").cast("bigint")).unionByName(lines)
+
+
+def context_lines(df: DataFrame, severity: str, key: Sequence[str], k: int = 10, severity_column: bool = False) -> DataFrame:
     """One readable line per confirmed row, most severe first."""
     top = df.filter(F.col("confirmed_anomaly") == 1).orderBy(F.desc(severity), *key).limit(k)
     rules = F.array_compact(
@@ -134,7 +151,7 @@ def context_lines(df: DataFrame, severity: str, key: Sequence[str], k: int = 10)
         F.concat(F.lit("rules_fired="), F.col("rules_fired").cast("string"), F.lit(" ["), F.array_join(rules, ", "), F.lit("]")),
         F.format_string("severity=%.3f", F.col(severity)),
     )
-    return top.select(*key, line.alias("context_line"))
+    return top.select(*key, line.alias("context_line"), *([severity] if severity_column else []))
 
 
 def audit(stage: str, df: DataFrame, **metrics: Column) -> DataFrame:

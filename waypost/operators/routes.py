@@ -39,10 +39,25 @@ def route_label() -> Column:
     return F.concat_ws("→", *ROUTE)
 
 
+def coded(df: DataFrame) -> DataFrame:
+    """Rows that belong to a route: both airport codes are known.
+
+    Two missing codes are not the same airport, so such rows leave before any
+    route aggregate; ``uncoded`` counts them.
+    """
+    return df.dropna(subset=ROUTE)
+
+
+def uncoded(df: DataFrame) -> DataFrame:
+    """One row: rows in all, and rows that no route can hold because a code is missing."""
+    missing = F.col(ROUTE[0]).isNull() | F.col(ROUTE[1]).isNull()
+    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(missing).alias("n_uncoded"))
+
+
 def reduce_alarms(alarms: DataFrame) -> DataFrame:
     """Alarm rows -> (route, descriptors, zone, occurrence, reason, risk)."""
     dims = [*ROUTE, *[c for c in DESCRIPTORS if c in alarms.columns], "zone", "occurrences", "alarm_reason", "risk_flag"]
-    return alarms.groupBy(*dims).agg(
+    return coded(alarms).groupBy(*dims).agg(
         F.sum("total_flights").alias("flights"),
         F.count(F.lit(1)).alias("n"),
         F.min("departure_date").alias("first_date"),
@@ -52,7 +67,7 @@ def reduce_alarms(alarms: DataFrame) -> DataFrame:
 def reduce_travelers(travelers: DataFrame) -> DataFrame:
     """Traveller rows -> (route, nationality, document, outcome)."""
     dims = [c for c in ("nationality", "document_type2", "control_outcome") if c in travelers.columns]
-    return travelers.groupBy(*ROUTE, *dims).agg(
+    return coded(travelers).groupBy(*ROUTE, *dims).agg(
         F.sum("entries").alias("entries"),
         F.sum("investigated").alias("investigated"),
         F.sum("alarms").alias("alarms"),
@@ -67,7 +82,7 @@ def pivot_occurrences(alarms: DataFrame, values: Sequence[str]) -> DataFrame:
     for the occurrence ``entries`` is ``tot_occ_entries`` because the traveller
     side already owns ``tot_entries``.
     """
-    known = alarms.filter(F.col("occurrences").isNotNull())
+    known = coded(alarms).filter(F.col("occurrences").isNotNull())
     table = known.groupBy(*ROUTE).pivot("occurrences", list(values)).agg(F.sum("total_flights"))
     return table.select(*ROUTE, *[F.coalesce(q_col(v), F.lit(0)).cast("bigint").alias(occurrence_column(v)) for v in values])
 
@@ -212,7 +227,7 @@ def _outcome_share(match: Column) -> Column:
 
 
 def _unit(travelers: DataFrame) -> DataFrame:
-    return travelers.withColumn("n", F.lit(1).cast("bigint"))
+    return coded(travelers).withColumn("n", F.lit(1).cast("bigint"))
 
 
 def route_traveler_agg(travelers: DataFrame) -> DataFrame:
@@ -222,7 +237,7 @@ def route_traveler_agg(travelers: DataFrame) -> DataFrame:
 
 def segmented_rates(travelers: DataFrame, col: str, values: Sequence[str], prefix: str) -> DataFrame:
     """Alert rate per route within each given category value."""
-    return travelers.groupBy(*ROUTE).agg(*[_segment_rate(F.col(col) == v).alias(f"{prefix}{v}") for v in values])
+    return coded(travelers).groupBy(*ROUTE).agg(*[_segment_rate(F.col(col) == v).alias(f"{prefix}{v}") for v in values])
 
 
 def category_shares(travelers: DataFrame, nationalities: Sequence[str], outcomes: Sequence[str]) -> DataFrame:

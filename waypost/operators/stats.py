@@ -24,14 +24,10 @@ MAX_BUFFERED = 1_000_000
 BUCKETS = 256
 
 
-def attach(df: DataFrame, stats: DataFrame, by: Sequence[str] = (), small: bool = True) -> DataFrame:
-    """Add the statistic columns to every row.
-
-    ``small`` states that the statistics table is bounded by the number of
-    possible group keys (perimeters or airport codes), so it may be broadcast.
-    """
+def attach(df: DataFrame, stats: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Add the statistic columns to every row; adaptive execution decides how grouped ones travel."""
     if by:
-        return df.join(F.broadcast(stats) if small else stats, list(by))
+        return df.join(stats, list(by))
     packed = stats.select(F.struct(*[F.col(q(c)) for c in stats.columns]).alias("s")).scalar()
     wide = df.withColumn("_stats", packed)
     return wide.select(*[F.col(q(c)) for c in df.columns], *[F.col("_stats")[c].alias(c) for c in stats.columns])

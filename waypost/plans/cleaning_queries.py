@@ -8,8 +8,9 @@ from waypost.functions import numbers as NU
 from waypost.functions import text as TX
 from waypost.functions.dates import parse_dates
 from waypost.operators import cleaning as B
-from waypost.plans.fixtures import table, view, with_views
+from waypost.plans.fixtures import VIEWS, table, view, with_views
 from waypost.plans.registry import R, query, r6
+from waypost.session import scratch_path
 from waypost.sources import dims as DM
 from waypost.sources import vocab
 from waypost.sources.files import (
@@ -18,10 +19,15 @@ from waypost.sources.files import (
     json_records,
     normalise_headers,
     preview,
+    read_reports,
     rename_columns,
+    scan_csv,
     schema_summary,
     select_numeric,
     select_text,
+    write_csv,
+    write_json,
+    write_report,
 )
 
 WD = with_views("dirty")
@@ -75,10 +81,10 @@ def _(spark, sf):
 
 @query(
     "schema_summary",
-    "SELECT count(*) AS n_rows, CAST(8 AS BIGINT) AS n_columns, d AS dtype, CAST(k AS BIGINT) AS n_of_dtype FROM lineitem, (VALUES ('double', 4), ('bigint', 3), ('string', 1)) AS v(d, k) GROUP BY d, k",
+    "SELECT count(*) AS n_rows, CAST(11 AS BIGINT) AS n_columns, d AS dtype, CAST(k AS BIGINT) AS n_of_dtype FROM lineitem, (VALUES ('double', 4), ('bigint', 3), ('int', 1), ('string', 2), ('timestamp_ntz', 1)) AS v(d, k) GROUP BY d, k",
 )
 def _(spark, sf):
-    return schema_summary(table(spark, sf, "lineitem").drop("l_linestatus", "l_shipdate", "l_linenumber"))
+    return schema_summary(table(spark, sf, "lineitem"))
 
 
 @query("numeric_columns", "SELECT s_suppkey, s_nationkey, s_acctbal FROM supplier")
@@ -259,9 +265,9 @@ def _(spark, sf):
     return _dirty(spark, sf).select("o_orderkey", NU.parse_bounded_count(F.col("raw_flights")).alias("n"))
 
 
-@query("signal_range_filter", "SELECT l_orderkey, l_quantity, l_extendedprice FROM lineitem WHERE l_quantity BETWEEN 0 AND 30 AND l_extendedprice BETWEEN 0 AND 30 OR (l_quantity BETWEEN 0 AND 30 AND l_extendedprice BETWEEN 0 AND 30)")
+@query("signal_range_filter", "SELECT l_orderkey, l_quantity, l_discount FROM lineitem WHERE l_quantity BETWEEN 0 AND 30 AND l_discount BETWEEN 0 AND 30")
 def _(spark, sf):
-    return B.filter_signal_range(table(spark, sf, "lineitem"), ["l_quantity", "l_extendedprice"], 30).select("l_orderkey", "l_quantity", "l_extendedprice")
+    return B.filter_signal_range(table(spark, sf, "lineitem"), ["l_quantity", "l_discount"], 30).select("l_orderkey", "l_quantity", "l_discount")
 
 
 @query("signal_cap_filter", f"{with_views('travelers')} SELECT departure_airport_iata, count(*) AS n, CAST(SUM(entries) AS BIGINT) AS entries FROM travelers WHERE entries BETWEEN 0 AND 40 AND investigated BETWEEN 0 AND 40 AND alarms BETWEEN 0 AND 40 GROUP BY 1")
@@ -294,6 +300,27 @@ def _(spark, sf):
     return _dirty(spark, sf).select("o_orderkey", "raw_date", parsed.alias("parsed"))
 
 
+# Ten layouts of one date; which one a row has follows from its key.
+_LAYOUTS = [
+    ("d/M/yyyy HH:mm", "%-d/%-m/%Y %H:%M"), ("yyyy-MM-dd HH:mm", "%Y-%m-%d %H:%M"), ("d MMM yyyy", "%-d %b %Y"), ("MMM d, yyyy", "%b %-d, %Y"), ("MMMM d yyyy", "%B %-d %Y"),
+    ("yyyy-MM-dd'T'HH:mm:ss.SSS", "%Y-%m-%dT%H:%M:%S.%g"), ("yyyyMMdd", "%Y%m%d"), ("MM/dd/yyyy", "%m/%d/%Y"), ("dd.MM.yy", "%d.%m.%y"), ("yyyy/M/d HH:mm:ss", "%Y/%-m/%-d %H:%M:%S"),
+]
+# Month-first text is read as such only if the day cannot be a month; two-digit years belong to this century.
+_DAY_MONTH = "CASE WHEN day(o_orderdate) > 12 THEN o_orderdate ELSE make_timestamp(year(o_orderdate), day(o_orderdate), month(o_orderdate), 0, 0, 0) END"
+_SHORT_YEAR = "make_timestamp(2000 + year(o_orderdate) % 100, month(o_orderdate), day(o_orderdate), 0, 0, 0)"
+
+
+@query(
+    "parsed_layouts",
+    f"SELECT o_orderkey, strftime(CASE o_orderkey % 10 WHEN 7 THEN {_DAY_MONTH} WHEN 8 THEN {_SHORT_YEAR} ELSE o_orderdate END, '%Y-%m-%d %H:%M:%S') AS parsed FROM orders",
+)
+def _(spark, sf):
+    raw = F.lit(None).cast("string")
+    for i, (layout, _) in enumerate(_LAYOUTS):
+        raw = F.when(F.col("o_orderkey") % 10 == i, F.date_format("o_orderdate", layout)).otherwise(raw)
+    return table(spark, sf, "orders").select("o_orderkey", F.date_format(parse_dates(raw), "yyyy-MM-dd HH:mm:ss").alias("parsed"))
+
+
 @query("dropped_unparsed", f"{WD} SELECT o_orderkey FROM dirty WHERE o_orderkey % 6 <> 4")
 def _(spark, sf):
     return B.drop_unparsed(_dirty(spark, sf).withColumn("d", parse_dates(F.col("raw_date"))), "d").select("o_orderkey")
@@ -389,7 +416,7 @@ def _dims(spark, sf):
     f"""{with_views('dirty', 'airports')}, raw AS (SELECT *, {_RAW_GEO}, {_COUNT} AS cnt FROM dirty)
 SELECT o_orderkey, upper(code) AS "DEPARTURE_AIRPORT_IATA", city AS "DEPARTURE_CITY", airport AS "DEPARTURE_AIRPORT_DESCRIPTION", 'ITALY' AS "ARRIVAL_COUNTRY", 'ITA' AS "ARRIVAL_COUNTRY_CODE",
 CASE raw_zone WHEN '7' THEN 7 WHEN '10' THEN 10 END AS "ZONE", COALESCE({_case('upper(raw_gender)', vocab.GENDER, 'upper(raw_gender)')}, 'N.D.') AS "GENDER",
-CASE WHEN raw_text IN ('unknown', '-') THEN 'Unknown' ELSE raw_text END AS "NATIONALITY", COALESCE(upper(trim(text_backup)), 'NO_NOTES') AS "OPERATOR_NOTES", CAST(cnt AS INT) AS "ENTRIES", CAST(cnt AS INT) AS "ALARMS"
+CASE WHEN raw_text IN ('unknown', '-') THEN 'Unknown' ELSE raw_text END AS "NATIONALITY", COALESCE(upper(trim(text_backup)), 'NO_NOTES') AS "OPERATOR_NOTES", CAST(cnt AS INT) AS "ENTRIES", CAST(cnt AS INT) AS "INVESTIGATED", CAST(cnt AS INT) AS "ALARMS"
 FROM raw LEFT JOIN airports ON upper(code) = iata WHERE cnt BETWEEN 0 AND 200""",
 )
 def _(spark, sf):
@@ -397,7 +424,7 @@ def _(spark, sf):
         "o_orderkey", _raw_geo().alias("DEPARTURE_AIRPORT_IATA"), F.col("raw_zone").alias("ZONE"), F.col("raw_zone_3").alias("ZONE_3"), F.col("raw_gender").alias("GENDER"),
         F.col("raw_text").alias("NATIONALITY"), F.col("text_backup").alias("OPERATOR_NOTES"), F.col("raw_count").alias("ENTRIES"), F.col("raw_count").alias("INVESTIGATED"), F.col("raw_count").alias("ALARMS"),
     )
-    return B.clean_travelers(raw, _dims(spark, sf)).drop("INVESTIGATED")
+    return B.clean_travelers(raw, _dims(spark, sf))
 
 
 @query(
@@ -421,3 +448,77 @@ def _(spark, sf):
         F.col("raw_flights").alias("TOTAL_FLIGHTS"), F.lit("x").alias("TOTAL"),
     )
     return B.clean_alarms(raw, _dims(spark, sf))
+
+
+# Tables written out and read back. An empty cell and an empty text are both missing once they have been a CSV cell.
+@query("csv_round_trip", "SELECT CAST(page_id AS VARCHAR) AS page_id, nullif(url, '') AS url, nullif(html, '') AS html FROM pages")
+def _(spark, sf):
+    """Markup with quotes, commas and line breaks."""
+    path = scratch_path(spark, "csv")
+    write_csv(table(spark, sf, "pages"), path)
+    return scan_csv(spark, path)
+
+
+@query("csv_texts_round_trip", "SELECT doc_id, CASE WHEN text NOT IN ('', 'NA', 'NULL', 'null', 'nan', 'NaN', 'None', 'N/A', 'n/a') THEN text END AS text FROM documents")
+def _(spark, sf):
+    path = scratch_path(spark, "csv")
+    write_csv(table(spark, sf, "documents").select("doc_id", "text"), path)
+    return scan_csv(spark, path).select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+
+
+@query("json_round_trip", "SELECT o_orderkey, o_orderstatus, o_totalprice, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate FROM orders")
+def _(spark, sf):
+    path = scratch_path(spark, "json")
+    write_json(table(spark, sf, "orders"), path)
+    back = spark.read.schema("o_orderkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz").json(path)
+    return back.withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
+
+
+@query("report_round_trip", "SELECT md5(text) AS body, count(*) AS n FROM documents GROUP BY 1")
+def _(spark, sf):
+    """Bodies with line breaks stay whole: one row per report."""
+    path = scratch_path(spark, "reports")
+    write_report(table(spark, sf, "documents").select(F.col("text").alias("report_md")), path)
+    return read_reports(spark, path).groupBy(F.md5("report_md").alias("body")).agg(F.count(F.lit(1)).alias("n"))
+
+
+_LOADED = f"""WITH raw AS (SELECT o_orderkey, o_orderdate, 's' || lpad(CAST(o_orderkey % 30 AS STRING), 2, '0') AS code, o_custkey % 300 AS n, o_orderkey % 7 AS u FROM orders),
+airports AS ({VIEWS['airports']})"""
+
+
+@query(
+    "loaded_clean_data",
+    f"""{_LOADED} SELECT CAST("DEPARTURE_DATE" AS STRING) AS departure_date, code, city, notes, entries FROM (
+    SELECT strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS "DEPARTURE_DATE", upper(code) AS code, city, 'SAID "' || o_orderkey || '",' || chr(10) || 'THEN LEFT' AS notes, n AS entries
+    FROM raw LEFT JOIN airports ON upper(code) = iata WHERE u <> 3 AND n <= 200)""",
+)
+def _(spark, sf):
+    """Raw files with quotes and line breaks in cells, read and cleaned; undated rows leave."""
+    return B.load_clean_data(spark, _raw_files(spark, sf), _dims(spark, sf))[1].select(
+        F.date_format("DEPARTURE_DATE", "yyyy-MM-dd HH:mm:ss").alias("departure_date"), F.col("DEPARTURE_AIRPORT_IATA").alias("code"), F.col("DEPARTURE_CITY").alias("city"),
+        F.col("OPERATOR_NOTES").alias("notes"), F.col("ENTRIES").cast("bigint").alias("entries"),
+    )
+
+
+@query(
+    "undated_rows",
+    f"{_LOADED} SELECT count(*) FILTER (u = 3) AS n_unparsed, count(*) AS n_rows, 'alarms' AS source FROM raw UNION ALL SELECT count(*) FILTER (u = 3), count(*), 'travelers' FROM raw WHERE n <= 200",
+)
+def _(spark, sf):
+    return B.undated_rows(spark, _raw_files(spark, sf), _dims(spark, sf))
+
+
+def _raw_files(spark, sf) -> str:
+    """Both raw tables, made from all orders, as CSV folders."""
+    folder = scratch_path(spark, "raw")
+    k = F.col("o_orderkey")
+    notes = F.concat(F.lit('said "'), k.cast("string"), F.lit('",\nthen left'))
+    date = F.when(k % 7 == 3, "unknown").when(k % 2 == 0, F.date_format("o_orderdate", "d MMM yyyy HH:mm:ss")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm"))
+    n = (F.col("o_custkey") % 300).cast("string")
+    base = table(spark, sf, "orders").select(
+        F.lit("c01").alias("AREOPORTO_ARRIVO"), F.concat(F.lit("s"), F.lpad((k % 30).cast("string"), 2, "0")).alias("AREOPORTO_PARTENZA"), date.alias("DATA_PARTENZA"),
+        notes.alias("note_operatore"), n.alias("ENTRATI"), n.alias("INVESTIGATI"), n.alias("ALLARMATI"), F.lit("Allarmi Chiusi").alias("OCCORRENZE"), F.lit("1 voli").alias("tot voli"),
+    )
+    write_csv(base.drop("OCCORRENZE", "tot voli"), f"{folder}/TIPOLOGIA_VIAGGIATORE.csv")
+    write_csv(base.drop("ENTRATI", "INVESTIGATI", "ALLARMATI"), f"{folder}/ALLARMI.csv")
+    return folder

@@ -250,6 +250,27 @@ def _(spark, sf):
     return H.context_lines(_ruled(spark, sf), "alarm_rate", ID_COLS)
 
 
+@query(
+    "context_block",
+    f"""{RULED}, lines AS (SELECT row_number() OVER (ORDER BY alarm_rate DESC, {ID}) + 5 AS line, printf('- %s | airport=%s | entries=%d | alarms=%d | alarm_rate=%.3f (baseline=%.3f) | traffic_multiplier=%.2fx | rules_fired=%d [%s] | severity=%.3f',
+strftime(departure_date, '%Y-%m-%d'), departure_airport_iata, entries, total_alarms_day, alarm_rate, airport_historical_avg_rate, traffic_multiplier, rules_fired,
+concat_ws(', ', CASE WHEN rule_rate_3x = 1 THEN 'rate>=3x' END, CASE WHEN rule_traffic_2x = 1 THEN 'traffic>=2x' END, CASE WHEN rule_volume_spike = 1 THEN 'volume_p99' END), alarm_rate) AS text
+FROM confirmed WHERE confirmed_anomaly = 1 AND departure_airport_iata IS NOT NULL)
+SELECT * FROM lines WHERE line < 16 UNION ALL SELECT 0, 'PERIMETER: {{}}' UNION ALL SELECT 1, 'USER QUERY: (none)'
+UNION ALL SELECT 2, 'TOTAL OBSERVATIONS IN SCOPE: ' || count(*) FROM confirmed WHERE departure_airport_iata IS NOT NULL
+UNION ALL SELECT 3, 'CONFIRMED ANOMALIES: ' || count(*) FROM confirmed WHERE confirmed_anomaly = 1 AND departure_airport_iata IS NOT NULL
+UNION ALL SELECT 4, '' UNION ALL SELECT 5, 'TOP CONFIRMED ANOMALIES (most severe first):'""",
+)
+def _(spark, sf):
+    return H.context_block(_ruled(spark, sf).dropna(subset=["departure_airport_iata"]), "alarm_rate", ID_COLS)
+
+
+@query("context_block_empty", f"""{RULED} SELECT CAST(0 AS BIGINT) AS line, 'PERIMETER: {{}}' AS text UNION ALL SELECT 1, 'USER QUERY: from nowhere' UNION ALL SELECT 2, 'TOTAL OBSERVATIONS IN SCOPE: ' || count(*) FROM confirmed WHERE confirmed_anomaly = 0
+UNION ALL SELECT 3, 'CONFIRMED ANOMALIES: 0' UNION ALL SELECT 4, '' UNION ALL SELECT 5, 'NO CONFIRMED ANOMALIES IN THIS PERIMETER.'""")
+def _(spark, sf):
+    return H.context_block(_ruled(spark, sf).filter("confirmed_anomaly = 0"), "alarm_rate", ID_COLS, request="from nowhere")
+
+
 @query("panel_detectors")
 def _(spark, sf):
     """Forest, LOF, three-sigma and rules on the whole panel."""

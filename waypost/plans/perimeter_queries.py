@@ -56,7 +56,7 @@ def _(spark, sf):
 
 REQ = f"""{with_views("requests", "airports", "alarms")},
 ctop AS (SELECT country, departure_airport_iata AS iata FROM (SELECT upper(departure_country) AS country, departure_airport_iata,
-   row_number() OVER (PARTITION BY upper(departure_country) ORDER BY count(*) DESC, departure_airport_iata) AS rn FROM alarms GROUP BY 1, 2) WHERE rn = 1),
+   row_number() OVER (PARTITION BY upper(departure_country) ORDER BY count(*) DESC, departure_airport_iata) AS rn FROM alarms WHERE departure_airport_iata IS NOT NULL GROUP BY 1, 2) WHERE rn = 1),
 cities AS (SELECT upper(city) AS city, max_by(iata, ord) AS iata, min(ord) AS ord FROM airports GROUP BY 1),
 asked AS (SELECT *, upper(user_request) AS txt FROM requests),
 tok AS (SELECT request_id, unnest(regexp_extract_all(txt, '\\b([A-Z][0-9]{{2}})\\b', 1)) AS code, generate_subscripts(regexp_extract_all(txt, '\\b([A-Z][0-9]{{2}})\\b', 1), 1) AS pos FROM asked),
@@ -118,7 +118,7 @@ def _(spark, sf):
 
 READY = f"{COUNTED}, ready AS (SELECT DISTINCT perimeter_id FROM status WHERE status = 'ready')"
 TAG = "SELECT unnest(['departure:' || departure_airport_iata, 'arrival:' || arrival_airport_iata, 'global']) AS perimeter_id, * FROM"
-TAGGED = f"{READY}, tt AS (SELECT * FROM ({TAG} travelers) SEMI JOIN ready USING (perimeter_id)), ta AS (SELECT * FROM ({TAG} alarms) SEMI JOIN ready USING (perimeter_id))"
+TAGGED = f"{READY}, tt AS (SELECT * FROM ({TAG} coded_travelers) SEMI JOIN ready USING (perimeter_id)), ta AS (SELECT * FROM ({TAG} coded_alarms) SEMI JOIN ready USING (perimeter_id))"
 
 
 def _tagged(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:

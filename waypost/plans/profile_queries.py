@@ -15,7 +15,7 @@ from waypost.plans.route_queries import ROUTE_MASTER, routes_of
 from waypost.session import materialize
 
 DIRTY_COLS = ["raw_count", "raw_gender", "raw_zone", "raw_text", "text_backup", "raw_risk"]
-ORDER_COLS = [("o_orderkey", "bigint"), ("o_orderstatus", "string"), ("o_totalprice", "double"), ("o_orderpriority", "string")]
+ORDER_COLS = [("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"), ("o_totalprice", "double"), ("o_orderdate", "timestamp_ntz"), ("o_orderpriority", "string")]
 WT = with_views("travelers")
 SIGNALS = ["entries", "investigated", "alarms"]
 
@@ -201,7 +201,7 @@ def _(spark, sf):
 
 @query(
     "top_routes",
-    f"{with_views('alarms')} SELECT departure_airport_iata, arrival_airport_iata, count(*) AS n, departure_airport_iata || ' -> ' || arrival_airport_iata AS route FROM alarms GROUP BY 1, 2 ORDER BY 3 DESC, 1, 2 LIMIT 15",
+    f"{with_views('alarms')} SELECT departure_airport_iata, arrival_airport_iata, count(*) AS n, departure_airport_iata || ' -> ' || arrival_airport_iata AS route FROM coded_alarms GROUP BY 1, 2 ORDER BY 3 DESC, 1, 2 LIMIT 15",
 )
 def _(spark, sf):
     return C.top_routes(view(spark, sf, "alarms"), "departure_airport_iata", "arrival_airport_iata")

@@ -154,6 +154,21 @@ def _(spark, sf):
     return G.excluded(post, post.filter(F.col("risk_level") == "HIGH")).select("route", "quality_note", "risk_level")
 
 
+# Every route counts as consensus here, so that all disqualifying notes occur.
+@query(
+    "disqualified_routes",
+    f"{FLAGGED} SELECT route, {NOTE} AS quality_note FROM scored WHERE {NOTE} IN ('{vocab.NOTE_INCOMPLETE}', '{vocab.NOTE_FALSE_POSITIVE}')",
+)
+def _(spark, sf):
+    every = materialize(G.with_confidence(voted_routes(spark, sf)))
+    return G.excluded(every, G.drop_disqualified(every)).select("route", "quality_note")
+
+
+@query("qualified_routes", f"{FLAGGED} SELECT route, {NOTE} AS quality_note FROM scored WHERE {NOTE} NOT IN ('{vocab.NOTE_INCOMPLETE}', '{vocab.NOTE_FALSE_POSITIVE}')")
+def _(spark, sf):
+    return G.drop_disqualified(G.with_confidence(voted_routes(spark, sf))).select("route", "quality_note")
+
+
 @query(
     "run_summary",
     f"{POST} SELECT (SELECT count(*) FROM scored) AS n_routes, (SELECT count(*) FROM scored WHERE anomaly_votes >= 3) AS n_votes_3, (SELECT count(*) FROM post) AS n_consensus, "

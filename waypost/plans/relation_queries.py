@@ -15,6 +15,8 @@ K = ", ".join(KEYS)
 BOTH = with_views("travelers", "alarms")
 SIDES = f"{BOTH}, a AS (SELECT {K}, count(*) AS n_a FROM alarms GROUP BY {K}), t AS (SELECT {K}, count(*) AS n_t FROM travelers GROUP BY {K})"
 
+CODED_SIDES = SIDES.replace("FROM alarms GROUP", "FROM coded_alarms GROUP").replace("FROM travelers GROUP", "FROM coded_travelers GROUP")
+
 
 def _sides(spark, sf):
     a = view(spark, sf, "alarms").groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n_a"))
@@ -50,11 +52,22 @@ def _(spark, sf):
 
 @query(
     "merge_loss",
-    f"{SIDES}, m AS (SELECT count(*) AS n FROM a JOIN t USING ({K})) SELECT (SELECT count(*) FROM a) AS n_left, n AS n_left_matched, n AS n_merged, {R('100.0 * (1 - n / (SELECT count(*) FROM a))')} AS loss_pct, "
-    "CAST(100.0 * (1 - n / (SELECT count(*) FROM a)) > 20 AS INT) AS warn FROM m",
+    "WITH m AS (SELECT count(*) AS n FROM orders JOIN supplier ON o_custkey % 150 = s_suppkey), s AS (SELECT (SELECT count(*) FROM orders) AS n_left, (SELECT count(*) FROM supplier) AS n_right) "
+    f"SELECT n_left, n_right, n AS n_merged, {R('100.0 * (1 - n / least(n_left, n_right))')} AS loss_pct, CAST(100.0 * (1 - n / least(n_left, n_right)) > 20 AS INT) AS warn FROM m CROSS JOIN s",
 )
 def _(spark, sf):
-    a, t = _sides(spark, sf)
+    """Keys that repeat on the left, and a smaller right side."""
+    a = table(spark, sf, "orders").select((F.col("o_custkey") % 150).alias("k"))
+    return J.merge_with_loss(a, table(spark, sf, "supplier").select(F.col("s_suppkey").alias("k")), ["k"])[1].withColumn("loss_pct", r6("loss_pct"))
+
+
+@query(
+    "merge_loss_routes",
+    f"{CODED_SIDES}, m AS (SELECT count(*) AS n FROM a JOIN t USING ({K})), s AS (SELECT (SELECT count(*) FROM a) AS n_left, (SELECT count(*) FROM t) AS n_right) "
+    f"SELECT n_left, n_right, n AS n_merged, {R('100.0 * (1 - n / least(n_left, n_right))')} AS loss_pct, CAST(100.0 * (1 - n / least(n_left, n_right)) > 20 AS INT) AS warn FROM m CROSS JOIN s",
+)
+def _(spark, sf):
+    a, t = (df.dropna(subset=KEYS) for df in _sides(spark, sf))
     return J.merge_with_loss(a, t, KEYS)[1].withColumn("loss_pct", r6("loss_pct"))
 
 
@@ -99,7 +112,7 @@ def _(spark, sf):
 
 
 _COVER = (
-    f"{SIDES} SELECT (SELECT count(*) FROM a) AS n_left, (SELECT count(*) FROM t) AS n_right, (SELECT count(*) FROM a SEMI JOIN t USING ({K})) AS n_shared, "
+    f"{CODED_SIDES} SELECT (SELECT count(*) FROM a) AS n_left, (SELECT count(*) FROM t) AS n_right, (SELECT count(*) FROM a SEMI JOIN t USING ({K})) AS n_shared, "
     f"(SELECT count(*) FROM a ANTI JOIN t USING ({K})) AS n_left_only, (SELECT count(*) FROM t ANTI JOIN a USING ({K})) AS n_right_only, "
     f"{R(f'(SELECT count(*) FROM a SEMI JOIN t USING ({K})) / (SELECT count(*) FROM a FULL JOIN t USING ({K}))')} AS jaccard"
 )

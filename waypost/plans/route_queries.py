@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from waypost.operators import features as X
 from waypost.operators import routes as D
-from waypost.plans.fixtures import CATEGORIES, view, with_views
+from waypost.plans.fixtures import CATEGORIES, CODED, view, with_views
 from waypost.plans.registry import R, n64, query, r6
 from waypost.sources.files import q
 
@@ -48,22 +48,22 @@ def _list(cols: list[tuple[str, str]], rounded: bool = False) -> str:
     return ", ".join(f"{R(e) if rounded else e} AS \"{n}\"" for n, e in cols)
 
 
-TRAVELER_SIDE = f"t_side AS (SELECT {KEYS}, {_list(TRAVELER_COLS)} FROM travelers GROUP BY {KEYS})"
+TRAVELER_SIDE = f"t_side AS (SELECT {KEYS}, {_list(TRAVELER_COLS)} FROM coded_travelers GROUP BY {KEYS})"
 ALARM_SIDE = f"""
 zone_n AS (SELECT {KEYS}, zone, row_number() OVER (PARTITION BY {KEYS} ORDER BY count(*) DESC, zone) AS rn
-           FROM alarms WHERE zone IS NOT NULL GROUP BY {KEYS}, zone),
+           FROM coded_alarms WHERE zone IS NOT NULL GROUP BY {KEYS}, zone),
 reason_n AS (SELECT {KEYS}, alarm_reason, row_number() OVER (PARTITION BY {KEYS} ORDER BY count(*) DESC, alarm_reason) AS rn
-             FROM alarms WHERE alarm_reason IS NOT NULL GROUP BY {KEYS}, alarm_reason),
+             FROM coded_alarms WHERE alarm_reason IS NOT NULL GROUP BY {KEYS}, alarm_reason),
 descr AS (SELECT {KEYS}, min(departure_country) AS departure_country, z.zone AS zone,
                  count(CASE WHEN risk_flag = 'HIGH RISK' THEN 1 END) AS n_high_risk,
                  count(CASE WHEN risk_flag = 'MEDIUM RISK' THEN 1 END) AS n_medium_risk,
                  r.alarm_reason AS alarm_reason_top
-          FROM alarms a LEFT JOIN (SELECT * FROM zone_n WHERE rn = 1) z USING ({KEYS})
+          FROM coded_alarms a LEFT JOIN (SELECT * FROM zone_n WHERE rn = 1) z USING ({KEYS})
                LEFT JOIN (SELECT * FROM reason_n WHERE rn = 1) r USING ({KEYS})
           GROUP BY {KEYS}, z.zone, r.alarm_reason),
-pivoted AS (SELECT {KEYS}, {OCC_SUMS} FROM alarms GROUP BY {KEYS} HAVING count(occurrences) > 0),
+pivoted AS (SELECT {KEYS}, {OCC_SUMS} FROM coded_alarms GROUP BY {KEYS} HAVING count(occurrences) > 0),
 a_side AS (SELECT * FROM pivoted JOIN descr USING ({KEYS}))
-""".replace("alarms a LEFT JOIN", "(SELECT * RENAME (zone AS zone_raw, alarm_reason AS reason_raw) FROM alarms) a LEFT JOIN")
+""".replace("coded_alarms a LEFT JOIN", "(SELECT * RENAME (zone AS zone_raw, alarm_reason AS reason_raw) FROM coded_alarms) a LEFT JOIN")
 NUMERIC = [f"tot_{v}" for v in OCC] + ["n_high_risk", "n_medium_risk", "zone"] + [n for n, _ in TRAVELER_COLS]
 ROUTE_MASTER = f"""{with_views("travelers", "alarms")}, {TRAVELER_SIDE}, {ALARM_SIDE},
 routes AS (SELECT COALESCE(a.departure_airport_iata, t.departure_airport_iata) AS departure_airport_iata,
@@ -117,7 +117,7 @@ matrix AS (SELECT route, {", ".join(f"CASE WHEN sd{i} > 0 THEN (l{i} - mu{i}) /
            FROM logs CROSS JOIN moments)"""
 
 
-@query("occurrence_pivot", f"{with_views('alarms')} SELECT {KEYS}, {OCC_SUMS} FROM alarms GROUP BY {KEYS} HAVING count(occurrences) > 0")
+@query("occurrence_pivot", f"{with_views('alarms')} SELECT {KEYS}, {OCC_SUMS} FROM coded_alarms GROUP BY {KEYS} HAVING count(occurrences) > 0")
 def _(spark, sf):
     return D.pivot_occurrences(view(spark, sf, "alarms"), OCC)
 
@@ -165,30 +165,35 @@ def _(spark, sf):
     return D.top_categories(view(spark, sf, "travelers"), "control_outcome", 4).select("value", "n", n64("place"))
 
 
-@query("route_traveler_totals", f"{with_views('travelers')} SELECT {KEYS}, {_list(TOTALS)}, {_list(RATES, True)} FROM travelers GROUP BY {KEYS}")
+@query("route_traveler_totals", f"{with_views('travelers')} SELECT {KEYS}, {_list(TOTALS)}, {_list(RATES, True)} FROM coded_travelers GROUP BY {KEYS}")
 def _(spark, sf):
     out = D.route_traveler_agg(view(spark, sf, "travelers"))
     return out.select(*D.ROUTE, *[n for n, _ in TOTALS], *[r6(n) for n, _ in RATES])
 
 
-@query("segmented_rates", f"{with_views('travelers')} SELECT {KEYS}, {_list(NAT_RATES, True)} FROM travelers GROUP BY {KEYS}")
+@query("segmented_rates", f"{with_views('travelers')} SELECT {KEYS}, {_list(NAT_RATES, True)} FROM coded_travelers GROUP BY {KEYS}")
 def _(spark, sf):
     out = D.segmented_rates(view(spark, sf, "travelers"), "nationality", NAT, "alert_rate_")
     return out.select(*D.ROUTE, *[r6(n) for n, _ in NAT_RATES])
 
 
-@query("segmented_document_rates", f"{with_views('travelers')} SELECT {KEYS}, {_list(DOC_RATES, True)} FROM travelers GROUP BY {KEYS}")
+@query("segmented_document_rates", f"{with_views('travelers')} SELECT {KEYS}, {_list(DOC_RATES, True)} FROM coded_travelers GROUP BY {KEYS}")
 def _(spark, sf):
     out = D.segmented_rates(view(spark, sf, "travelers"), "document_type2", DOC, "alert_rate_doc_")
     return out.select(*D.ROUTE, *[r6(n) for n, _ in DOC_RATES])
 
 
-@query("category_shares", f"{with_views('travelers')} SELECT {KEYS}, {_list(NAT_SHARES + OUT_SHARES, True)} FROM travelers GROUP BY {KEYS}")
+@query("category_shares", f"{with_views('travelers')} SELECT {KEYS}, {_list(NAT_SHARES + OUT_SHARES, True)} FROM coded_travelers GROUP BY {KEYS}")
 def _(spark, sf):
     out = D.category_shares(view(spark, sf, "travelers"), NAT, OUT)
     return out.select(*D.ROUTE, *[r6(n) for n, _ in NAT_SHARES + OUT_SHARES])
 
 
+@query("uncoded_rows", f"{with_views('alarms')} SELECT count(*) AS n_rows, count(*) FILTER (NOT ({CODED})) AS n_uncoded FROM alarms")
+def _(spark, sf):
+    return D.uncoded(view(spark, sf, "alarms"))
+
+
 @query("route_master", f"{ROUTE_MASTER} {ROUTE_OUTPUT}")
 def _(spark, sf):
     return show_routes(routes_of(spark, sf))
@@ -216,7 +221,7 @@ def _(spark, sf):
 @query(
     "country_top_airport",
     f"{with_views('alarms')} SELECT country, departure_airport_iata AS iata FROM (SELECT upper(departure_country) AS country, departure_airport_iata, "
-    "row_number() OVER (PARTITION BY upper(departure_country) ORDER BY count(*) DESC, departure_airport_iata) AS rn FROM alarms GROUP BY 1, 2) WHERE rn = 1",
+    "row_number() OVER (PARTITION BY upper(departure_country) ORDER BY count(*) DESC, departure_airport_iata) AS rn FROM alarms WHERE departure_airport_iata IS NOT NULL GROUP BY 1, 2) WHERE rn = 1",
 )
 def _(spark, sf):
     return D.country_top_iata(view(spark, sf, "alarms"))

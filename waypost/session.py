@@ -49,6 +49,11 @@ def scratch_dir(spark: SparkSession) -> str:
     return made
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` once and return a frame that scans the written table.
 
@@ -56,6 +61,6 @@ def materialize(df: DataFrame) -> DataFrame:
     schema-inference job.
     """
     spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/table-{uuid.uuid4().hex}"
+    path = scratch_path(spark, "table")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

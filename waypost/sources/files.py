@@ -15,18 +15,25 @@ NA_TOKENS = [
 ]
 
 
+# Ends a report body in a text file: record separator and line feed.
+REPORT_END = "\x1e\n"
+
+
 def csv_header(spark: SparkSession, path: str) -> list[str]:
     """Column names of a CSV file, without scanning its rows."""
-    return spark.read.option("header", True).option("enforceSchema", True).csv(path).columns
+    return spark.read.option("header", True).option("escape", '"').option("enforceSchema", True).csv(path).columns
 
 
-def scan_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def scan_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool = True) -> DataFrame:
     """CSV with a header. Without a schema every column is read as text.
 
     Raw columns are dirty, so types are never inferred; that also saves the
-    extra pass over the data. Cells holding an NA token become NULL.
+    extra pass over the data. Cells holding an NA token become NULL. Quotes
+    inside quoted cells are doubled, and such cells may hold line breaks. Files
+    with line breaks in cells cannot be split, so large inputs should come as
+    many files; ``multi_line=False`` splits files that have none.
     """
-    reader = spark.read.option("header", True).option("multiLine", False)
+    reader = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
     if schema is not None:
         reader = reader.schema(schema)
     df = reader.csv(path)
@@ -42,7 +49,8 @@ def scan_parquet(spark: SparkSession, path: str) -> DataFrame:
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """One file per partition; rows are never pulled into a single task."""
-    df.write.mode(mode).option("header", True).csv(path)
+    quoted = df.write.mode(mode).option("header", True).option("escape", '"')
+    quoted.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def write_json(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -57,8 +65,13 @@ def json_records(df: DataFrame, column: str = "record") -> DataFrame:
 
 
 def write_report(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Report bodies as text, one row per report."""
-    df.select("report_md").write.mode(mode).text(path)
+    """Report bodies as text files; a mark that no text holds ends each body, as bodies have line breaks."""
+    df.select(F.coalesce("report_md", F.lit("")).alias("report_md")).write.mode(mode).option("lineSep", REPORT_END).text(path)
+
+
+def read_reports(spark: SparkSession, path: str) -> DataFrame:
+    """One row per report of ``write_report``."""
+    return spark.read.option("lineSep", REPORT_END).text(path).withColumnRenamed("value", "report_md")
 
 
 def q(name: str) -> str:
