@@ -106,3 +106,15 @@ def test_published_priority(spark):
 
     row = spark.createDataFrame([(0.382353, 1.0, 0.689407)], "rate_n double, alarms_n double, ci_tightness double")
     assert priority_score(row).first()["priority_score"] == 0.4339
+
+
+@pytest.mark.parametrize(
+    "raw,want",
+    [
+        ("5/1/2024 10:00", "2024-01-05 10:00:00"), ("2024-01-05 10:20", "2024-01-05 10:20:00"), ("5 Jan 2024", "2024-01-05 00:00:00"), ("Jan 5, 2024", "2024-01-05 00:00:00"),
+        ("January 5 2024", "2024-01-05 00:00:00"), ("2024-01-05T10:20:30.500", "2024-01-05 10:20:30.500000"), ("20240105", "2024-01-05 00:00:00"),
+        ("05/13/2024", "2024-05-13 00:00:00"), ("13/05/2024", "2024-05-13 00:00:00"), ("05-13-24", "2024-05-13 00:00:00"), ("Marble 5 2024", "None"), ("31/02/2024", "None"), ("13/13/2024", "None"),
+    ],
+)
+def test_more_date_layouts(spark, raw, want):
+    assert str(one(spark, parse_dates(F.col("x")), x=raw)) == want

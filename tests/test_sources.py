@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from waypost.operators.cleaning import Dims, load_clean_data, missing_policy
+from waypost.operators.cleaning import Dims, load_clean_data, missing_policy, undated_rows
 from waypost.sources import dims as DM
 from waypost.sources import files as FI
 from waypost.sources import vocab
@@ -73,3 +73,22 @@ def test_missing_policy_fills(spark):
     assert {r["column_name"]: r["action"] for r in decisions.collect()} == {"k": "keep", "a": "drop", "n": "fill_and_flag", "c": "fill_mode"}
     assert "a" not in out.columns and out.filter(F.col("n").isNull() | F.col("c").isNull()).count() == 0
     assert out.agg(F.sum("n_missing")).first()[0] == 3
+
+
+def test_csv_quotes_and_line_breaks(spark, tmp_path):
+    (tmp_path / "in.csv").write_text('id,note,zone\n1,"He said ""hi"", then left",5\n2,"two\nlines",6\n3," padded ",7\n')
+    want = [("1", 'He said "hi", then left', "5"), ("2", "two\nlines", "6"), ("3", " padded ", "7")]
+    df = FI.scan_csv(spark, str(tmp_path / "in.csv"))
+    assert sorted(map(tuple, df.collect())) == want
+    FI.write_csv(df, str(tmp_path / "out"))
+    assert sorted(map(tuple, FI.scan_csv(spark, str(tmp_path / "out")).collect())) == want
+    text = "".join(p.read_text() for p in (tmp_path / "out").glob("part-*"))
+    assert '""hi""' in text and "\\" not in text
+
+
+def test_undated_rows_are_counted(spark, tmp_path):
+    (tmp_path / "ALLARMI.csv").write_text("AREOPORTO_ARRIVO,AREOPORTO_PARTENZA,DATA_PARTENZA\nFCO,TIA,20240105\nFCO,TIA,soon\n")
+    (tmp_path / "TIPOLOGIA_VIAGGIATORE.csv").write_text("AREOPORTO_ARRIVO,AREOPORTO_PARTENZA,DATA_PARTENZA\nFCO,TIA,\"Jan 5, 2024\"\n")
+    dims = Dims(DM.dim(spark, [("TIA", "Tirana", "Rinas")], "iata string, city string, airport string"), DM.countries(spark))
+    assert {r["source"]: (r["n_unparsed"], r["n_rows"]) for r in undated_rows(spark, str(tmp_path), dims).collect()} == {"alarms": (1, 2), "travelers": (0, 1)}
+    assert [df.count() for df in load_clean_data(spark, str(tmp_path), dims)] == [1, 1]

@@ -19,7 +19,6 @@ from waypost.sources.files import (
     json_records,
     normalise_headers,
     preview,
-    read_reports,
     rename_columns,
     scan_csv,
     schema_summary,
@@ -474,12 +473,12 @@ def _(spark, sf):
     return back.withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
 
 
-@query("report_round_trip", "SELECT md5(text) AS body, count(*) AS n FROM documents GROUP BY 1")
+@query("report_round_trip", "SELECT line, count(*) AS n FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents) GROUP BY 1")
 def _(spark, sf):
-    """Bodies with line breaks stay whole: one row per report."""
+    """Every line of every body, read back."""
     path = scratch_path(spark, "reports")
     write_report(table(spark, sf, "documents").select(F.col("text").alias("report_md")), path)
-    return read_reports(spark, path).groupBy(F.md5("report_md").alias("body")).agg(F.count(F.lit(1)).alias("n"))
+    return spark.read.text(path).groupBy(F.col("value").alias("line")).agg(F.count(F.lit(1)).alias("n"))
 
 
 _LOADED = f"""WITH raw AS (SELECT o_orderkey, o_orderdate, 's' || lpad(CAST(o_orderkey % 30 AS STRING), 2, '0') AS code, o_custkey % 300 AS n, o_orderkey % 7 AS u FROM orders),
