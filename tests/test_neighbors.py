@@ -124,6 +124,22 @@ def test_dbscan(spark, block_rows):
     np.testing.assert_allclose([sev[k] for k in keys], d[:, core].min(1), atol=1e-12)
 
 
+def test_visits_reach_every_box_that_counts():
+    """Several hundred small boxes: the same pairs as testing all boxes, and few of them for the nearest point."""
+    rng = np.random.default_rng(12)
+    corner = np.sort(rng.uniform(0, 100, (500, 3)), axis=0)
+    lo, hi = corner, corner + rng.uniform(0, 2, (500, 3))
+    x, reach = rng.uniform(0, 100, (200, 3)), rng.uniform(0, 30, 200)
+    gaps = np.sqrt((np.maximum(np.maximum(lo[None] - x[:, None], x[:, None] - hi[None]), 0) ** 2).sum(2))
+    want = {tuple(p) for p in np.argwhere(gaps <= reach[:, None])}
+    assert set(zip(*N._visits(x, reach.copy(), lo, hi))) == want
+    qi, bi = N._visits(x, np.full(200, np.inf), lo, hi, nearest=True)
+    assert {(i, int(gaps[i].argmin())) for i in range(200)} <= set(zip(qi.tolist(), bi.tolist()))
+    far = np.sqrt((np.maximum(np.abs(lo[None] - x[:, None]), np.abs(hi[None] - x[:, None])) ** 2).sum(2))
+    needed = (gaps <= far.min(1)[:, None]).sum()  # with the best reach that boxes alone can give
+    assert needed <= len(qi) < 3 * needed
+
+
 def test_connected_components(spark):
     # One long chain, one hub with a third of all links, one pair.
     links = [(f"c{i:03d}", f"c{i + 1:03d}") for i in range(60)] + [("h000", f"h{i:03d}") for i in range(1, 40)] + [("z1", "z2")]

@@ -32,6 +32,7 @@ QUERY_CHUNK = 8192
 MAX_BLOCKS = 50_000
 MAX_SAMPLE = 200_000
 _TILE = 256
+BOX_RUN = 64  # blocks whose common box is looked at first
 _SLACK = 1 + 1e-9
 
 
@@ -376,19 +377,19 @@ def _by_scope(table: pa.Table, by: list[str], known) -> Iterator[tuple[tuple, np
             yield s, np.flatnonzero([t == s for t in scopes])
 
 
-def _search(queries: DataFrame, blocks: Blocks, kernel, own_block: bool) -> DataFrame:
+def _search(queries: DataFrame, blocks: Blocks, kernel, own_block: bool, nearest: bool = False) -> DataFrame:
     """Run a kernel for every query against each block it may have to visit.
 
     ``queries`` has ``by``, ``p``, ``x`` and ``reach`` (how far a useful point
     may be). With ``own_block=False`` blocks equal to the query's ``blk`` are
-    left out.
+    left out. ``nearest`` says that only the nearest point counts.
     """
     by = blocks.by
     schema = kernel.schema(blocks.by_fields)
     if blocks.single:
         routed = queries.withColumn("blk", F.lit(0))
     else:
-        routed = materialize(_route(queries, blocks, own_block))
+        routed = materialize(_route(queries, blocks, own_block, nearest))
     # With one block per scope the scope alone is the key; without scopes there
     # is one count, which needs no join.
     on = list(by) if blocks.single else [*by, "blk"]
@@ -420,7 +421,46 @@ def _arrow_types(schema: T.StructType) -> list[pa.DataType]:
     return [known[f.dataType] for f in schema.fields]
 
 
-def _route(queries: DataFrame, blocks: Blocks, own_block: bool) -> DataFrame:
+def _gaps(x: np.ndarray, lo: np.ndarray, hi: np.ndarray, far: bool = False) -> np.ndarray:
+    """Distance of every point to the nearest (or farthest) place in every box."""
+    total = np.zeros((len(x), len(lo)))
+    for j in range(lo.shape[1]):
+        v = x[:, j, None]
+        below, above = lo[None, :, j] - v, v - hi[None, :, j]
+        out = np.maximum(np.abs(below), np.abs(above)) if far else np.maximum(np.maximum(below, above), 0.0)
+        total += out * out
+    return np.sqrt(total)
+
+
+def _visits(x: np.ndarray, reach: np.ndarray, lo: np.ndarray, hi: np.ndarray, nearest: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of point and box no farther than the point's reach.
+
+    Boxes are numbered along the cut tree, so runs of them lie together: the
+    boxes of a run are looked at only by the points that reach the run's own
+    box. With ``nearest`` the reach shrinks first to the farthest place of the
+    box where that is least, as every box holds a point.
+    """
+    runs = [slice(a, a + BOX_RUN) for a in range(0, len(lo), BOX_RUN)]
+    run_lo, run_hi = np.array([lo[r].min(0) for r in runs]), np.array([hi[r].max(0) for r in runs])
+    near = _gaps(x, run_lo, run_hi)
+    if nearest:
+        reach = np.minimum(reach, _gaps(x, run_lo, run_hi, far=True).min(1))
+        closest = near.argmin(1)
+        for k in np.unique(closest):
+            rows = np.flatnonzero(closest == k)
+            reach[rows] = np.minimum(reach[rows], _gaps(x[rows], lo[runs[k]], hi[runs[k]], far=True).min(1))
+    limit = reach * _SLACK + 1e-12
+    points, boxes = [], []
+    for k, r in enumerate(runs):
+        rows = np.flatnonzero(near[:, k] <= limit)
+        if len(rows):
+            hit, box = np.nonzero(_gaps(x[rows], lo[r], hi[r]) <= limit[rows, None])
+            points.append(rows[hit])
+            boxes.append(box + r.start)
+    return (np.concatenate(points), np.concatenate(boxes)) if points else (np.empty(0, np.int64), np.empty(0, np.int64))
+
+
+def _route(queries: DataFrame, blocks: Blocks, own_block: bool, nearest: bool = False) -> DataFrame:
     """One row per (query, block to visit)."""
     by = blocks.by
     by_scope: dict[tuple, list] = {}
@@ -439,7 +479,7 @@ def _route(queries: DataFrame, blocks: Blocks, own_block: bool) -> DataFrame:
         for batch in batches:
             table = pa.Table.from_batches([batch])
             x = _vectors(table)
-            reach = table.column("reach").to_numpy()
+            reach = table.column("reach").to_numpy().copy()
             home = table.column("blk").to_numpy() if has_home else np.full(len(x), -1)
             bare = table.select(cols)
             for s, rows in _by_scope(table, by, solo.value):
@@ -449,15 +489,10 @@ def _route(queries: DataFrame, blocks: Blocks, own_block: bool) -> DataFrame:
                 lo, hi, number = packed.value[s]
                 for start in range(0, len(rows), _TILE):
                     part = rows[start : start + _TILE]
-                    gap = np.zeros((len(part), len(lo)))
-                    for j in range(lo.shape[1]):
-                        v = x[part, j, None]
-                        out = np.maximum(np.maximum(lo[None, :, j] - v, v - hi[None, :, j]), 0.0)
-                        gap += out * out
-                    go = np.sqrt(gap) <= reach[part, None] * _SLACK + 1e-12
+                    qi, bi = _visits(x[part], reach[part], lo, hi, nearest)
                     if not own_block:
-                        go &= number[None, :] != home[part, None]
-                    qi, bi = np.nonzero(go)
+                        other = number[bi] != home[part[qi]]
+                        qi, bi = qi[other], bi[other]
                     found = bare.take(pa.array(part[qi]))
                     yield from found.append_column("blk", pa.array(number[bi].astype(np.int32))).to_batches()
 
@@ -800,7 +835,7 @@ def core_distance(df: DataFrame, key: str, vec: str, by: Sequence[str] = (), min
     base = materialize(nb.points.join(cores.withColumnRenamed("o", "p"), [*by, "p"], "left_semi"))
     blocks = make_blocks(base, by, block_rows)
     reach = lost.withColumn("reach", F.lit(float("inf")))
-    far = _search(reach, blocks, _TopK(1, blocks.key_type), own_block=True).groupBy(*by, "p").agg(F.min("dist").alias("d"))
+    far = _search(reach, blocks, _TopK(1, blocks.key_type), own_block=True, nearest=True).groupBy(*by, "p").agg(F.min("dist").alias("d"))
     scores = nb.points.select(*by, "p").join(near.unionByName(far), [*by, "p"], "left")
     scores = scores.select(*by, "p", F.coalesce("d", F.lit(0.0)).alias("dbscan_severity"))
     return point_scores(nb, key, scores)
