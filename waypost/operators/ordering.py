@@ -55,7 +55,7 @@ def global_rank(
 
 def sample_n(df: DataFrame, key: Sequence[str], n: int, seed: int = 42) -> DataFrame:
     """``n`` rows chosen by a hash of the key: same rows for any partitioning."""
-    return df.orderBy(F.xxhash64(*key, F.lit(seed)), *key).limit(n)
+    return df.orderBy(F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in key])), *key).limit(n)
 
 
 def distinct_rows(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -15,6 +15,7 @@ from waypost.sources.files import numeric_columns, q, text_columns
 WARN_CARDINALITY = 15
 HIGH_CARDINALITY = 400
 MAD_SCALE = 0.6745
+LONG_TEXT = 64
 
 
 def value_frequencies(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -25,13 +26,15 @@ def value_frequencies(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def profile(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
     """Type, missing count and share, and number of distinct values per column.
 
-    ``exact`` counts distinct values through one (column, value) aggregate.
+    ``exact`` counts distinct values through one (column, value) aggregate, in
+    which a digest stands for a long text.
     ``exact=False`` uses sketches in a single pass without expanding rows.
     """
     chosen = list(cols) if cols is not None else df.columns
     kinds = dict(df.dtypes)
     if exact:
-        freq = value_frequencies(df, chosen)
+        short = F.when(F.length("value") > LONG_TEXT, F.sha2("value", 256)).otherwise(F.col("value"))
+        freq = melt(df, chosen).groupBy("column_name", short.alias("value")).agg(F.count(F.lit(1)).alias("n"))
         counted = freq.groupBy("column_name").agg(
             F.sum("n").alias("n_rows"),
             F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("missing"),
