@@ -35,7 +35,7 @@ def test_oracles(spark, sf, name):
 
 
 def test_stages(spark, sf):
-    from test_simhash import grouped, plain
+    from test_simhash import similar
 
     docs = table(spark, sf, "documents")
     columns, before = docs.columns, None
@@ -47,7 +47,7 @@ def test_stages(spark, sf):
             assert set(have) == {d for d, r in had.items() if quality.first_rejection(quality.Text(r.text), quality.RULES) is None}
         if name == "near-duplicates":
             ids = sorted(had)
-            assert set(have) == {ids[i] for i in grouped([plain(had[d].text) for d in ids])}
+            assert set(have) == {ids[i] for i in similar([had[d].text for d in ids])}
         if name == "personal data":
             assert set(have) == set(had)
             for d, r in have.items():

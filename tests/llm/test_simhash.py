@@ -33,6 +33,26 @@ def grouped(fps, radius=3):
     return [find(i) for i in range(len(fps))]
 
 
+def similar(texts):
+    """Roots of the texts that link by either fingerprint, from all pairs."""
+    fps, wide = [plain(t) for t in texts], [simhash.wide_fingerprint(t or "") for t in texts]
+    masks = [m << (32 * part) for part in range(4) for m in simhash.covering_masks(3, 32)]
+    whole = [a << 64 | b for a, b in wide]
+    parent = list(range(len(texts)))
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, j in itertools.combinations(range(len(texts)), 2):
+        x = whole[i] ^ whole[j]
+        if (fps[i] ^ fps[j]).bit_count() <= 3 or x.bit_count() <= simhash.WIDE_BITS and any(not x & m for m in masks):
+            a, b = find(i), find(j)
+            parent[max(a, b)] = min(a, b)
+    return [find(i) for i in range(len(texts))]
+
+
 @pytest.mark.parametrize("radius", [1, 2, 3, 4])
 def test_masks_cover(radius):
     masks = simhash.covering_masks(radius)
@@ -73,6 +93,38 @@ def test_links_find_every_group(spark, monkeypatch, tile):
     assert len(set(zip(mine, want))) == len(set(mine)) == len(set(want))
 
 
+def test_wide_links_catch_similar_texts(spark):
+    """Copies with one word in a hundred changed come together; texts that share a third of their words stay apart."""
+    rng = random.Random(21)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    rows, group = [], []
+    for g in range(30):
+        words = [word() for _ in range(300)]
+        for copy in range(3):
+            own = list(words)
+            for i in rng.sample(range(300), 3 * (copy > 0)):
+                own[i] = word()
+            rows.append((len(rows), " ".join(own)))
+            group.append(g)
+        rows.append((len(rows), " ".join(words[:100] + [word() for _ in range(200)])))
+        group.append(1_000 + g)
+    got = {r.key: r["first"].key for r in simhash.similar_groups(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    first = {g: group.index(g) for g in group}
+    assert [got[i] for i in range(len(rows))] == [first[g] for g in group]
+
+
+def test_groups_of_any_size_are_screened_alike():
+    rng = np.random.default_rng(6)
+    sizes = [1, 2, 3, 16, 17, 40, 2]
+    fps = rng.integers(0, 1 << 63, (sum(sizes), 2)).astype(np.uint64)
+    for i in range(1, len(fps), 3):
+        fps[i] = fps[i - 1] ^ np.uint64(5)
+    cuts = np.concatenate([[0], np.cumsum(sizes)])
+    found = {frozenset(p) for p in simhash.forests(fps, cuts, 4)}
+    want = {frozenset((a + i, a + j)) for a, b in zip(cuts[:-1], cuts[1:]) for i, j in simhash.forest(fps[a:b], 4)}
+    assert found == want and found
+
+
 def test_components_of_long_chains(spark):
     n = 300
     order = list(range(n))
@@ -97,6 +149,8 @@ def test_edges(edge_docs, no_docs, edge_rows):
     kept = simhash.deduplicate(edge_docs)
     assert kept.columns == edge_docs.columns
     rows = kept.collect()
+    roots = similar([t for _, t, *_ in edge_rows])
+    least = {r: min((d for (d, *_), x in zip(edge_rows, roots) if x == r and d is not None), default=None) for r in roots}
     assert len(rows) == len(set(roots)) and {r.doc_id for r in rows} == {least[r] for r in roots}
     assert simhash.near_duplicates(no_docs).count() == 0 and simhash.deduplicate(no_docs).count() == 0
 
