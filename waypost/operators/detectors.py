@@ -132,7 +132,7 @@ def fit_detectors(
     forest = isolation_scores(matrix, key, "x", by, trees, seed)
     forest = flag_top(materialize(forest), "if_raw", contamination, "if_anomaly", by, n, severity="if_score").drop("if_raw")
 
-    nb = neighborhood(matrix, key, "x", by, block_rows=block_rows)
+    nb = neighborhood(matrix, key, "x", by, block_rows=block_rows, written=True)
     marks, params = density_points(nb)
     density = materialize(point_scores(nb, key, marks))
     density = flag_top(density, "lof_score", contamination, "lof_anomaly", by, n)

@@ -225,13 +225,14 @@ class _Forest:
 # ---------------------------------------------------------------- blocking
 
 
-def fixed_rows(df: DataFrame, key: str, vec: str, by: Sequence[str] = ()) -> DataFrame:
-    """``by, key, x`` written once.
+def fixed_rows(df: DataFrame, key: str, vec: str, by: Sequence[str] = (), written: bool = False) -> DataFrame:
+    """``by, key, x`` written once, unless ``df`` is a written table already.
 
     Vectors are later matched by value. Were they recomputed, a sum in another
     order could change a last digit and lose the match.
     """
-    return materialize(df.select(*by, F.col(key).alias("key"), F.col(vec).cast("array<double>").alias("x")))
+    rows = df.select(*by, F.col(key).alias("key"), F.col(vec).cast("array<double>").alias("x"))
+    return rows if written else materialize(rows)
 
 
 def distinct_points(rows: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -603,10 +604,10 @@ def lof_neighbors(n: Column, k: int = 20) -> Column:
     return F.greatest(F.lit(2), F.least(F.lit(k), n.cast("int") - 1))
 
 
-def neighborhood(df: DataFrame, key: str, vec: str, by: Sequence[str] = (), k: int = 20, min_k: int = 0, block_rows: int = BLOCK_ROWS) -> Neighborhood:
-    """Lists long enough for LOF with ``k`` and DBSCAN's k-distance."""
+def neighborhood(df: DataFrame, key: str, vec: str, by: Sequence[str] = (), k: int = 20, min_k: int = 0, block_rows: int = BLOCK_ROWS, written: bool = False) -> Neighborhood:
+    """Lists long enough for LOF with ``k`` and DBSCAN's k-distance. ``written`` says that ``df`` is a written table."""
     by = list(by)
-    source = fixed_rows(df, key, vec, by)
+    source = fixed_rows(df, key, vec, by, written)
     points = materialize(distinct_points(source, by))
     sizes = points.groupBy(*by).agg(F.sum("w").alias("n"))
     measured = sizes.agg(F.max("n").alias("n_max"), F.sum("n").alias("n_all")).first()

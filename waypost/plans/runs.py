@@ -21,7 +21,7 @@ from waypost.operators.perimeters import (
     tag_perimeters,
     traveler_routes_by_perimeter,
 )
-from waypost.operators.ranking import apply_business_rules, apply_post_processing
+from waypost.operators.ranking import apply_business_rules, apply_post_processing, drop_disqualified
 from waypost.operators.reports import perimeter_json, render_report, report_payload
 from waypost.operators.routes import (
     Categories,
@@ -52,8 +52,8 @@ def run_routes(alarms: DataFrame, travelers: DataFrame, cats: Categories | None
     """Whole data: route master, detectors, ranking."""
     routes = materialize(build_route_master(alarms, travelers, cats))
     scored = materialize(fit_detectors(routes, contamination=contamination, seed=seed, dbscan_info=True))
-    post, clean = apply_post_processing(scored)
-    return RouteRun(routes, scored, post, clean)
+    post = materialize(apply_post_processing(scored)[0])
+    return RouteRun(routes, scored, post, drop_disqualified(post))
 
 
 @dataclass(frozen=True)
@@ -86,8 +86,8 @@ def run_perimeters(
     routes = combine_sides(alarm_routes(tagged_a, occurrences, [SCOPE]), traveler_routes_by_perimeter(tagged_t), [SCOPE])
     routes = materialize(routes)
     scored = materialize(fit_detectors(routes, contamination=contamination, seed=seed, by=[SCOPE]))
-    post, clean = apply_post_processing(scored, [SCOPE])
-    post, clean = materialize(post), materialize(clean)
+    post = materialize(apply_post_processing(scored, [SCOPE])[0])
+    clean = drop_disqualified(post)
     payload = report_payload(scored, clean, [SCOPE])
     bodies = render_report(asked.join(payload, SCOPE, "left"), perimeter_json(F.col("role"), F.col("iata")))
     return PerimeterRun(asked, scored, post, clean, bodies.select("request_id", SCOPE, "status", "reason", "report_md"))
