@@ -81,6 +81,14 @@ def test_word_ids_match_library(monkeypatch):
         assert got == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_every_plain_character_matches_library():
+    library, encoder, rng = Tokenizer.from_file(WORDS), bitplanes.WordEncoder(WORDS), random.Random(3)
+    plain = [chr(c) for c in range(1, 0x180) if bitplanes.PLAIN.fullmatch(chr(c))]
+    texts = ["".join(rng.choice([*plain, "'S", "'re", "<|", "|>"]) for _ in range(rng.randint(0, 25))) for _ in range(4_000)] + plain
+    got = [np.frombuffer(b, "<u4").tolist() for b in encoder.encode(texts)]
+    assert got == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+
+
 @pytest.mark.parametrize("kind", ["bit", "byte"])
 def test_file_edges(spark, edge_docs, no_docs, monkeypatch, kind):
     library = Tokenizer.from_file(WORDS)

@@ -24,6 +24,7 @@ gives no chunks. Other columns are not read.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -37,12 +38,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from waypost.llm.common import per_process, slices, text_of
+from waypost.llm.common import Recent, per_process, slices, text_of
+from waypost.llm.token_counts import byte_letters
 from waypost.session import materialize
 
 MAGIC, VERSION = b"IDPL", 1
 #: Ids in a block and, about, in a chunk; zstandard level; distinct words a task remembers.
-BLOCK_IDS, CHUNK_IDS, LEVEL, MOST_WORDS = 1 << 16, 1 << 18, 3, 300_000
+BLOCK_IDS, CHUNK_IDS, LEVEL, MOST_WORDS = 1 << 16, 1 << 18, 3, 200_000
 HEAD, HEAD_SIZE = "<4sBBBxII", 16
 
 # ---- planes ----------------------------------------------------------------------------------------
@@ -91,10 +93,18 @@ def unpack_ids(payload: bytes) -> np.ndarray:
 # ---- encoding --------------------------------------------------------------------------------------
 
 
+#: Texts of these characters only are split here; published pattern of the tokenizer's words, for lower-cased such texts.
+PLAIN = re.compile(r"[\t\n\r -~À-ÖØ-öø-ÿ]*")
+PRETOKEN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+")
+
+
 class WordEncoder:
-    """Exact ids for tokenizers that drop white space: words between spaces and line ends are independent.
+    """Exact ids for byte-level tokenizers that lower-case and drop white space; ids of pieces seen lately are remembered.
 
-    Ids of words seen lately are remembered; the library encodes the others, many at a time.
+    Texts of plain letters, digits and signs are split into the tokenizer's own
+    words, which its model merges one by one. Other texts, and those with what
+    may be a special string, go to the library between spaces and line ends,
+    over which neither normalising nor splitting reaches.
     """
 
     def __init__(self, path: str):
@@ -102,31 +112,29 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {"": b""}
-        self.older: dict[str, bytes] = {}
-
-    def learn(self, words: set[str]) -> None:
-        if len(self.known) > MOST_WORDS:
-            self.older, self.known = self.known, {"": b""}
-        new = []
-        for word in words:
-            if word not in self.known:
-                ids = self.older.get(word)
-                if ids is None:
-                    new.append(word)
-                else:
-                    self.known[word] = ids
-        for at in range(0, len(new), 8192):
-            part = new[at : at + 8192]
-            for word, got in zip(part, self.library.encode_batch(part, add_special_tokens=False)):
-                self.known[word] = np.array(got.ids, "<u4").tobytes()
+        self.model = self.library.model
+        self.letters = {byte: letter for letter, byte in byte_letters().items()}
+        self.pretokens = Recent(self.merge, MOST_WORDS)
+        self.words = Recent(self.whole, MOST_WORDS)
+
+    def merge(self, pretoken: str) -> bytes:
+        spelled = pretoken.encode().decode("latin-1").translate(self.letters)
+        ids = [t.id for t in self.model.tokenize(spelled)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def whole(self, word: str) -> bytes:
+        ids = self.library.encode(word, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        self.learn(set().union(*split))
-        find = self.known.__getitem__
-        return [b"".join(map(find, words)) for words in split]
+        out = []
+        for text in texts:
+            if PLAIN.fullmatch(text) and "<|" not in text:
+                out.append(b"".join(map(self.pretokens.__getitem__, PRETOKEN.findall(text.lower()))))
+            else:
+                out.append(b"".join(map(self.words.__getitem__, text.replace("\n", " ").split(" "))))
+        return out
 
 
 CHUNK_SCHEMA = "part int, chunk int, first_key {kind}, ids bigint, crc32 bigint, keys array<{kind}>, tokens array<bigint>, payload binary"
