@@ -175,7 +175,10 @@ def met(fps: DataFrame, columns: list[str], keys: list[Column], radius: int) ->
     block = F.floor((F.col("r") - 1) / TILE).cast("int")
     last = F.floor((F.col("n") - 1) / TILE).cast("int")
     tiles = F.transform(F.sequence(F.lit(0), last), lambda other: F.struct(F.least(other, block).alias("i"), F.greatest(other, block).alias("j")))
-    spread = counted.select("t", "k", "id", *columns, F.explode(tiles).alias("tile")).select("t", "k", "tile.i", "tile.j", "id", *columns)
+    # Most buckets are one tile; only larger ones are dealt to several.
+    whole = counted.where(F.col("n") <= TILE).select("t", "k", F.lit(0).alias("i"), F.lit(0).alias("j"), "id", *columns)
+    cut = counted.where(F.col("n") > TILE).select("t", "k", "id", *columns, F.explode(tiles).alias("tile")).select("t", "k", "tile.i", "tile.j", "id", *columns)
+    spread = whole.unionByName(cut)
     # The blocks i and j of a tile spread a hot bucket over tasks.
     dealt = spread.repartition("t", "k", "i", "j").sortWithinPartitions("t", "k", "i", "j", "id")
     schema = "u bigint, v bigint"
