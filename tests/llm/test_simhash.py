@@ -168,3 +168,30 @@ def test_spark_hash_is_the_same(spark):
     text = "ab cd ef"
     assert spark.range(1).select(F.xxhash64(F.lit(text))).first()[0] == simhash.signed(xxhash.xxh64_intdigest(text.encode(), 42))
     assert np.bitwise_count(np.uint64(1 << 63 | 1)) == 2
+
+
+def test_rejected_candidates_hide_no_link(spark):
+    """Similar pairs that are no candidates of each other, but of a third that is like neither."""
+    rng = np.random.default_rng(8)
+    base = rng.integers(0, 1 << 62, 100).astype(np.uint64)
+    sets = [np.unique(base[a:b]) for a, b in [(0, 70), (30, 100), (0, 66), (34, 100), (10, 90)]]
+    got = simhash.forest_of_sets(sets)
+    parent = list(range(len(sets)))
+    for i, j in got:
+        a, b = sets[i], sets[j]
+        assert 5 * len(np.intersect1d(a, b)) >= 4 * len(np.union1d(a, b))
+        parent = [parent[i] if p == parent[j] else p for p in parent]
+    assert len(set(parent)) == 3 and parent[0] == parent[2] and parent[1] == parent[3]
+
+
+def test_links_below_the_similarity_are_rejected(spark):
+    """Fingerprints of 0.72 often lie within the bits; such texts stay apart."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    texts = []
+    for _ in range(60):
+        words = [word() for _ in range(200)]
+        texts += [" ".join(words), " ".join([word() for _ in range(33)] + words[33:])]
+    assert len(set(similar(texts))) < len(texts)
+    got = simhash.similar_groups(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()
+    assert all(r.key == r["first"].key for r in got)

@@ -18,7 +18,10 @@ any radius that can be covered. ``deduplicate`` therefore also links by a wide
 fingerprint: 128 bits over five-word shingles, of which 0.8 leaves about 19
 different. It is cut into four parts of 32 bits, each with its own covering
 tables of radius 3; pairs with up to 15 different bits always meet, those with
-20 in about three of four cases, and pairs that meet link at WIDE_BITS or fewer.
+20 in about three of four cases, and pairs that meet at WIDE_BITS or fewer are candidates. In
+each component of candidates all pairs are compared by their exact five-word
+Jaccard similarity (on 64-bit hashes of the shingles), in tiles of bounded
+blocks, and only those of 0.8 or more link: a rejected pair cannot hide a true one.
 
 A text without words has fingerprint zero, linked like any other; a null text
 is empty; fewer words than a shingle make one shingle. Rows may repeat a key or
@@ -46,6 +49,8 @@ WORDS, RADIUS, SEED = 3, 3, 42
 #: The wide fingerprint: words in a shingle, and different bits (of 128) up to which texts link. About 19 are expected at
 #: similarity 0.8 and 25 at 0.7, with a deviation of 4.
 WIDE_WORDS, WIDE_BITS = 5, 22
+#: Bytes of text in a block of a candidate component.
+BLOCK = 8 << 20
 #: Fingerprints in a block of a bucket; bytes of a text that are shingled at once.
 TILE, PIECE = 2_048, 1 << 22
 #: Groups of up to so many fingerprints are screened together.
@@ -87,6 +92,22 @@ def fingerprint(text: str, size: int = WORDS, seed: int = SEED) -> int:
     return int.from_bytes(majority(text, size, 8, lambda shingles: [xxhash.xxh64_digest(s, seed) for s in shingles]), "big")
 
 
+def shingle_set(text: str, size: int = WIDE_WORDS, seed: int = SEED) -> np.ndarray:
+    """The distinct hashes of a text's word shingles, in order; empty without words."""
+    raw = text.encode("utf-8", "surrogatepass").lower()
+    found, held = [np.empty(0, np.uint64)], []
+    for words in words_of(raw):
+        held = held + words if held else words
+        if len(held) < size:
+            continue
+        hashes = (xxhash.xxh64_intdigest(b" ".join(s), seed) for s in zip(*(held[i:] for i in range(size))))
+        found.append(np.unique(np.fromiter(hashes, np.uint64)))
+        held = held[len(held) - size + 1 :]
+    if len(found) == 1 and held:
+        found.append(np.array([xxhash.xxh64_intdigest(b" ".join(held), seed)], np.uint64))
+    return np.unique(np.concatenate(found))
+
+
 def wide_fingerprint(text: str, size: int = WIDE_WORDS, seed: int = SEED) -> tuple[int, int]:
     """128 bits as two numbers."""
     raw = majority(text, size, 16, lambda shingles: [xxhash.xxh3_128_digest(s, seed) for s in shingles])
@@ -239,22 +260,95 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     return found.select(F.col("key").alias(key), hex16(F.col("fp")).alias("fingerprint"), F.col("first.key").alias("component_id"))
 
 
+def forest_of_sets(sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs with a Jaccard similarity of at least 0.8, as index pairs."""
+    sizes = np.array([len(s) for s in sets], np.int64)
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    _, token = np.unique(np.concatenate(sets), return_inverse=True)
+    holders = owner[np.argsort(token, kind="stable")]  # of each token, one after the other
+    starts = np.concatenate([[0], np.cumsum(np.bincount(token))]).astype(np.int64)
+    cuts = np.concatenate([[0], np.cumsum(sizes)])
+    free = np.ones(len(sets), bool)
+    out: list[tuple[int, int]] = []
+    for root in range(len(sets)):
+        if not free[root]:
+            continue
+        free[root], todo = False, [root]
+        while todo and free.any():
+            at = todo.pop()
+            own = token[cuts[at] : cuts[at + 1]]
+            count = starts[own + 1] - starts[own]
+            places = np.arange(count.sum()) + np.repeat(starts[own] - (np.cumsum(count) - count), count)
+            both = np.bincount(holders[places], minlength=len(sets))
+            # both >= 0.8 (a + b - both), in whole numbers; sets without members are equal.
+            found = np.flatnonzero(free & (9 * both >= 4 * (sizes + sizes[at]))).tolist()
+            free[found] = False
+            out += [(at, i) for i in found]
+            todo += found
+    return out
+
+
+def verified(texts: DataFrame) -> DataFrame:
+    """u, v: edges that join exactly the similar ones (five-word Jaccard similarity of at least 0.8) among rows of ``root``, ``id``, ``text`` with one root, directly or over others."""
+    before = Window.partitionBy("root").orderBy("id").rowsBetween(Window.unboundedPreceding, -1)
+    sized = texts.withColumn("size", F.octet_length("text").cast("bigint"))
+    # Blocks are dealt from the sizes alone; the texts follow.
+    block = F.floor(F.coalesce(F.sum("size").over(before), F.lit(0)) / BLOCK).cast("int")
+    placed = sized.select("root", "id", "size").withColumn("block", block)
+    last = F.max("block").over(Window.partitionBy("root"))
+    tiles = F.transform(F.sequence(F.lit(0), F.col("last")), lambda other: F.struct(F.least(other, F.col("block")).alias("i"), F.greatest(other, F.col("block")).alias("j")))
+    dealt = placed.withColumn("last", last).select("root", "id", F.explode(tiles).alias("tile")).join(texts.select("id", "text"), "id")
+    dealt = dealt.select("root", "tile.i", "tile.j", "id", "text").repartition("root", "i", "j").sortWithinPartitions("root", "i", "j", "id")
+    schema = "u bigint, v bigint"
+    arrow = to_arrow_schema(T.StructType.fromDDL(schema))
+
+    def edges(ids: list[int], sets: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        found = forest_of_sets(sets) if len(ids) > 1 else []
+        if found:
+            u, v = ([ids[i] for i in side] for side in zip(*found))
+            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], schema=arrow)
+
+    def run(batches):
+        tile, ids, sets = None, [], []
+        for batch in batches:
+            for *at, one, text in zip(*(c.to_pylist() for c in batch.columns)):
+                if at != tile:
+                    yield from edges(ids, sets)
+                    tile, ids, sets = at, [], []
+                ids.append(one)
+                sets.append(shingle_set(text))
+        yield from edges(ids, sets)
+
+    return dealt.mapInArrow(run, schema).distinct()
+
+
 def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", bits: int = WIDE_BITS) -> DataFrame:
-    """key, h and first (the first row of the group) of each row; texts link by either fingerprint."""
+    """key, h and first (the first row of the group) of each row; texts link by the 64-bit fingerprint or by their sets of five-word shingles."""
     kind = docs.schema[key].dataType.simpleString()
 
     def run(keys, texts, hashes):
+        sets = [shingle_set(t) for t in texts]
         wide = [wide_fingerprint(t) for t in texts]
-        return {"key": keys, "h": hashes, "fp": [signed(fingerprint(t)) for t in texts], "hi": [signed(a) for a, _ in wide], "lo": [signed(b) for _, b in wide]}
+        return {
+            "key": keys, "h": hashes, "fp": [signed(fingerprint(t)) for t in texts],
+            "id": [signed(xxhash.xxh3_64_intdigest(s.tobytes(), SEED)) for s in sets],
+            "hi": [signed(a) for a, _ in wide], "lo": [signed(b) for _, b in wide],
+        }
 
     whole = text_of(text)
     source = docs.select(F.col(key), whole.alias("_text"), F.xxhash64(whole).alias("_h"))
-    rows = materialize(map_texts(source, f"key {kind}, h bigint, fp bigint, hi bigint, lo bigint", run))
-    # Nodes are both fingerprints of a text, each text an edge between its two.
-    narrow, wide = (lambda fp: F.xxhash64(fp, F.lit(0))), F.xxhash64("hi", "lo", F.lit(1))
-    ends = rows.select(narrow("fp").alias("u"), wide.alias("v")).distinct()
+    rows = materialize(map_texts(source, f"key {kind}, h bigint, fp bigint, id bigint, hi bigint, lo bigint", run))
+    # Nodes are the fingerprint and the set of a text, each text an edge between its two.
+    narrow, whole_set = (lambda fp: F.xxhash64(fp, F.lit(0))), (lambda one: F.xxhash64(one, F.lit(1)))
+    ends = rows.select(narrow("fp").alias("u"), whole_set("id").alias("v")).distinct()
     close = links(rows.select("fp").distinct()).select(narrow("u").alias("u"), narrow("v").alias("v"))
-    similar = wide_links(rows.select(wide.alias("id"), "hi", "lo").distinct(), bits)
+    # One text stands for each set.
+    wide = rows.select("id", "hi", "lo").distinct()
+    own = rows.groupBy("id").agg(F.min("h").alias("_h"))
+    root = components(wide_links(wide, bits)).select(F.col("node").alias("id"), F.col("component").alias("root"))
+    wanted = materialize(own.join(root, "id"))
+    texts = source.select("_h", F.col("_text").alias("text")).join(wanted, "_h").dropDuplicates(["_h"]).select("root", "id", "text")
+    similar = verified(materialize(texts)).select(whole_set("u").alias("u"), whole_set("v").alias("v"))
     node = components(ends.unionByName(close).unionByName(similar)).withColumnRenamed("component", "root")
     known = materialize(rows.select("key", "h", narrow("fp").alias("node")).join(node, "node").drop("node"))
     first = known.groupBy("root").agg(F.min(order_of(F.col("key"), F.col("h"))).alias("first"))
