@@ -170,6 +170,57 @@ def test_spark_hash_is_the_same(spark):
     assert np.bitwise_count(np.uint64(1 << 63 | 1)) == 2
 
 
+def sets_of(texts, n=5):
+    words = [(t or "").encode().lower().split() for t in texts]
+    return [{b" ".join(w[i : i + n]) for i in range(len(w) - n + 1)} or ({b" ".join(w)} if w else set()) for w in words]
+
+
+def truly_similar(texts):
+    """Roots of the texts that link by the 64-bit fingerprint or a five-word similarity of 0.8, from all pairs."""
+    fps, sets = [plain(t) for t in texts], sets_of(texts)
+    parent = list(range(len(texts)))
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, j in itertools.combinations(range(len(texts)), 2):
+        a, b = sets[i], sets[j]
+        if (fps[i] ^ fps[j]).bit_count() <= 3 or 5 * len(a & b) >= 4 * len(a | b):
+            a, b = find(i), find(j)
+            parent[max(a, b)] = min(a, b)
+    return [find(i) for i in range(len(texts))]
+
+
+def families(seed, n=60, shares=(0.70, 0.74, 0.78, 0.79, 0.80, 0.801, 0.81, 0.83, 0.86)):
+    """Pairs of texts whose five-word similarity lies about the shares, with a passage that many share."""
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    passage, texts = [word() for _ in range(25)], []
+    for g in range(n):
+        size = rng.choice([6, 40, 120, 300])
+        words = [word() for _ in range(size)] + passage * (g % 3 > 0)
+        share = shares[g % len(shares)]
+        other = list(words)
+        cut = round(size * (1 - share) / (1 + share))  # the changed run is in both texts
+        other[:cut] = [word() for _ in range(cut)]
+        texts += [" ".join(words), " ".join(other)]
+    return texts
+
+
+@pytest.mark.parametrize("block", [2_000, 8 << 20])
+def test_stage_matches_brute_force_similarity(spark, monkeypatch, block):
+    """Pairs of 0.8 and more come together, all others stay apart, whatever their fingerprints."""
+    monkeypatch.setattr(simhash, "BLOCK", block)
+    texts = families(5)
+    want = truly_similar(texts)
+    assert want != similar(texts)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(5)
+    got = {r.key: r["first"].key for r in simhash.similar_groups(docs).collect()}
+    assert [got[i] for i in range(len(texts))] == want
+
+
 def test_rejected_candidates_hide_no_link(spark):
     """Similar pairs that are no candidates of each other, but of a third that is like neither."""
     rng = np.random.default_rng(8)
@@ -195,3 +246,14 @@ def test_links_below_the_similarity_are_rejected(spark):
     assert len(set(similar(texts))) < len(texts)
     got = simhash.similar_groups(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()
     assert all(r.key == r["first"].key for r in got)
+
+
+def test_prefixes_meet():
+    rng = np.random.default_rng(9)
+    for _ in range(500):
+        n = int(rng.integers(1, 60))
+        a = np.unique(rng.integers(0, 1 << 62, n).astype(np.uint64))
+        b = np.unique(np.concatenate([a[rng.random(len(a)) < 0.95], rng.integers(0, 1 << 62, n // 20).astype(np.uint64)]))
+        common = np.sort(rng.choice(a, len(a) // 2, replace=False))
+        if len(b) and 5 * len(np.intersect1d(a, b)) >= 4 * len(np.union1d(a, b)):
+            assert len(np.intersect1d(simhash.prefix(a, common), simhash.prefix(b, common)))

@@ -14,14 +14,17 @@ no task holds more than two blocks. A tile gives a spanning forest of its
 links, never all pairs. Components of the forest edges are the groups.
 
 Texts with a five-word similarity of 0.8 differ in about 10 of 64 bits, beyond
-any radius that can be covered. ``deduplicate`` therefore also links by a wide
-fingerprint: 128 bits over five-word shingles, of which 0.8 leaves about 19
-different. It is cut into four parts of 32 bits, each with its own covering
-tables of radius 3; pairs with up to 15 different bits always meet, those with
-20 in about three of four cases, and pairs that meet at WIDE_BITS or fewer are candidates. In
-each component of candidates all pairs are compared by their exact five-word
-Jaccard similarity (on 64-bit hashes of the shingles), in tiles of bounded
-blocks, and only those of 0.8 or more link: a rejected pair cannot hide a true one.
+any radius that can be covered. ``deduplicate`` therefore also links texts whose
+sets of five-word shingles have a Jaccard similarity of at least 0.8, measured
+exactly (on 64-bit hashes of the shingles). Two such sets share at least one of
+the first n - ceil(0.8 n) + 1 shingles of each, in any order common to all
+texts; these prefixes are the keys under which sets meet, so that every pair
+meets. Shingles that many texts of a sample hold come last in the order, which
+changes the cost and never the result. Sets that meet and differ in at most
+SCREEN_BITS of a 128-bit fingerprint are candidates (about 19 bits are expected
+at 0.8, with a deviation of 4). In each component of candidates all pairs are
+compared by their sets, in tiles of bounded blocks, and only the verified links
+join groups: a rejected pair cannot hide a true one.
 
 A text without words has fingerprint zero, linked like any other; a null text
 is empty; fewer words than a shingle make one shingle. Rows may repeat a key or
@@ -46,9 +49,10 @@ from waypost.llm.components import components
 from waypost.session import materialize
 
 WORDS, RADIUS, SEED = 3, 3, 42
-#: The wide fingerprint: words in a shingle, and different bits (of 128) up to which texts link. About 19 are expected at
-#: similarity 0.8 and 25 at 0.7, with a deviation of 4.
-WIDE_WORDS, WIDE_BITS = 5, 22
+#: Words in a shingle of the wide fingerprint; different bits (of 128) that 0.8 seldom passes; those up to which sets that meet are compared.
+WIDE_WORDS, WIDE_BITS, SCREEN_BITS = 5, 22, 40
+#: Sampled texts, the share of them that makes a shingle common, and the most common shingles kept.
+SAMPLE, COMMON_SHARE, COMMON = 2_000, 0.005, 20_000
 #: Bytes of text in a block of a candidate component.
 BLOCK = 8 << 20
 #: Fingerprints in a block of a bucket; bytes of a text that are shingled at once.
@@ -108,6 +112,30 @@ def shingle_set(text: str, size: int = WIDE_WORDS, seed: int = SEED) -> np.ndarr
     return np.unique(np.concatenate(found))
 
 
+def sketch(members: np.ndarray) -> tuple[int, int]:
+    """128 bits that over half of the set's members have set in their hashes; equal for equal sets."""
+    if not len(members):
+        return 0, 0
+    with np.errstate(over="ignore"):
+        other = (members ^ (members >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15)
+    other ^= other >> np.uint64(32)
+    bits = np.zeros(128, np.int64)
+    for lo in range(0, len(members), PIECE // 128):
+        pair = np.stack([members[lo : lo + PIECE // 128], other[lo : lo + PIECE // 128]], axis=1).astype(">u8")
+        bits += np.unpackbits(pair.view(np.uint8).reshape(-1, 16), axis=1).sum(0, dtype=np.int64)
+    raw = np.packbits(2 * bits > len(members)).tobytes()
+    return int.from_bytes(raw[:8], "big"), int.from_bytes(raw[8:], "big")
+
+
+def prefix(members: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """The first n - ceil(0.8 n) + 1 members of a set in the order of all texts, common ones last."""
+    n = len(members)
+    if not n:
+        return members
+    late = np.isin(members, common)
+    return np.concatenate([members[~late], members[late]])[: n - (4 * n + 4) // 5 + 1]
+
+
 def wide_fingerprint(text: str, size: int = WIDE_WORDS, seed: int = SEED) -> tuple[int, int]:
     """128 bits as two numbers."""
     raw = majority(text, size, 16, lambda shingles: [xxhash.xxh3_128_digest(s, seed) for s in shingles])
@@ -177,20 +205,21 @@ def forests(fps: np.ndarray, cuts: np.ndarray, radius: int) -> list[tuple[int, i
 
 def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     """u, v: edges among the distinct ``fp`` that join exactly those within the radius, directly or over others."""
-    keys = [F.col("fp").bitwiseAND(F.lit(signed(m))) for m in covering_masks(radius)]
+    keys = F.array(*(F.col("fp").bitwiseAND(F.lit(signed(m))) for m in covering_masks(radius)))
     return met(fps.select(F.col("fp").alias("id"), "fp"), ["fp"], keys, radius)
 
 
-def wide_links(fps: DataFrame, bits: int = WIDE_BITS, radius: int = RADIUS) -> DataFrame:
-    """u, v: edges among rows of ``id``, ``hi`` and ``lo`` (distinct wide fingerprints) with at most ``bits`` different bits that meet in a part's tables."""
-    parts = [part for c in ("hi", "lo") for part in (F.shiftrightunsigned(F.col(c), 32), F.col(c).bitwiseAND(F.lit((1 << 32) - 1)))]
-    keys = [part.bitwiseAND(F.lit(m)) for part in parts for m in covering_masks(radius, 32)]
-    return met(fps, ["hi", "lo"], keys, bits)
+def candidates(sets: DataFrame, bits: int = SCREEN_BITS) -> DataFrame:
+    """u, v: spanning edges among rows of ``id``, ``hi``, ``lo`` and ``prefix`` that share a member of their prefixes and differ in at most ``bits`` bits."""
+    return met(sets, ["hi", "lo"], F.col("prefix"), bits, same_table=True)
 
 
-def met(fps: DataFrame, columns: list[str], keys: list[Column], radius: int) -> DataFrame:
-    """u, v: spanning edges among rows (``id`` and fingerprint ``columns``) that share a table's key and lie within the radius."""
-    keyed = fps.select("id", *columns, F.posexplode(F.array(*keys)).alias("t", "k"))
+def met(fps: DataFrame, columns: list[str], keys: Column, radius: int, same_table: bool = False) -> DataFrame:
+    """u, v: spanning edges among rows (``id`` and fingerprint ``columns``) that share a table's key and lie within the radius.
+
+    Each place in the array ``keys`` is a table of its own, or all are one."""
+    keyed = fps.select("id", *columns, F.posexplode(keys).alias("t", "k"))
+    keyed = keyed.withColumn("t", F.lit(0)) if same_table else keyed
     bucket = Window.partitionBy("t", "k")
     counted = keyed.select("*", F.count("*").over(bucket).alias("n"), F.row_number().over(bucket.orderBy("id")).alias("r")).where("n > 1")
     block = F.floor((F.col("r") - 1) / TILE).cast("int")
@@ -260,6 +289,18 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     return found.select(F.col("key").alias(key), hex16(F.col("fp")).alias("fingerprint"), F.col("first.key").alias("component_id"))
 
 
+def common_shingles(docs: DataFrame, text: str = "text") -> np.ndarray:
+    """Hashes of shingles that many texts of a sample hold, in order."""
+
+    def run(texts):
+        return {"s": [s for t in texts for s in shingle_set(t).view(np.int64).tolist()]}
+
+    some = docs.select(text_of(text).alias("_text")).withColumn("_h", F.xxhash64("_text")).orderBy("_h").limit(SAMPLE).select("_text")
+    counts = map_texts(some, "s bigint", run, text=0).groupBy("s").count().where(F.col("count") > COMMON_SHARE * SAMPLE)
+    found = counts.orderBy(F.desc("count"), "s").limit(COMMON).collect()
+    return np.sort(np.array([r.s for r in found], np.int64)).view(np.uint64)
+
+
 def forest_of_sets(sets: list[np.ndarray]) -> list[tuple[int, int]]:
     """A spanning forest of the pairs with a Jaccard similarity of at least 0.8, as index pairs."""
     sizes = np.array([len(s) for s in sets], np.int64)
@@ -322,30 +363,32 @@ def verified(texts: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, schema).distinct()
 
 
-def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", bits: int = WIDE_BITS) -> DataFrame:
+def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", bits: int = SCREEN_BITS) -> DataFrame:
     """key, h and first (the first row of the group) of each row; texts link by the 64-bit fingerprint or by their sets of five-word shingles."""
     kind = docs.schema[key].dataType.simpleString()
+    common = common_shingles(docs, text)
 
     def run(keys, texts, hashes):
         sets = [shingle_set(t) for t in texts]
-        wide = [wide_fingerprint(t) for t in texts]
+        wide = [sketch(s) for s in sets]
         return {
             "key": keys, "h": hashes, "fp": [signed(fingerprint(t)) for t in texts],
             "id": [signed(xxhash.xxh3_64_intdigest(s.tobytes(), SEED)) for s in sets],
             "hi": [signed(a) for a, _ in wide], "lo": [signed(b) for _, b in wide],
+            "prefix": [prefix(s, common).view(np.int64) for s in sets],
         }
 
     whole = text_of(text)
     source = docs.select(F.col(key), whole.alias("_text"), F.xxhash64(whole).alias("_h"))
-    rows = materialize(map_texts(source, f"key {kind}, h bigint, fp bigint, id bigint, hi bigint, lo bigint", run))
+    rows = materialize(map_texts(source, f"key {kind}, h bigint, fp bigint, id bigint, hi bigint, lo bigint, prefix array<bigint>", run))
     # Nodes are the fingerprint and the set of a text, each text an edge between its two.
     narrow, whole_set = (lambda fp: F.xxhash64(fp, F.lit(0))), (lambda one: F.xxhash64(one, F.lit(1)))
     ends = rows.select(narrow("fp").alias("u"), whole_set("id").alias("v")).distinct()
     close = links(rows.select("fp").distinct()).select(narrow("u").alias("u"), narrow("v").alias("v"))
-    # One text stands for each set.
-    wide = rows.select("id", "hi", "lo").distinct()
+    # Equal sets have equal columns; one text stands for each.
+    sets = rows.groupBy("id").agg(F.first("hi").alias("hi"), F.first("lo").alias("lo"), F.first("prefix").alias("prefix"))
     own = rows.groupBy("id").agg(F.min("h").alias("_h"))
-    root = components(wide_links(wide, bits)).select(F.col("node").alias("id"), F.col("component").alias("root"))
+    root = components(candidates(sets, bits)).select(F.col("node").alias("id"), F.col("component").alias("root"))
     wanted = materialize(own.join(root, "id"))
     texts = source.select("_h", F.col("_text").alias("text")).join(wanted, "_h").dropDuplicates(["_h"]).select("root", "id", "text")
     similar = verified(materialize(texts)).select(whole_set("u").alias("u"), whole_set("v").alias("v"))
@@ -355,7 +398,7 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", bit
     return known.join(first, "root").drop("root")
 
 
-def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", bits: int = WIDE_BITS) -> DataFrame:
+def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", bits: int = SCREEN_BITS) -> DataFrame:
     """``docs``, all columns as they are, with the first row of each group of similar texts; of equal rows one stays."""
     name = lambda k: F.coalesce(k.cast("string"), F.lit("\x00"))  # noqa: E731  a null key is a key
     firsts = similar_groups(docs, key, text, bits).select("first").distinct().select(name(F.col("first.key")).alias("k"), F.col("first.h").alias("h"))
