@@ -132,3 +132,30 @@ def test_edges(spark, model, edge_docs, no_docs):
     assert pii.find(edge_docs, model).where("size(spans) > 0").count() == sum(r.spans != "" for r in got)
     assert pii.digest(no_docs, model).count() == 0 and pii.redact(no_docs, model).count() == 0
     assert pii.labelled_windows(no_docs) == []
+
+
+def test_addresses_without_digits_are_found(model):
+    """Held out: addresses with signs in words and no digit, at any place of a text without other hints."""
+    rng = np.random.default_rng(77)
+    word = lambda lo, hi: "".join(chr(97 + c) for c in rng.integers(0, 26, rng.integers(lo, hi)))
+    hit = n = 0
+    while n < 200:
+        at, dot = [(" (at) ", " (dot) "), (" [at] ", " [dot] "), ("(at)", "(dot)"), (" (at) ", ".")][n % 4]
+        address = f"{word(2, 9)}{'._'[n % 2]}{word(2, 9)}{at}{word(3, 8)}{dot}org"
+        before = "le la un entre quatre mots de plus " * int(rng.integers(0, 6))
+        text = f"{before}{address}, que le reste du texte de plus en plus"
+        assert pii.base_spans(text) == [] and pii.legal("email", address)
+        hit += pii.Span("email", len(before), len(before) + len(address)) in pii.all_spans(model, [text])[0][1]
+        n += 1
+    assert hit / n > 0.8
+
+
+def test_windows_cover_words_around_signs_in_words():
+    text = "x" * 500 + "(at)" + "y" * 500
+    held = {i for s in pii.active_windows(text) for i in range(s, s + pii.WINDOW)}
+    assert held >= set(range(500 - 64, 504 + 64)) and pii.legal("email", "jane.doe (at) mail (dot) org")
+
+
+def test_redact_masks_addresses_without_digits(spark, model):
+    docs = spark.createDataFrame([(1, "please write to jane.doe (at) mail (dot) org, que le reste du texte")], "doc_id bigint, text string")
+    assert "[EMAIL]" in pii.redact(docs, model).first().text

@@ -9,8 +9,8 @@ another number or an address with spaced signs; base spans always stay.
 Windows of WINDOW characters overlap by half. Every character's emission is
 the mean over its windows, weighted by how central it lies, and one Viterbi
 pass over all touching windows of a text reconciles them. A legal span holds a
-digit or an at sign; windows with neither cannot hold one, so they have only
-the outside path and are not run. Each model span must then pass the check of
+digit, an at sign or a sign in words like ``(at)``; windows without any cannot
+hold one, so they have only the outside path and are not run. Each model span must then pass the check of
 its kind (length, Luhn, number ranges) and may not overlap a base span.
 
 A null text is empty and has no spans. Keys may be null or repeat; each row is
@@ -43,7 +43,12 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 _DOTTED = re.compile(r"[0-9]++(?:\.[0-9]++)*+")
 _CARD = re.compile(r"[0-9](?:[\x20-]?+[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_HINT = re.compile(r"[0-9@]")
+#: What every legal span holds one of; an address may write its signs in words.
+_HINT = re.compile(r"[0-9@]|[(\[](?:at|dot)[)\]]")
+
+
+#: An address whose signs may be spaced or in words; it starts where its local part does, so that a search is linear.
+_ADDRESS = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+ ?(?:@|[(\[]at[)\]]) ?[A-Za-z0-9-]+(?: ?(?:\.|[(\[]dot[)\]]) ?[A-Za-z0-9-]+)+")
 
 
 class Span(NamedTuple):
@@ -115,7 +120,7 @@ def legal(kind: str, piece: str) -> bool:
     if kind == "ip":
         parts = re.findall(r"[0-9]+", piece)
         return len(parts) == 4 and all(map(small, parts)) and not re.search(r"[^0-9.\[\]]", piece) and piece[0].isdigit() and piece[-1].isdigit()
-    return bool(re.fullmatch(r"[A-Za-z0-9._%+-]+ ?(?:@|[(\[]at[)\]]) ?[A-Za-z0-9-]+(?: ?(?:\.|[(\[]dot[)\]]) ?[A-Za-z0-9-]+)+", piece)) and bool(_HINT.search(piece))
+    return bool(_ADDRESS.fullmatch(piece))
 
 
 # ---- model ---------------------------------------------------------------------------------------
@@ -281,11 +286,12 @@ WEIGHT = 1.0 + np.minimum(np.arange(WINDOW), np.arange(WINDOW)[::-1])
 
 
 def active_windows(text: str) -> list[int]:
-    """Starts of the windows that hold a digit or an at sign; windows overlap by half."""
+    """Starts of the windows that hold a digit, an at sign or a sign in words, of the latter with a stride more to both sides; windows overlap by half."""
     last = max(0, -(-(len(text) - WINDOW) // STRIDE))
     out: list[int] = []
     for m in _HINT.finditer(text):
-        for k in range(max(0, (m.start() - WINDOW) // STRIDE + 1), min(last, m.start() // STRIDE) + 1):
+        more = STRIDE if len(m[0]) > 1 else 0  # the words around it need not hold a hint
+        for k in range(max(0, (m.start() - more - WINDOW) // STRIDE + 1), min(last, (m.end() - 1 + more) // STRIDE) + 1):
             if not out or k > out[-1]:
                 out.append(k)
     return [k * STRIDE for k in out]
@@ -319,6 +325,8 @@ def paths(model: Tagger, texts: Sequence[str]) -> list[list[Span]]:
                     k -= 1
                 if k > t and legal(kind, text[t:k]):
                     found[n].append(Span(kind, first + t, first + k))
+                elif kind == "email":  # a word before or after the address came along
+                    found[n] += [Span(kind, first + m.start(), first + m.end()) for m in _ADDRESS.finditer(text, t, k)]
                 t = max(k, t + 1)
             else:
                 t += 1
@@ -361,8 +369,9 @@ def made_example(rng: np.random.Generator, context: str) -> tuple[str, list[Span
     def item() -> tuple[str | None, str]:
         kind = pick("email", "ip", "card", "phone", "phone", None)
         if kind == "email":
-            at, dot = pick(("@", "."), ("@", "."), ("@", "."), (" @ ", "."), (" (at) ", "."), (" [at] ", " [dot] "))
-            return kind, f"{letters(2, 9)}{pick('.', '', '_')}{number(1, 99)}{at}{letters(3, 8)}{pick('', number(1, 9))}{dot}{pick('example', letters(3, 8))}{dot}{pick('com', 'org', 'net')}"
+            at, dot = pick(("@", "."), ("@", "."), ("@", "."), (" @ ", "."), (" (at) ", "."), (" (at) ", " (dot) "), (" [at] ", " [dot] "), ("(at)", "(dot)"), ("[at]", "."))
+            local = f"{letters(2, 9)}{pick('.', '', '_')}{pick(number(1, 99), letters(2, 9))}"
+            return kind, local + at + dot.join([letters(3, 8) + pick("", "", number(1, 9)), *pick((), ("example",), (letters(3, 8),)), pick("com", "org", "net")])
         if kind == "ip":
             dot = pick(".", ".", "[.]")
             return kind, dot.join(number(0, 256) for _ in range(4))
@@ -402,7 +411,7 @@ def window_of(text: str, spans: Sequence[Span], start: int) -> tuple[np.ndarray,
 def fit(examples: Sequence[tuple[str, Sequence[Span]]], made: int = MADE_WINDOWS, seed: int = 3) -> Tagger:
     """Train on labelled texts plus ``made`` generated ones that borrow their contexts."""
     rng = np.random.default_rng(seed)
-    contexts = [re.sub(r"[0-9@]+", " ", text) for text, _ in examples] or ["and the line of it with on to "]
+    contexts = [_HINT.sub(" ", text) for text, _ in examples] or ["and the line of it with on to "]
     pairs = []
     for text, spans in examples:
         pairs += [window_of(text, spans, max(0, s.start - int(rng.integers(0, WINDOW - 8)))) for s in spans] or [window_of(text, spans, 0)]
@@ -425,7 +434,7 @@ def labelled_windows(docs: DataFrame, text: str = "text", most: int = TRAIN_WIND
                 rows.append(t[max(0, s.start - 40) : s.end + 40])
         return {"excerpt": rows}
 
-    part = docs.select(text_of(text).alias("text")).where(F.col("text").rlike("[0-9]"))
+    part = docs.select(text_of(text).alias("text")).where(F.col("text").rlike("[0-9@]"))
     rows = map_texts(part, "excerpt string", cut, text=0).orderBy(F.xxhash64("excerpt"), "excerpt").limit(most).collect()
     return [(r.excerpt, base_spans(r.excerpt)) for r in rows]
 
