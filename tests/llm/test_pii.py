@@ -159,3 +159,12 @@ def test_windows_cover_words_around_signs_in_words():
 def test_redact_masks_addresses_without_digits(spark, model):
     docs = spark.createDataFrame([(1, "please write to jane.doe (at) mail (dot) org, que le reste du texte")], "doc_id bigint, text string")
     assert "[EMAIL]" in pii.redact(docs, model).first().text
+
+
+def test_sampled_excerpts_have_every_kind_and_no_repeats(spark):
+    full = " ".join(f"text {i} of it a{i}@b.example.com and so on, which is long enough for one excerpt to end" for i in range(5))
+    full += " then 10.20.30.40 and 4111111111111111 with +1 (234) 555-1234 at last"
+    rows = [(i, full) for i in range(50)] + [(100, "x@y.org")]
+    got = pii.labelled_windows(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert len({t for t, _ in got}) == len(got) and {s.kind for _, spans in got for s in spans} == set(pii.KINDS)
+    assert any(t == "x@y.org" for t, _ in got)

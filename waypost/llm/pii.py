@@ -35,6 +35,8 @@ KINDS = ["email", "ip", "card", "phone"]
 WINDOW, STRIDE = 64, 32
 #: Labelled windows from the corpus and generated windows that the model is fitted on, at most.
 TRAIN_WINDOWS, MADE_WINDOWS = 400, 1_200
+#: Spans of each kind in a text that give excerpts, at most.
+PER_KIND = 4
 
 # ---- base patterns -----------------------------------------------------------------------------
 
@@ -424,18 +426,21 @@ def fit(examples: Sequence[tuple[str, Sequence[Span]]], made: int = MADE_WINDOWS
 
 
 def labelled_windows(docs: DataFrame, text: str = "text", most: int = TRAIN_WINDOWS) -> list[tuple[str, list[Span]]]:
-    """At most ``most`` excerpts around base spans, chosen by hash over all rows, with their spans."""
+    """At most ``most`` different excerpts around base spans, chosen by hash over all rows, with their spans.
+
+    A text gives at most PER_KIND excerpts of each kind, around its first spans of that kind."""
 
     def cut(texts):
         rows: list[str] = []
         for t in texts:
             spans = base_spans(t)
-            for s in spans[:4]:
-                rows.append(t[max(0, s.start - 40) : s.end + 40])
+            for kind in KINDS:
+                for s in [s for s in spans if s.kind == kind][:PER_KIND]:
+                    rows.append(t[max(0, s.start - 40) : s.end + 40])
         return {"excerpt": rows}
 
     part = docs.select(text_of(text).alias("text")).where(F.col("text").rlike("[0-9@]"))
-    rows = map_texts(part, "excerpt string", cut, text=0).orderBy(F.xxhash64("excerpt"), "excerpt").limit(most).collect()
+    rows = map_texts(part, "excerpt string", cut, text=0).distinct().orderBy(F.xxhash64("excerpt"), "excerpt").limit(most).collect()
     return [(r.excerpt, base_spans(r.excerpt)) for r in rows]
 
 
