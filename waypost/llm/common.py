@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import glob
+import os
 import sys
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,6 +28,17 @@ def per_process(key: tuple, make: Callable[[], object]):
     return held[key]
 
 
+def one_blas_thread() -> None:
+    """Keep numpy's bundled matrix library to one thread in this process; tasks already use all cores."""
+    folder = os.path.join(os.path.dirname(np.__file__), os.pardir, "numpy.libs")
+    for path in glob.glob(os.path.join(folder, "*openblas*")):
+        library = ctypes.CDLL(path)
+        for name in ("scipy_openblas_set_num_threads64_", "scipy_openblas_set_num_threads", "openblas_set_num_threads64_", "openblas_set_num_threads"):
+            if hasattr(library, name):
+                getattr(library, name)(1)
+                break
+
+
 class Recent(dict):
     """Remembers what ``make`` gave for a key; keeps the keys used lately, about twice ``most`` at most."""
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waypost.llm import ann, bitplanes, chat, lattice, lm_scores, packing, pii, quality, simhash, token_counts
+from waypost.llm import ann, bitplanes, chat, lattice, lexical, lm_scores, merkle, packing, pii, quality, simhash, token_counts, warc
 from waypost.llm.common import table, text_of
 from waypost.llm.registry import query
 from waypost.session import materialize
@@ -147,3 +147,109 @@ def rule_cascade(spark: SparkSession, sf: str) -> DataFrame:
     judged = quality.cascade(table(spark, sf, "documents"), measures=True)
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), "kept")
+
+
+# ---- 11: manifest --------------------------------------------------------------------------------
+
+MANIFEST_COLUMNS = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+def _leaf_sql(text: str) -> str:
+    parts = ["CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text]
+    return "sha256(concat(" + ", ".join(f"coalesce(strlen({p}) || ':' || {p}, '-')" for p in parts) + "))"
+
+
+#: The checksum of a key goes bit by bit over its bytes; the inverted last value has the other lowest bit.
+MANIFEST_SQL = f"""
+WITH RECURSIVE crc AS (
+  SELECT *, coalesce(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: [CAST(ascii(c) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))),
+      lambda s, e: xor(xor(s, e) >> 1, 3988292384 * (xor(s, e) & 1))) & 1 = 1, false) AS tampered
+  FROM documents
+), leaves AS (
+  SELECT doc_id, source, {_leaf_sql('text')} AS leaf, {_leaf_sql("CASE WHEN tampered THEN replace(text, chr(10), '') ELSE text END")} AS claimed FROM crc
+), placed AS (
+  SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place FROM leaves
+), low(level, tree, place, n, hash) AS (
+  SELECT 0, tree, place, count(*) OVER (PARTITION BY tree), leaf FROM placed
+  UNION ALL
+  SELECT level + 1, tree, place // 3, max(n + 2) // 3, sha256(string_agg(hash, '' ORDER BY place)) FROM low WHERE n > 1 GROUP BY level, tree, place // 3
+), high(level, tree, place, n, hash) AS (
+  SELECT 0, -1, tree, count(*) OVER (), hash FROM low WHERE n = 1
+  UNION ALL
+  SELECT level + 1, tree, place // 3, max(n + 2) // 3, sha256(string_agg(hash, '' ORDER BY place)) FROM high WHERE n > 1 GROUP BY level, tree, place // 3
+), beside AS (
+  SELECT tree, level, place, coalesce(lag(hash, 2) OVER w, '') || coalesce(lag(hash) OVER w, '') AS l, coalesce(lead(hash) OVER w, '') || coalesce(lead(hash, 2) OVER w, '') AS r
+  FROM (FROM low UNION ALL FROM high) WHERE n > 1 WINDOW w AS (PARTITION BY tree, level, place // 3 ORDER BY place)
+), up(doc_id, leaf, tree, level, place, proof, folded) AS (
+  SELECT doc_id, leaf, tree, 0, place, '', claimed FROM placed
+  UNION ALL
+  SELECT doc_id, leaf, tree, level + 1, place // 3, proof || l || r, sha256(l || folded || r) FROM up JOIN beside USING (tree, level, place)
+), over(doc_id, leaf, subtree, tree, level, place, proof, folded) AS (
+  SELECT doc_id, leaf, up.tree, -1, 0, up.tree, proof, folded FROM up JOIN low USING (tree, level, place) WHERE n = 1
+  UNION ALL
+  SELECT doc_id, leaf, subtree, tree, level + 1, place // 3, proof || l || r, sha256(l || folded || r) FROM over JOIN beside USING (tree, level, place)
+)
+SELECT doc_id, leaf, low.hash AS subroot, high.hash AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = high.hash AS verified
+FROM over JOIN high ON high.n = 1 AND high.level = over.level JOIN low ON low.n = 1 AND low.tree = over.subtree
+"""
+
+
+@query("op11_octopus_multiproof", MANIFEST_SQL)
+def octopus_multiproof(spark: SparkSession, sf: str) -> DataFrame:
+    """Each document's proof, folded again from a copy of which some have lost their line ends."""
+    docs = table(spark, sf, "documents")
+    tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0, F.lit(False))
+    other = merkle.leaf_hash([F.replace("text", F.lit("\n"), F.lit("")) if c == "text" else F.col(c) for c in MANIFEST_COLUMNS])
+    proven = merkle.manifest(docs, MANIFEST_COLUMNS, claims={"claimed": F.when(tampered, other)})
+    siblings = F.array_join(F.transform("proof", lambda step: F.concat(step["left"], step["right"])), "")
+    root = merkle.folded(F.coalesce("claimed", "leaf"), F.col("proof"))
+    out = proven.select("doc_id", "leaf", "subroot", "root", F.sha2(siblings, 256).alias("proof_sha256"), root.alias("folded_root"))
+    return out.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+# ---- 12: ranked search ---------------------------------------------------------------------------
+
+SEARCH_SQL = r"""
+WITH d AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents
+), i AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+), size AS (SELECT doc_id, count(*) AS n FROM d GROUP BY doc_id),
+total AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM size),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM d SEMI JOIN i USING (term) GROUP BY doc_id, term),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, total GROUP BY term, n_docs),
+part AS (
+  SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * n_docs) // n_terms))) AS part
+  FROM tf JOIN size USING (doc_id) JOIN w USING (term), total
+), s AS (SELECT item_id, doc_id, CAST(sum(part) AS BIGINT) AS score FROM i JOIN part USING (term) GROUP BY item_id, doc_id)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 10
+"""
+
+
+@query("op12_blocked_search", SEARCH_SQL)
+def blocked_search(spark: SparkSession, sf: str) -> DataFrame:
+    """The ten best documents of each benchmark item."""
+    return lexical.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+# ---- 13: archives --------------------------------------------------------------------------------
+
+ARCHIVE_SQL = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN first IS DISTINCT FROM page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first IS DISTINCT FROM page_id THEN first END AS refers_to
+FROM f
+"""
+
+
+@query("op13_seekable_warc", ARCHIVE_SQL)
+def seekable_warc(spark: SparkSession, sf: str) -> DataFrame:
+    """All pages written into seekable bundles, and what the bundles hold."""
+    folder = warc.archive_folder(spark)
+    records = warc.read(warc.write(table(spark, sf, "pages"), folder), folder, payloads=False)
+    page = lambda c: warc.key_column(F.col(c)).cast("bigint")
+    return records.select(page("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", page("refers_to").alias("refers_to"))
