@@ -2,18 +2,22 @@
 
 The panel is ordered per airport by date and then by the rest of its grain. A
 busy airport may hold a third of all rows, so no window is partitioned by
-airport alone: windows run per (airport, day), a day that is itself too large
-is cut further along its own order, and each part receives the few rows that
-precede it.
+airport: rows are cut into ranges of (airport, order), and each range receives
+the few values that precede it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from waypost.functions.dates import calendar_columns
 from waypost.functions.numbers import finite_or_zero, ratio_or
@@ -22,7 +26,6 @@ from waypost.session import materialize
 
 AIRPORT = "departure_airport_iata"
 DAY = "departure_date"
-MAX_PART_ROWS = 1_000_000
 
 
 def vector_columns(values: Mapping[str, Sequence[str]]) -> dict[str, tuple[str, str]]:
@@ -82,82 +85,114 @@ def finite_or_zero_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.withColumns({c: finite_or_zero(F.col(c)) for c in cols})
 
 
-def _parts(df: DataFrame, day: str, order: Sequence[str], max_rows: int) -> DataFrame:
-    """Adds ``_part``: the order prefix that places a row among its airport's parts.
+def _runs(schema: T.StructType, value: str, depth: int):
+    """Task function over rows sorted by airport: adds what a row's own partition
+    knows of the ``depth`` rows before it.
 
-    It is the day alone, and for days with more than ``max_rows`` rows also the
-    next order column, then the next, until parts are small or the order ends.
-    Only text columns deepen it, as a part must sort like the column itself.
-    The list of oversized parts has at most rows / max_rows entries.
+    ``_part``, ``_r`` (rows of the airport before it in the partition, up to
+    ``depth``), ``_lag``, ``_sum`` and ``_n`` of the rows before (``_in``: of one less),
+    ``_head`` (of the partition's first airport), and ``_tail``: place from the end among the last ``depth`` rows of the partition, if they
+    are of its last airport. Carries ``depth`` values from batch to batch.
     """
-    text = [c for c, kind in df.dtypes if kind == "string"]
-    deep = 1
-    while deep < len(order) and order[deep] in text:
-        deep += 1
-    df = df.withColumn("_part", F.struct(F.col(day).alias("c0"), *[F.lit("").alias(f"c{i}") for i in range(1, deep)]))
-    key = [AIRPORT, "_part"]
-    if df.count() <= max_rows:
-        return df
-    for i in range(1, deep):
-        big = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_rows).select(*key)
-        big = materialize(big)
-        if big.isEmpty():
-            break
-        marked = join_groups(df, big.withColumn("_big", F.lit(True)), key, "left")
-        deeper = F.col("_part").withField(f"c{i}", F.coalesce(F.col(order[i]).cast("string"), F.lit("")))
-        df = marked.withColumn("_part", F.when(F.col("_big"), deeper).otherwise(F.col("_part"))).drop("_big")
-    return df
+    fields = T.StructType(
+        [*schema.fields, T.StructField("_part", T.IntegerType()), T.StructField("_r", T.IntegerType()), T.StructField("_lag", T.DoubleType()),
+         T.StructField("_sum", T.DoubleType()), T.StructField("_n", T.IntegerType()), T.StructField("_sum_in", T.DoubleType()), T.StructField("_n_in", T.IntegerType()), T.StructField("_head", T.BooleanType()), T.StructField("_tail", T.IntegerType())]
+    )
+    arrow = to_arrow_schema(fields)
+    at, of = schema.names.index(AIRPORT), schema.names.index(value)
+
+    def finish(batch: pa.RecordBatch, own: list, tail: np.ndarray) -> pa.RecordBatch:
+        columns = [pa.array(c, f.type, mask=m) for (c, m), f in zip([*own, (tail, tail < 0)], list(arrow)[len(schema) :])]
+        return pa.RecordBatch.from_arrays([*batch.columns, *columns], schema=arrow)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId()
+        last, carry, seen, head = None, np.empty(0), 0, True  # the airport of the last row, its last values, its rows so far, whether it is the first
+        held: list[tuple] = []  # batches that may hold rows of the tail
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            codes = batch.column(at).dictionary_encode(null_encoding="encode")
+            index, names = codes.indices.to_numpy(zero_copy_only=False), codes.dictionary.to_pylist()
+            values = batch.column(of).cast(pa.float64()).to_numpy(zero_copy_only=False)
+            known = ~np.asarray(batch.column(of).is_null())
+            if held and names[index[0]] != last:
+                carry, seen, head = np.empty(0), 0, False
+            # Rows of the airport of the first row before each row, the carried ones included.
+            first = np.concatenate([[True], index[1:] != index[:-1]])
+            start = np.maximum.accumulate(np.where(first, np.arange(n), 0))
+            before = np.arange(n) - start + np.where(start == 0, seen, 0)
+            padded = np.concatenate([np.full(depth - len(carry), np.nan), carry, np.where(known, values, np.nan)])
+            total, count, lag = np.zeros(n), np.zeros(n, np.int32), np.full(n, np.nan)
+            total_in, count_in = np.zeros(n), np.zeros(n, np.int32)
+            for back in range(depth, 0, -1):
+                earlier = padded[depth - back : depth - back + n]
+                there = (before >= back) & ~np.isnan(earlier)
+                total += np.where(there, earlier, 0.0)
+                count += there
+                if back < depth:
+                    total_in, count_in = total_in + np.where(there, earlier, 0.0), count_in + there
+                if back == 1:
+                    lag = np.where(there, earlier, np.nan)
+            heads = np.zeros(n, bool) if not head else start == 0
+            own = [(np.full(n, part, np.int32), None), (np.minimum(before, depth).astype(np.int32), None), (lag, np.isnan(lag)), (total, None), (count, None), (total_in, None), (count_in, None), (heads, None)]
+            head = head and not first[1:].any()
+            seen = int(before[-1]) + 1
+            carry = padded[len(padded) - min(seen, depth) :]
+            last = names[index[-1]]
+            held.append((batch, own, index == index[-1], names[index[0]], last))
+            while sum(b.num_rows for b, *_ in held[1:]) >= depth:
+                first_batch, first_own, *_ = held.pop(0)
+                yield finish(first_batch, first_own, np.full(first_batch.num_rows, -1, np.int32))
+        back, out = 0, []
+        for batch, own, same, low, high in reversed(held):
+            tail = np.full(batch.num_rows, -1, np.int32)
+            if high == last and 0 <= back < depth:
+                run_of = np.flatnonzero(~same)
+                rows = np.arange(batch.num_rows - 1, run_of[-1] if len(run_of) else -1, -1)[: depth - back]
+                tail[rows] = back + 1 + np.arange(len(rows))
+                back = back + len(rows) if not len(run_of) else depth
+            out.append(finish(batch, own, tail))
+        yield from reversed(out)
+
+    return run, fields
 
 
 def past_window_features(
     df: DataFrame, value: str, order: Sequence[str], depth: int = 7, lag_name: str = "lag_1", mean_name: str = "past_mean",
-    inclusive_name: str | None = None, max_part_rows: int = MAX_PART_ROWS,
+    inclusive_name: str | None = None, parts: int | None = None,
 ) -> DataFrame:
     """Previous value, mean of the ``depth`` rows before, optionally of the last
     ``depth`` rows including this one, per airport.
 
-    ``order`` starts with the day and ends with text columns that make it total.
-    Equal to ``ROWS`` windows over (airport, order), but evaluated per part: the
-    last ``depth`` rows of every part are kept, numbered along the airport, and
-    handed to the part that follows.
+    Equal to ``ROWS`` windows over (airport, order), as a segmented prefix scan:
+    rows are range-partitioned by airport and ``order`` (any column types; it
+    should be total), each range works out what it knows alone and leaves the
+    last ``depth`` values of its last airport, and a range that begins inside an
+    airport takes over the values that the ranges before it left. One airport
+    may fill any number of ranges. ``parts`` sets their number.
     """
-    day, rest = order[0], list(order[1:])
-    parted = _parts(df, day, [day, *rest], max_part_rows)
-    key = [AIRPORT, "_part"]
-    inside = W.partitionBy(*key)
-    ascending = [F.col(c).asc_nulls_first() for c in order]
-    descending = [F.col(c).desc_nulls_last() for c in order]
-
-    tails = (
-        parted.select(*key, *order, value)
-        .withColumn("_back", F.row_number().over(inside.orderBy(*descending)))
-        .filter(F.col("_back") <= depth)
-    )
-    # Per part at most `depth` values, oldest first; parts per airport are days, not rows.
-    tail = tails.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct((-F.col("_back")).alias("i"), F.col(value).alias("v")))).alias("_tail"))
-    earlier = W.partitionBy(AIRPORT).orderBy("_part").rowsBetween(-depth, -1)
-    halo = tail.select(
-        *key,
-        F.slice(F.reverse(F.flatten(F.collect_list("_tail").over(earlier))), 1, depth).alias("_halo"),
-    ).select(*key, F.transform("_halo", lambda s: s["v"]).alias("_halo"))
-
-    # _halo[0] is the row right before the part. A row at position r of its part
-    # takes r - 1 rows of the part and the remaining ones from the halo.
-    run = inside.orderBy(*ascending)
-    local = parted.withColumns(
-        {
-            "_r": F.row_number().over(run),
-            "_lag": F.lag(value, 1).over(run),
-            "_sum": F.coalesce(F.sum(value).over(run.rowsBetween(-depth, -1)), F.lit(0.0)),
-            "_n": F.count(value).over(run.rowsBetween(-depth, -1)),
-            "_sum_in": F.coalesce(F.sum(value).over(run.rowsBetween(-(depth - 1), 0)), F.lit(0.0)),
-            "_n_in": F.count(value).over(run.rowsBetween(-(depth - 1), 0)),
-        }
-    )
-    joined = join_groups(local, halo, key)
+    by = [F.col(c).asc_nulls_first() for c in [AIRPORT, *order]]
+    ranged = df.repartitionByRange(parts, *by) if parts else df.repartitionByRange(*by)
+    run, schema = _runs(df.schema, value, depth)
+    local = materialize(ranged.sortWithinPartitions(*by).mapInArrow(run, schema))
+    # One row per range: what it leaves, and what those before it left for its first airport. A range holds a row
+    # at least, so that the ``depth`` ranges before are enough.
+    left = F.array_sort(F.collect_list(F.when(F.col("_tail").isNotNull(), F.struct(F.col("_tail").alias("i"), F.col(AIRPORT).alias("a"), F.col(value).cast("double").alias("v")))))
+    ends = local.filter(F.col("_tail").isNotNull() | F.col("_head")).groupBy("_part").agg(left.alias("_left"))
+    earlier = W.orderBy("_part").rowsBetween(-depth, -1)
+    nearest_first = F.flatten(F.reverse(F.collect_list("_left").over(earlier)))
+    halo = ends.select("_part", nearest_first.alias("_halo"))
+
+    # There are as many ranges as shuffle partitions, with ``depth`` values each; only rows that lack some look them up.
+    near = F.col("_head") & (F.col("_r") < depth)
+    joined = local.withColumn("_from", F.when(near, F.col("_part"))).join(F.broadcast(halo.withColumnRenamed("_part", "_from")), "_from", "left")
+    same = F.filter("_halo", lambda s: s["a"].eqNullSafe(F.col(AIRPORT)))
+    joined = joined.withColumn("_halo", F.transform(F.when(near, same), lambda s: s["v"]))
 
     def borrowed(missing: Column) -> Column:
-        return F.slice("_halo", 1, F.greatest(missing, F.lit(0)))
+        return F.coalesce(F.slice("_halo", 1, F.greatest(missing, F.lit(0))), F.array().cast("array<double>"))
 
     def total(values: Column) -> Column:
         return F.aggregate(values, F.lit(0.0), lambda acc, v: acc + F.coalesce(v, F.lit(0.0)))
@@ -166,34 +201,35 @@ def past_window_features(
         return F.size(F.filter(values, lambda v: v.isNotNull()))
 
     # Rows without a value take a place in the window but no part in the mean.
-    before = borrowed(depth - (F.col("_r") - 1))
+    before = borrowed(depth - F.col("_r"))
     n_before = F.col("_n") + known(before)
     new: dict[str, Column] = {
-        lag_name: F.when(F.col("_r") > 1, F.col("_lag")).otherwise(F.try_element_at("_halo", F.lit(1))),
+        lag_name: F.when(F.col("_r") > 0, F.col("_lag")).otherwise(F.try_element_at("_halo", F.lit(1))),
         mean_name: F.when(n_before > 0, (F.col("_sum") + total(before)) / n_before),
     }
     if inclusive_name:
-        around = borrowed((depth - 1) - (F.col("_r") - 1))
-        n_around = F.col("_n_in") + known(around)
-        new[inclusive_name] = F.when(n_around > 0, (F.col("_sum_in") + total(around)) / n_around)
-    return joined.withColumns(new).drop("_part", "_r", "_lag", "_sum", "_n", "_sum_in", "_n_in", "_halo")
+        # The last row of the window before falls out where the window is full.
+        own = F.col(value).cast("double")
+        n_around = F.col("_n_in") + known(borrowed(depth - 1 - F.col("_r"))) + own.isNotNull().cast("int")
+        new[inclusive_name] = F.when(n_around > 0, (F.col("_sum_in") + total(borrowed(depth - 1 - F.col("_r"))) + F.coalesce(own, F.lit(0.0))) / n_around)
+    return joined.withColumns(new).select(*df.columns, *new)
 
 
-def lag_with_fallback(df: DataFrame, order: Sequence[str], max_part_rows: int = MAX_PART_ROWS) -> DataFrame:
+def lag_with_fallback(df: DataFrame, order: Sequence[str], parts: int | None = None) -> DataFrame:
     """Previous alarm rate of the airport, or its baseline for the first row."""
-    out = past_window_features(df, "alarm_rate", order, lag_name="alarm_rate_yesterday", mean_name="_m", max_part_rows=max_part_rows)
+    out = past_window_features(df, "alarm_rate", order, lag_name="alarm_rate_yesterday", mean_name="_m", parts=parts)
     return out.drop("_m").withColumn("alarm_rate_yesterday", F.coalesce("alarm_rate_yesterday", "airport_historical_avg_rate"))
 
 
-def rolling_past(df: DataFrame, order: Sequence[str], n: int = 7, max_part_rows: int = MAX_PART_ROWS) -> DataFrame:
+def rolling_past(df: DataFrame, order: Sequence[str], n: int = 7, parts: int | None = None) -> DataFrame:
     """Mean of the ``n`` previous rows (at least one), or the baseline."""
-    out = past_window_features(df, "alarm_rate", order, n, lag_name="_l", mean_name="rolling_7d_avg_rate", max_part_rows=max_part_rows)
+    out = past_window_features(df, "alarm_rate", order, n, lag_name="_l", mean_name="rolling_7d_avg_rate", parts=parts)
     return out.drop("_l").withColumn("rolling_7d_avg_rate", F.coalesce("rolling_7d_avg_rate", "airport_historical_avg_rate"))
 
 
-def rolling_inclusive(df: DataFrame, order: Sequence[str], n: int = 7, max_part_rows: int = MAX_PART_ROWS) -> DataFrame:
+def rolling_inclusive(df: DataFrame, order: Sequence[str], n: int = 7, parts: int | None = None) -> DataFrame:
     """Mean of the last ``n`` rows, the current one included."""
-    out = past_window_features(df, "alarm_rate", order, n, "_l", "_m", "rolling_inclusive", max_part_rows)
+    out = past_window_features(df, "alarm_rate", order, n, "_l", "_m", "rolling_inclusive", parts)
     return out.drop("_l", "_m")
 
 
@@ -220,7 +256,7 @@ def target_encode(df: DataFrame, col: str, value: str = "alarm_rate") -> DataFra
 
 
 def engineer_features(
-    travelers: DataFrame, alarms: DataFrame, values: Mapping[str, Sequence[str]], order: Sequence[str], max_part_rows: int = MAX_PART_ROWS
+    travelers: DataFrame, alarms: DataFrame, values: Mapping[str, Sequence[str]], order: Sequence[str], parts: int | None = None
 ) -> DataFrame:
     """The whole panel.
 
@@ -231,7 +267,7 @@ def engineer_features(
     baselines = materialize(
         base.groupBy(AIRPORT).agg(F.avg("alarm_rate").alias("airport_historical_avg_rate"), F.avg("entries").alias("airport_historical_avg_entries"))
     )
-    past = past_window_features(base, "alarm_rate", order, 7, "alarm_rate_yesterday", "rolling_7d_avg_rate", max_part_rows=max_part_rows)
+    past = past_window_features(base, "alarm_rate", order, 7, "alarm_rate_yesterday", "rolling_7d_avg_rate", parts=parts)
     wide = join_groups(past, baselines, [AIRPORT]).withColumns(
         {
             "rate_deviation": F.col("alarm_rate") - F.col("airport_historical_avg_rate"),

@@ -115,22 +115,22 @@ def _(spark, sf):
     ),
 )
 def _(spark, sf):
-    """Tiny parts, so that oversized days are split along their own order."""
+    """Many small ranges, so that users and days are cut between them."""
     ev = table(spark, sf, "events").select(
         "event_id", F.col("user_id").cast("string").alias("departure_airport_iata"), F.to_date("ts").alias("departure_date"),
         F.lpad(F.col("event_id").cast("string"), 12, "0").alias("seq"), "value",
     )
-    out = P.past_window_features(ev, "value", ["departure_date", "seq"], 7, max_part_rows=3)
+    out = P.past_window_features(ev, "value", ["departure_date", "seq"], 7, parts=64)
     return out.select("event_id", r6("lag_1"), r6("past_mean"))
 
 
 @query(
     "calendar_day_baselines",
     f"""{BASE}, daily AS (SELECT departure_airport_iata, departure_date, avg(alarm_rate) AS rate FROM rated GROUP BY 1, 2),
-past AS (SELECT departure_airport_iata, departure_date,
+past AS (SELECT departure_airport_iata AS past_airport, departure_date AS past_date,
   avg(rate) OVER (PARTITION BY departure_airport_iata ORDER BY departure_date RANGE BETWEEN INTERVAL 1 DAY PRECEDING AND INTERVAL 1 DAY PRECEDING) AS d1,
   avg(rate) OVER (PARTITION BY departure_airport_iata ORDER BY departure_date RANGE BETWEEN INTERVAL 7 DAY PRECEDING AND INTERVAL 1 DAY PRECEDING) AS d7 FROM daily)
-SELECT {ID}, {R('d1')} AS rate_previous_day, {R('d7')} AS rate_previous_days FROM rated JOIN past USING (departure_airport_iata, departure_date)""",
+SELECT {ID}, {R('d1')} AS rate_previous_day, {R('d7')} AS rate_previous_days FROM rated JOIN past ON departure_airport_iata IS NOT DISTINCT FROM past_airport AND departure_date = past_date""",
 )
 def _(spark, sf):
     out = P.by_day_features(materialize(_rated(spark, sf)))
