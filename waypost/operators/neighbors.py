@@ -13,7 +13,7 @@ chunks. The result is exact.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -23,16 +23,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from waypost.operators.stats import attach, quantiles
-from waypost.session import materialize
+from waypost.session import materialize, one_blas_thread
 
 BLOCK_ROWS = 2048
 QUERY_CHUNK = 8192
 MAX_BLOCKS = 50_000
 MAX_SAMPLE = 200_000
-_TILE = 256
+_TILE, _WIDE = 256, 2048
 BOX_RUN = 64  # blocks whose common box is looked at first
+DENSE = 8  # a block is sent to a block of queries if one in so many of them visit it
+MET = 8  # blocks sent to a block of queries at a time
 _SLACK = 1 + 1e-9
 
 
@@ -96,6 +99,45 @@ def _nearest(a: np.ndarray, b: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarr
     return chosen, near
 
 
+def _nearest_within(a: np.ndarray, b: np.ndarray, k: int, reach: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row of ``a``, row of ``b`` and distance of up to ``k`` nearest per row of ``a``, none beyond its reach, ties by index."""
+    aa, bb = (a * a).sum(axis=1), (b * b).sum(axis=1)
+    bound = (aa + bb.max(initial=0.0)) * (8 * (a.shape[1] + 4) * np.finfo(float).eps)
+    limit = reach * reach
+    most = limit * (1 + 1e-12) + 4 * bound - aa
+    left, right = np.column_stack([-2 * a, np.ones(len(a))]), np.vstack([b.T, bb])
+    room = 8 * k + _TILE
+    # With an infinite reach or many points inside it the k best are chosen, not listed.
+    many = ~np.isfinite(reach) if len(b) > room else np.zeros(len(a), bool)
+    count, found = np.zeros(len(a), np.int64), []
+    for start in range(0, len(b), _WIDE):
+        part = min(_WIDE, len(b) - start)
+        flat = np.flatnonzero(left @ right[:, start : start + part] <= np.where(many, -np.inf, most)[:, None])
+        qi, bi = flat // part, flat % part + start
+        count += np.bincount(qi, minlength=len(a))
+        many |= count > room
+        found.append((qi, bi))
+    qi, bi = (np.concatenate(column) for column in zip(*found)) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+    listed = ~many[qi]
+    qi, bi = qi[listed], bi[listed]
+    near = np.zeros(len(qi))
+    for j in range(a.shape[1]):
+        diff = a[qi, j] - b[bi, j]
+        near += diff * diff
+    near = np.sqrt(near)
+    whole = np.flatnonzero(many)
+    if len(whole):
+        take, far = _nearest(a[whole], b, k)
+        qi, bi, near = np.concatenate([qi, np.repeat(whole, take.shape[1])]), np.concatenate([bi, take.ravel()]), np.concatenate([near, far.ravel()])
+    inside = near <= reach[qi]
+    qi, bi, near = qi[inside], bi[inside], near[inside]
+    order = np.lexsort((bi, near, qi))
+    qi, bi, near = qi[order], bi[order], near[order]
+    first = np.searchsorted(qi, np.arange(len(a)))
+    keep = np.arange(len(qi)) - first[qi] < k
+    return qi[keep], bi[keep], near[keep]
+
+
 def _within(a: np.ndarray, b: np.ndarray, radius: np.ndarray) -> np.ndarray:
     """Whether each point of ``b`` is within its row's radius."""
     rough, bound = _rough(a, b)
@@ -134,19 +176,13 @@ class _TopK:
     def run(self, queries: pa.Table, base: pa.Table, by: list[str]) -> pa.Table:
         base = base.take(pc.sort_indices(base, sort_keys=[("p", "ascending")]))
         qx, bx = _vectors(queries), _vectors(base)
-        q_index: list[np.ndarray] = []
-        b_index: list[np.ndarray] = []
-        found: list[np.ndarray] = []
+        reach = queries.column("reach").to_numpy()
+        found = []
         for start in range(0, len(qx), _TILE):
-            tile = qx[start : start + _TILE]
             # The extra entry makes room for the query itself, dropped below.
-            take, near = _nearest(tile, bx, self.k + 1)
-            q_index.append(np.repeat(np.arange(start, start + len(tile)), take.shape[1]))
-            b_index.append(take.ravel())
-            found.append(near.ravel())
-        qi = np.concatenate(q_index) if q_index else np.zeros(0, dtype=np.int64)
-        bi = np.concatenate(b_index) if b_index else np.zeros(0, dtype=np.int64)
-        d = np.concatenate(found) if found else np.zeros(0)
+            qi, bi, d = _nearest_within(qx[start : start + _TILE], bx, self.k + 1, reach[start : start + _TILE])
+            found.append((qi + start, bi, d))
+        qi, bi, d = (np.concatenate(column) for column in zip(*found)) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
         out = {name: queries.column(name).take(pa.array(qi)) for name in by}
         out["p"] = queries.column("p").take(pa.array(qi))
         out["o"] = base.column("p").take(pa.array(bi))
@@ -289,6 +325,25 @@ def _leaf(x: np.ndarray, dims: np.ndarray, cuts: np.ndarray) -> np.ndarray:
     return (node - len(dims)).astype(np.int32)
 
 
+def _scope_samples(points: DataFrame, by: list[str], n: int, size: int, sizes: list) -> tuple[dict[tuple, np.ndarray], dict[tuple, int]]:
+    """A sample by key hash of every scope in ``sizes``, shared out by scope size and bounded in total, and its number of blocks."""
+    fields = [points.schema[c] for c in by]
+    per_leaf = max(2, min(32, MAX_SAMPLE // math.ceil(n / size)))
+    if by:
+        large = points.sparkSession.createDataFrame(
+            [(*[r[c] for c in by], r["n"]) for r in sizes], T.StructType([*fields, T.StructField("_n", T.LongType())])
+        )
+        inside = points.join(large, by)
+    else:
+        inside = points.withColumn("_n", F.lit(n))
+    wanted = F.ceil(F.col("_n") / size) * per_leaf
+    draw = F.pmod(F.xxhash64("p"), F.lit(1 << 40)) / float(1 << 40)
+    samples: dict[tuple, list] = {}
+    for r in inside.filter(draw <= wanted / F.col("_n")).select(*by, "p", "x").orderBy("p").collect():
+        samples.setdefault(tuple(r[c] for c in by), []).append(r["x"])
+    return {s: np.array(x) for s, x in samples.items()}, {tuple(r[c] for c in by): math.ceil(r["n"] / size) for r in sizes}
+
+
 def make_blocks(points: DataFrame, by: Sequence[str] = (), block_rows: int = BLOCK_ROWS, rows: int | None = None) -> Blocks:
     """Split points into blocks of about ``block_rows``.
 
@@ -309,22 +364,8 @@ def make_blocks(points: DataFrame, by: Sequence[str] = (), block_rows: int = BLO
     if not sizes:
         return whole
 
-    # A sample by key hash, shared out by scope size and bounded in total.
-    per_leaf = max(2, min(32, MAX_SAMPLE // math.ceil(n / size)))
-    if by:
-        large = points.sparkSession.createDataFrame(
-            [(*[r[c] for c in by], r["n"]) for r in sizes], T.StructType([*fields, T.StructField("_n", T.LongType())])
-        )
-        inside = points.join(large, by)
-    else:
-        inside = points.withColumn("_n", F.lit(n))
-    wanted = F.ceil(F.col("_n") / size) * per_leaf
-    draw = F.pmod(F.xxhash64("p"), F.lit(1 << 40)) / float(1 << 40)
-    samples: dict[tuple, list] = {}
-    for r in inside.filter(draw <= wanted / F.col("_n")).select(*by, "p", "x").orderBy("p").collect():
-        samples.setdefault(tuple(r[c] for c in by), []).append(r["x"])
-    cut = {tuple(r[c] for c in by): math.ceil(r["n"] / size) for r in sizes}
-    trees = {s: _median_cuts(np.array(samples[s]), leaves) for s, leaves in cut.items() if s in samples}
+    samples, cut = _scope_samples(points, by, n, size, sizes)
+    trees = {s: _median_cuts(samples[s], leaves) for s, leaves in cut.items() if s in samples}
     packed = points.sparkSession.sparkContext.broadcast(trees)
     out_schema = T.StructType([*fields, *[points.schema[c] for c in ("p", "w", "x")], T.StructField("cell", T.IntegerType())])
 
@@ -383,14 +424,34 @@ def _search(queries: DataFrame, blocks: Blocks, kernel, own_block: bool, nearest
 
     ``queries`` has ``by``, ``p``, ``x`` and ``reach`` (how far a useful point
     may be). With ``own_block=False`` blocks equal to the query's ``blk`` are
-    left out. ``nearest`` says that only the nearest point counts.
+    left out. ``nearest`` says that only the nearest point counts. Where many
+    queries of a block have to visit another block, that block is sent to them
+    as one; single queries are sent to the block.
     """
-    by = blocks.by
-    schema = kernel.schema(blocks.by_fields)
     if blocks.single:
-        routed = queries.withColumn("blk", F.lit(0))
-    else:
-        routed = materialize(_route(queries, blocks, own_block, nearest))
+        return _asked(queries.withColumn("blk", F.lit(0)), blocks, kernel)
+    routed = materialize(_route(queries, blocks, own_block, nearest))
+    found = _asked(routed.filter(F.col("home").isNull()).drop("home"), blocks, kernel)
+    if "blk" not in queries.columns:
+        return found
+    return found.unionByName(_met(queries, routed.filter(F.col("home").isNotNull()).select("home", "blk"), blocks, kernel))
+
+
+def _kernel_task(kernel, by: list[str], schema: T.StructType):
+    arrow = pa.schema(list(zip(schema.names, _arrow_types(schema))))
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        one_blas_thread()
+        if not left.num_rows or not right.num_rows:
+            return arrow.empty_table()
+        return kernel.run(left, right, by).cast(arrow)
+
+    return run
+
+
+def _asked(routed: DataFrame, blocks: Blocks, kernel) -> DataFrame:
+    """Queries sent to the block ``blk`` each has to visit, in bounded chunks."""
+    by = blocks.by
     # With one block per scope the scope alone is the key; without scopes there
     # is one count, which needs no join.
     on = list(by) if blocks.single else [*by, "blk"]
@@ -403,17 +464,28 @@ def _search(queries: DataFrame, blocks: Blocks, kernel, own_block: bool, nearest
     base = with_load(blocks.points).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)))
     salted = with_load(routed).withColumn("salt", F.pmod(F.xxhash64("p"), F.col("_salts")).cast("int"))
     group = [*by, "blk", "salt"]
-
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows or not right.num_rows:
-            return pa.table({f.name: pa.array([], t) for f, t in zip(schema.fields, _arrow_types(schema))})
-        return kernel.run(left, right, by).cast(pa.schema(list(zip(schema.names, _arrow_types(schema)))))
-
+    schema = kernel.schema(blocks.by_fields)
     return (
         salted.select(*group, "p", "x", "reach")
         .groupBy(*group)
         .cogroup(base.select(*group, "p", "w", "x").groupBy(*group))
-        .applyInArrow(run, schema)
+        .applyInArrow(_kernel_task(kernel, by, schema), schema)
+    )
+
+
+def _met(queries: DataFrame, pairs: DataFrame, blocks: Blocks, kernel) -> DataFrame:
+    """Blocks of queries (``home``) with the blocks they visit, ``MET`` of these at a time."""
+    by, group = blocks.by, [*blocks.by, "home", "run"]
+    place = F.row_number().over(W.partitionBy("home").orderBy("blk"))
+    runs = pairs.withColumn("run", F.floor((place - 1) / MET).cast("int"))
+    left = queries.select(*by, "p", "x", "reach", F.col("blk").alias("home")).join(runs.select("home", "run").distinct(), "home")
+    right = blocks.points.select(*by, "p", "w", "x", "blk").join(runs, "blk")
+    schema = kernel.schema(blocks.by_fields)
+    return (
+        left.select(*[F.col(c).alias(c) for c in [*group, "p", "x", "reach"]])
+        .groupBy(*group)
+        .cogroup(right.select(*[F.col(c).alias(c) for c in [*group, "p", "w", "x"]]).groupBy(*group))
+        .applyInArrow(_kernel_task(kernel, by, schema), schema)
     )
 
 
@@ -462,7 +534,8 @@ def _visits(x: np.ndarray, reach: np.ndarray, lo: np.ndarray, hi: np.ndarray, ne
 
 
 def _route(queries: DataFrame, blocks: Blocks, own_block: bool, nearest: bool = False) -> DataFrame:
-    """One row per (query, block to visit)."""
+    """The blocks to visit: a row per query and block, or a row without query
+    (``home``, ``blk``) where at least one in ``DENSE`` queries of a block visit it."""
     by = blocks.by
     by_scope: dict[tuple, list] = {}
     for s, lo, hi, i in blocks.boxes:
@@ -472,32 +545,58 @@ def _route(queries: DataFrame, blocks: Blocks, own_block: bool, nearest: bool =
     )
     # A scope that fits one block has nowhere else to look.
     solo = queries.sparkSession.sparkContext.broadcast(blocks.solo if own_block else {})
-    has_home = "blk" in queries.columns
     cols = [*by, "p", "x", "reach"]
-    schema = T.StructType([*[queries.schema[c] for c in cols], T.StructField("blk", T.IntegerType())])
+    schema = T.StructType([*[T.StructField(c, queries.schema[c].dataType) for c in cols], T.StructField("blk", T.IntegerType()), T.StructField("home", T.IntegerType())])
+    arrow = to_arrow_schema(schema)
+
+    def single(bare: pa.Table, rows: np.ndarray, blk: np.ndarray) -> pa.Table:
+        found = bare.take(pa.array(rows)).append_column("blk", pa.array(blk.astype(np.int32)))
+        return found.append_column("home", pa.nulls(len(rows), pa.int32())).cast(arrow)
+
+    def tiles(table: pa.Table, rows: np.ndarray, home: np.ndarray | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        x, reach = _vectors(table), table.column("reach").to_numpy()
+        lo, hi, number = packed.value[tuple(table.column(c)[int(rows[0])].as_py() for c in by)]
+        for start in range(0, len(rows), _TILE):
+            part = rows[start : start + _TILE]
+            qi, bi = _visits(x[part], reach[part].copy(), lo, hi, nearest)
+            qi, blk = part[qi], number[bi]
+            if home is not None and not own_block:
+                other = blk != home[qi]
+                qi, blk = qi[other], blk[other]
+            yield qi, blk
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             table = pa.Table.from_batches([batch])
-            x = _vectors(table)
-            reach = table.column("reach").to_numpy().copy()
-            home = table.column("blk").to_numpy() if has_home else np.full(len(x), -1)
-            bare = table.select(cols)
             for s, rows in _by_scope(table, by, solo.value):
-                only = np.full(len(rows), solo.value[s], dtype=np.int32)
-                yield from bare.take(pa.array(rows)).append_column("blk", pa.array(only)).to_batches()
-            for s, rows in _by_scope(table, by, packed.value):
-                lo, hi, number = packed.value[s]
-                for start in range(0, len(rows), _TILE):
-                    part = rows[start : start + _TILE]
-                    qi, bi = _visits(x[part], reach[part], lo, hi, nearest)
-                    if not own_block:
-                        other = number[bi] != home[part[qi]]
-                        qi, bi = qi[other], bi[other]
-                    found = bare.take(pa.array(part[qi]))
-                    yield from found.append_column("blk", pa.array(number[bi].astype(np.int32))).to_batches()
-
-    return queries.select(*cols, *(["blk"] if has_home else [])).mapInArrow(visit, schema)
+                yield from single(table, rows, np.full(len(rows), solo.value[s])).to_batches()
+            for _, rows in _by_scope(table, by, packed.value):
+                for qi, blk in tiles(table, rows, None):
+                    yield from single(table, qi, blk).to_batches()
+
+    def visit_block(table: pa.Table) -> pa.Table:
+        scope, rows = tuple(table.column(c)[0].as_py() for c in by), np.arange(table.num_rows)
+        bare, home = table.select(cols), table.column("blk").to_numpy()
+        if scope in solo.value:
+            return single(bare, rows, np.full(len(rows), solo.value[scope]))
+        if scope not in packed.value:
+            return arrow.empty_table()
+        count: dict[int, int] = {}
+        for _, blk in tiles(table, rows, home):
+            for b, n in zip(*np.unique(blk, return_counts=True)):
+                count[int(b)] = count.get(int(b), 0) + int(n)
+        dense = np.array(sorted(b for b, n in count.items() if n * DENSE >= len(rows)), np.int32)
+        out = []
+        for qi, blk in tiles(table, rows, home):
+            alone = ~np.isin(blk, dense)
+            out.append(single(bare, qi[alone], blk[alone]))
+        first = bare.slice(0, 1).take(pa.array(np.zeros(len(dense), np.int64)))
+        together = pa.table({f.name: first.column(f.name) if f.name in by else pa.nulls(len(dense), f.type) for f in list(arrow)[: len(cols)]} | {"blk": pa.array(dense), "home": pa.array(np.full(len(dense), home[0], np.int32))})
+        return pa.concat_tables([*out, together.cast(arrow)])
+
+    if "blk" in queries.columns:
+        return queries.select(*cols, "blk").groupBy(*by, "blk").applyInArrow(visit_block, schema)
+    return queries.select(*cols).mapInArrow(visit, schema)
 
 
 def _best(edges: DataFrame, by: list[str], k: int) -> DataFrame:
@@ -510,16 +609,15 @@ def nearest_points(blocks: Blocks, k: int) -> DataFrame:
     """``k`` nearest other distinct points: ``by, p, o, dist, w, place``."""
     kernel = _TopK(k, blocks.key_type)
     own = blocks.points.withColumn("reach", F.lit(float("inf")))
-    local = _local(own, blocks, kernel)
+    local = materialize(_local(own, blocks, kernel))  # one block per point: no more than k each
     if blocks.single:
         return _best(local, blocks.by, k)
-    local = materialize(_best(local, blocks.by, k))
     # A query that already has k neighbours never needs to look further than the k-th.
     bound = local.groupBy(*blocks.by, "p").agg(F.max("dist").alias("_far"), F.count(F.lit(1)).alias("_n"))
     reach = F.when(F.col("_n") >= k, F.col("_far")).otherwise(float("inf"))
     asked = blocks.points.join(bound, [*blocks.by, "p"], "left").withColumn("reach", F.coalesce(reach, F.lit(float("inf"))))
     remote = _search(asked, blocks, kernel, own_block=False)
-    return _best(local.drop("place").unionByName(remote), blocks.by, k)
+    return _best(local.unionByName(remote), blocks.by, k)
 
 
 def _local(points: DataFrame, blocks: Blocks, kernel) -> DataFrame:
@@ -528,6 +626,7 @@ def _local(points: DataFrame, blocks: Blocks, kernel) -> DataFrame:
     by = blocks.by
 
     def run(table: pa.Table) -> pa.Table:
+        one_blas_thread()
         return kernel.run(table, table, by).cast(pa.schema(list(zip(schema.names, _arrow_types(schema)))))
 
     return points.select(*by, "blk", "p", "w", "x", "reach").groupBy(*by, "blk").applyInArrow(run, schema)
@@ -536,12 +635,21 @@ def _local(points: DataFrame, blocks: Blocks, kernel) -> DataFrame:
 # ---------------------------------------------------------------- operators
 
 
-def knn(df: DataFrame, key: str, vec: str, k: int, by: Sequence[str] = (), block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Exact ``k`` nearest other rows: ``by, key, neighbor, dist, place``; ties by key."""
+#: Lists of the k nearest other distinct points (``by, p, o, dist, w``) of materialized points (``by, p, w, x``).
+Lists = Callable[[DataFrame, list[str], int], DataFrame]
+
+
+def exact_lists(block_rows: int = BLOCK_ROWS) -> Lists:
+    """The method of all operators here unless another one is given."""
+    return lambda points, by, k: nearest_points(make_blocks(points, by, block_rows), k).drop("place")
+
+
+def knn(df: DataFrame, key: str, vec: str, k: int, by: Sequence[str] = (), block_rows: int = BLOCK_ROWS, lists: Lists | None = None) -> DataFrame:
+    """``k`` nearest other rows: ``by, key, neighbor, dist, place``; ties by key. Exact unless ``lists`` is another method."""
     by = list(by)
     fixed = fixed_rows(df, key, vec, by)
     points = materialize(distinct_points(fixed, by))
-    edges = nearest_points(make_blocks(points, by, block_rows), k).drop("place", "w")
+    edges = (lists or exact_lists(block_rows))(points, by, k).drop("w")
     itself = points.select(*by, "p", F.col("p").alias("o"), F.lit(0.0).alias("dist"))
     groups = edges.unionByName(itself)
     # The first k + 1 rows of every group of copies are enough for any list.
@@ -590,7 +698,6 @@ class Neighborhood:
     edges: DataFrame  # by, p, o, dist, w, before
     sizes: DataFrame  # by, n
     by: list[str]
-    blocks: Blocks
     rows: int
 
 
@@ -604,7 +711,7 @@ def lof_neighbors(n: Column, k: int = 20) -> Column:
     return F.greatest(F.lit(2), F.least(F.lit(k), n.cast("int") - 1))
 
 
-def neighborhood(df: DataFrame, key: str, vec: str, by: Sequence[str] = (), k: int = 20, min_k: int = 0, block_rows: int = BLOCK_ROWS, written: bool = False) -> Neighborhood:
+def neighborhood(df: DataFrame, key: str, vec: str, by: Sequence[str] = (), k: int = 20, min_k: int = 0, block_rows: int = BLOCK_ROWS, written: bool = False, lists: Lists | None = None) -> Neighborhood:
     """Lists long enough for LOF with ``k`` and DBSCAN's k-distance. ``written`` says that ``df`` is a written table."""
     by = list(by)
     source = fixed_rows(df, key, vec, by, written)
@@ -613,15 +720,14 @@ def neighborhood(df: DataFrame, key: str, vec: str, by: Sequence[str] = (), k: i
     measured = sizes.agg(F.max("n").alias("n_max"), F.sum("n").alias("n_all")).first()
     n_max = measured["n_max"] or 1
     depth = max(k, min_k, max(5, math.ceil(math.log(max(n_max, 1))) + 1) - 1)
-    blocks = make_blocks(points, by, block_rows)
-    others = nearest_points(blocks, depth).drop("place")
+    others = (lists or exact_lists(block_rows))(points, by, depth)
     copies = points.filter(F.col("w") > 1).select(
         *by, "p", F.col("p").alias("o"), F.lit(0.0).alias("dist"), (F.col("w") - 1).alias("w")
     )
     ahead = W.partitionBy(*by, "p").orderBy("dist", "o").rowsBetween(W.unboundedPreceding, -1)
     listed = others.unionByName(copies).withColumn("before", F.coalesce(F.sum("w").over(ahead), F.lit(0)))
     edges = materialize(listed.filter(F.col("before") < depth))
-    return Neighborhood(source, points, edges, sizes, by, blocks, measured["n_all"] or 0)
+    return Neighborhood(source, points, edges, sizes, by, measured["n_all"] or 0)
 
 
 def _with_size(df: DataFrame, nb: Neighborhood) -> DataFrame:

@@ -8,9 +8,13 @@ statistics for the optimizer, and survives the loss of any executor.
 
 from __future__ import annotations
 
+import ctypes
+import glob
+import os
 import tempfile
 import uuid
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -33,6 +37,17 @@ def local_session(cores: str = "*", app: str = "waypost", **conf: str) -> SparkS
     return spark
 
 
+def one_blas_thread() -> None:
+    """Keep numpy's bundled matrix library to one thread in this process; tasks already use all cores."""
+    folder = os.path.join(os.path.dirname(np.__file__), os.pardir, "numpy.libs")
+    for path in glob.glob(os.path.join(folder, "*openblas*")):
+        library = ctypes.CDLL(path)
+        for name in ("scipy_openblas_set_num_threads64_", "scipy_openblas_set_num_threads", "openblas_set_num_threads64_", "openblas_set_num_threads"):
+            if hasattr(library, name):
+                getattr(library, name)(1)
+                break
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for intermediate tables.
 
