@@ -14,6 +14,7 @@ from waypost.operators.features import feature_matrix, scaled_vectors, select_fe
 from waypost.operators.forest import PANEL_TREES, TREES, isolation_scores
 from waypost.operators.neighbors import (
     BLOCK_ROWS,
+    Lists,
     density_points,
     lof_points,
     neighborhood,
@@ -117,10 +118,12 @@ def guard_min_rows(df: DataFrame, n: int = vocab.MIN_ROUTES, flags: Sequence[str
 def fit_detectors(
     routes: DataFrame, key: str = "route", cols: Sequence[str] | None = None, contamination: float = vocab.CONTAMINATION,
     seed: int = vocab.SEED, by: Sequence[str] = (), trees: int = TREES, min_rows: int = vocab.MIN_ROUTES,
-    block_rows: int = BLOCK_ROWS, dbscan_info: bool = False,
+    block_rows: int = BLOCK_ROWS, dbscan_info: bool = False, lists: Lists | None = None,
 ) -> DataFrame:
     """Four detectors and their votes for every route of every scope.
 
+    ``lists`` is a method for the neighbour lists, exact by default.
+
     The scaled matrix is written once; LOF and DBSCAN share one neighbour
     search. ``routes`` keeps all its columns and gains the scores, by key.
     """
@@ -132,7 +135,7 @@ def fit_detectors(
     forest = isolation_scores(matrix, key, "x", by, trees, seed)
     forest = flag_top(materialize(forest), "if_raw", contamination, "if_anomaly", by, n, severity="if_score").drop("if_raw")
 
-    nb = neighborhood(matrix, key, "x", by, block_rows=block_rows, written=True)
+    nb = neighborhood(matrix, key, "x", by, block_rows=block_rows, written=True, lists=lists)
     marks, params = density_points(nb)
     density = materialize(point_scores(nb, key, marks))
     density = flag_top(density, "lof_score", contamination, "lof_anomaly", by, n)
@@ -151,7 +154,7 @@ def fit_detectors(
 
 def fit_panel_detectors(
     panel: DataFrame, key: str, contamination: float = vocab.PANEL_CONTAMINATION, seed: int = vocab.SEED,
-    min_rows: int = vocab.MIN_PANEL_ROWS, block_rows: int = BLOCK_ROWS,
+    min_rows: int = vocab.MIN_PANEL_ROWS, block_rows: int = BLOCK_ROWS, lists: Lists | None = None,
 ) -> DataFrame:
     """Forest, LOF and three-sigma rule on the daily panel.
 
@@ -169,7 +172,7 @@ def fit_panel_detectors(
         )
     raw = panel.select(key, F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in cols]).alias("x"))
     iso = flag_top(materialize(isolation_scores(raw, key, "x", trees=PANEL_TREES, seed=seed)), "if_raw", contamination, "if_anomaly", severity="anomaly_severity_iso")
-    nb = neighborhood(scaled_vectors(panel, cols, key), key, "x", block_rows=block_rows)
+    nb = neighborhood(scaled_vectors(panel, cols, key), key, "x", block_rows=block_rows, lists=lists)
     lof = flag_top(materialize(point_scores(nb, key, lof_points(nb))), "lof_score", contamination, "lof_anomaly")
     lof = lof.withColumnRenamed("lof_score", "anomaly_severity_lof")
     return z.join(iso.drop("if_raw"), key).join(lof, key)

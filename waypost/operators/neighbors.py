@@ -694,7 +694,7 @@ class Neighborhood:
     """
 
     source: DataFrame  # by, key, x
-    points: DataFrame  # by, p, w, x
+    points: DataFrame  # by, name (least key), p (number in the order of names), w, x
     edges: DataFrame  # by, p, o, dist, w, before
     sizes: DataFrame  # by, n
     by: list[str]
@@ -715,7 +715,9 @@ def neighborhood(df: DataFrame, key: str, vec: str, by: Sequence[str] = (), k: i
     """Lists long enough for LOF with ``k`` and DBSCAN's k-distance. ``written`` says that ``df`` is a written table."""
     by = list(by)
     source = fixed_rows(df, key, vec, by, written)
-    points = materialize(distinct_points(source, by))
+    # Points go by numbers in the order of their keys, which are shorter than most keys.
+    named = distinct_points(source, by).withColumnRenamed("p", "name")
+    points = materialize(named.repartitionByRange("name").sortWithinPartitions("name").withColumn("p", F.monotonically_increasing_id()))
     sizes = points.groupBy(*by).agg(F.sum("w").alias("n"))
     measured = sizes.agg(F.max("n").alias("n_max"), F.sum("n").alias("n_all")).first()
     n_max = measured["n_max"] or 1
@@ -886,6 +888,8 @@ def dbscan_clusters(df: DataFrame, key: str, vec: str, by: Sequence[str] = (), m
         .agg(F.min("cluster").alias("cluster"))
     )
     scores = nb.points.select(*by, "p").join(named.unionByName(border), [*by, "p"], "left")
+    names = nb.points.select(*by, F.col("p").alias("cluster"), F.col("name").alias("_name"))
+    scores = scores.join(names, [*by, "cluster"], "left").select(*by, "p", F.col("_name").alias("cluster"))
     return point_scores(nb, key, scores)
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from waypost.operators import detectors as DT
 from waypost.operators import neighbors as N
+from waypost.operators.projections import table_lists
 from waypost.operators.features import feature_matrix
 from waypost.operators.forest import isolation_scores
 from waypost.operators.stats import quantiles
@@ -71,6 +72,21 @@ def _(spark, sf):
     return out.select("vec_id", "neighbor", r6("dist"), "place")
 
 
+@query(
+    "approximate_recall",
+    "SELECT count(*) AS n_vectors, CAST(count(*) * 10 AS BIGINT) AS n_listed, CAST(0.9 AS DOUBLE) AS recall_at_least FROM embeddings",
+)
+def _(spark, sf):
+    """Share of the true ten neighbours that random-projection tables find, in tenths up to 0.9."""
+    rows = _embeddings(spark, sf)
+    near = N.knn(rows, "vec_id", "embedding", 10, lists=table_lists())
+    far = N.knn(rows, "vec_id", "embedding", 10).filter("place = 10").select("vec_id", F.col("dist").alias("far"))
+    found = near.join(far, "vec_id").agg(
+        F.count_distinct("vec_id").alias("n_vectors"), F.count(F.lit(1)).alias("n_listed"), F.avg((F.col("dist") <= F.col("far") * (1 + 1e-12)).cast("int")).alias("recall")
+    )
+    return found.select("n_vectors", "n_listed", F.least(F.floor(F.col("recall") * 10) / 10, F.lit(0.9)).alias("recall_at_least"))
+
+
 # The second table holds every row twice under another key.
 @query(
     "knn_with_copies",
