@@ -154,3 +154,20 @@ def test_nearest_kernel_handles_ties():
     x = np.array([[0.0], [1.0], [1.0], [-1.0], [2.0], [1.0]] + [[50.0 + i] for i in range(40)])
     idx, dist = N._nearest(x[:1], x, 4)
     assert idx[0].tolist() == [0, 1, 2, 3] and dist[0].tolist() == [0.0, 1.0, 1.0, 1.0]
+
+def test_hubs_are_spread(spark):
+    """A star of a third of all nodes: no task of the joins gets much more than the others, and labels are right."""
+    from pyspark.sql import functions as F
+
+    from waypost.operators.joins import join_hot
+    from waypost.session import materialize
+
+    n = 30_000
+    star = spark.range(1, n).select(F.lit(0).cast("bigint").alias("a"), F.col("id").alias("b"))
+    chains = spark.range(n, 3 * n).select(F.col("id").alias("a"), (F.col("id") + F.when(F.col("id") % 10 == 9, 0).otherwise(1)).alias("b")).where("a <> b")
+    edges = materialize(star.unionAll(chains).repartition(16))
+    labels = {r["a"]: r["label"] for r in N.connected_components(edges).collect()}
+    assert all(labels[i] == 0 for i in range(1, n, 997)) and all(labels[i] == i - i % 10 for i in range(n + 1, 3 * n, 991) if i % 10)
+    degree = materialize(edges.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n")))
+    sizes = [r["count"] for r in join_hot(edges, degree, ["a"], "n").groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == edges.count() and max(sizes) <= 2 * np.median(sizes)

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from waypost.functions.text import upper_trim
 from waypost.sources.files import q
 
+#: A key that more than one row in so many has is hot.
+HOT_SHARE = 4096
+
 
 def outer_join_with_coverage(a: DataFrame, b: DataFrame, keys: Sequence[str], name: str = "data_coverage") -> DataFrame:
     """Full outer join that says which side each row came from."""
@@ -29,6 +32,22 @@ def join_groups(df: DataFrame, table: DataFrame, keys: Sequence[str], how: str =
     return df.join(renamed, same, how).drop(*own.values())
 
 
+def join_hot(rows: DataFrame, table: DataFrame, keys: Sequence[str], count: str, share: int = HOT_SHARE) -> DataFrame:
+    """Inner join of rows with a table of unique, known keys that says in ``count`` how many rows have each.
+
+    Keys that more than one row in ``share`` has are fewer than ``share``; their
+    lines of ``table`` go to all tasks, and their rows are not dealt by key. No
+    task gets more than one row in ``share`` for a single key. ``rows`` and
+    ``table`` are read twice and should be written tables.
+    """
+    total = table.agg(F.sum(count)).first()[0] or 0
+    hot = F.col(count) * share > total
+    many, few = table.filter(hot).drop(count), table.filter(~hot).drop(count)
+    on = list(keys)
+    alone = rows.join(F.broadcast(many.select(*on)), on, "left_anti").join(few, on)
+    return alone.unionByName(rows.join(F.broadcast(many), on).select(*alone.columns))
+
+
 def left_join_fill0(a: DataFrame, b: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
     return a.join(b, list(keys), "left").na.fill(0, list(cols))
 

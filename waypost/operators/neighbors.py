@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from waypost.operators.joins import join_hot
 from waypost.operators.stats import attach, quantiles
 from waypost.session import materialize, one_blas_thread
 
@@ -898,8 +899,8 @@ def connected_components(links: DataFrame, by: Sequence[str] = (), done: bool =
 
     Alternates the two star steps of Kiveris et al. (2014): every node's larger
     neighbours, then its smaller ones, are linked to its smallest neighbour.
-    Each round is an aggregate and a join, written out so that lineage stays
-    short. ``done`` says the links are already stars.
+    Each step is an aggregate and a join, written out so that lineage stays
+    short; no join key gets more than its share of the edges. ``done`` says the links are already stars.
     """
     by = list(by)
     star = links.filter(F.col("a") != F.col("b")).select(*by, F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
@@ -908,7 +909,7 @@ def connected_components(links: DataFrame, by: Sequence[str] = (), done: bool =
     edges = materialize(star)
     before = None
     while True:  # every round but the last changes an edge
-        edges = materialize(_small_star(_large_star(edges, by), by))
+        edges = materialize(_small_star(materialize(_large_star(edges, by)), by))
         now = tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if now == before:
             break
@@ -918,19 +919,24 @@ def connected_components(links: DataFrame, by: Sequence[str] = (), done: bool =
 
 def _large_star(edges: DataFrame, by: list[str]) -> DataFrame:
     both = edges.select(*by, "a", "b").unionByName(edges.select(*by, F.col("b").alias("a"), F.col("a").alias("b")))
-    smallest = both.groupBy(*by, "a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
-    linked = both.filter(F.col("b") > F.col("a")).join(smallest, [*by, "a"])
-    return linked.select(*by, F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+    linked = _to_smallest(both, by).filter(F.col("b") > F.col("a"))
+    return linked.select(*by, F.col("b").alias("a"), F.least("a", "m").alias("b")).distinct()
 
 
 def _small_star(edges: DataFrame, by: list[str]) -> DataFrame:
-    smallest = edges.groupBy(*by, "a").agg(F.min("b").alias("m"))
-    linked = edges.join(smallest, [*by, "a"])
+    linked = _to_smallest(edges, by)
     low = linked.filter(F.col("b") != F.col("m")).select(*by, F.col("b").alias("a"), F.col("m").alias("b"))
-    top = smallest.select(*by, "a", F.col("m").alias("b"))
+    top = linked.select(*by, "a", F.col("m").alias("b"))
     return low.unionByName(top).distinct()
 
 
+def _to_smallest(edges: DataFrame, by: list[str]) -> DataFrame:
+    """Edges with the smallest neighbour ``m`` of their first node; hubs are spread over the tasks."""
+    key = [*by, "a"]
+    smallest = materialize(edges.groupBy(*key).agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("_degree")))
+    return join_hot(edges, smallest, key, "_degree")
+
+
 def core_distance(df: DataFrame, key: str, vec: str, by: Sequence[str] = (), min_samples: int | None = None, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Distance to the nearest core row; 0 for a core, or where no row is core."""
     by = list(by)
