@@ -33,26 +33,6 @@ def grouped(fps, radius=3):
     return [find(i) for i in range(len(fps))]
 
 
-def similar(texts):
-    """Roots of the texts that link by either fingerprint, from all pairs."""
-    fps, wide = [plain(t) for t in texts], [simhash.wide_fingerprint(t or "") for t in texts]
-    masks = [m << (32 * part) for part in range(4) for m in simhash.covering_masks(3, 32)]
-    whole = [a << 64 | b for a, b in wide]
-    parent = list(range(len(texts)))
-
-    def find(i):
-        while parent[i] != i:
-            i = parent[i]
-        return i
-
-    for i, j in itertools.combinations(range(len(texts)), 2):
-        x = whole[i] ^ whole[j]
-        if (fps[i] ^ fps[j]).bit_count() <= 3 or x.bit_count() <= simhash.WIDE_BITS and any(not x & m for m in masks):
-            a, b = find(i), find(j)
-            parent[max(a, b)] = min(a, b)
-    return [find(i) for i in range(len(texts))]
-
-
 @pytest.mark.parametrize("radius", [1, 2, 3, 4])
 def test_masks_cover(radius):
     masks = simhash.covering_masks(radius)
@@ -72,9 +52,11 @@ def test_fingerprint(edge_rows, monkeypatch):
             assert simhash.fingerprint(text or "") == plain(text)
 
 
-@pytest.mark.parametrize("tile", [4, 2_048])
-def test_links_find_every_group(spark, monkeypatch, tile):
+@pytest.mark.parametrize(("tile", "common"), [(4, 50), (8_192, 50), (2, 3)])
+def test_links_find_every_group(spark, monkeypatch, tile, common):
+    """Also where buckets are too large for a task, and where a sample shows that beforehand."""
     monkeypatch.setattr(simhash, "TILE", tile)
+    monkeypatch.setattr(simhash, "COMMON", common)
     rng = random.Random(7)
     fps = [rng.getrandbits(64) for _ in range(60)]
     for base in fps[:25]:
@@ -82,6 +64,8 @@ def test_links_find_every_group(spark, monkeypatch, tile):
         for _ in range(rng.randint(0, 12)):
             at ^= sum(1 << b for b in rng.sample([63, 62, *range(62)], rng.randint(1, 4)))
             fps.append(at)
+    # A third of all in a few buckets, far from each other in the rest of their bits.
+    fps += [fps[0] & simhash.covering_masks(3)[0] | (rng.getrandbits(64) & ~simhash.covering_masks(3)[0]) for _ in range(60)]
     fps = list(dict.fromkeys(fps + [0, 1, 1 << 63, (1 << 64) - 1]))
     df = spark.createDataFrame([(simhash.signed(f),) for f in fps], "fp bigint").repartition(5)
     edges = simhash.links(df)
@@ -93,30 +77,10 @@ def test_links_find_every_group(spark, monkeypatch, tile):
     assert len(set(zip(mine, want))) == len(set(mine)) == len(set(want))
 
 
-def test_wide_links_catch_similar_texts(spark):
-    """Copies with one word in a hundred changed come together; texts that share a third of their words stay apart."""
-    rng = random.Random(21)
-    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
-    rows, group = [], []
-    for g in range(30):
-        words = [word() for _ in range(300)]
-        for copy in range(3):
-            own = list(words)
-            for i in rng.sample(range(300), 3 * (copy > 0)):
-                own[i] = word()
-            rows.append((len(rows), " ".join(own)))
-            group.append(g)
-        rows.append((len(rows), " ".join(words[:100] + [word() for _ in range(200)])))
-        group.append(1_000 + g)
-    got = {r.key: r["first"].key for r in simhash.similar_groups(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
-    first = {g: group.index(g) for g in group}
-    assert [got[i] for i in range(len(rows))] == [first[g] for g in group]
-
-
 def test_groups_of_any_size_are_screened_alike():
     rng = np.random.default_rng(6)
     sizes = [1, 2, 3, 16, 17, 40, 2]
-    fps = rng.integers(0, 1 << 63, (sum(sizes), 2)).astype(np.uint64)
+    fps = rng.integers(0, 1 << 63, sum(sizes)).astype(np.uint64)
     for i in range(1, len(fps), 3):
         fps[i] = fps[i - 1] ^ np.uint64(5)
     cuts = np.concatenate([[0], np.cumsum(sizes)])
@@ -149,7 +113,6 @@ def test_edges(edge_docs, no_docs, edge_rows):
     kept = simhash.deduplicate(edge_docs)
     assert kept.columns == edge_docs.columns
     rows = kept.collect()
-    roots = similar([t for _, t, *_ in edge_rows])
     least = {r: min((d for (d, *_), x in zip(edge_rows, roots) if x == r and d is not None), default=None) for r in roots}
     assert len(rows) == len(set(roots)) and {r.doc_id for r in rows} == {least[r] for r in roots}
     assert simhash.near_duplicates(no_docs).count() == 0 and simhash.deduplicate(no_docs).count() == 0
@@ -170,90 +133,24 @@ def test_spark_hash_is_the_same(spark):
     assert np.bitwise_count(np.uint64(1 << 63 | 1)) == 2
 
 
-def sets_of(texts, n=5):
-    words = [(t or "").encode().lower().split() for t in texts]
-    return [{b" ".join(w[i : i + n]) for i in range(len(w) - n + 1)} or ({b" ".join(w)} if w else set()) for w in words]
-
-
-def truly_similar(texts):
-    """Roots of the texts that link by the 64-bit fingerprint or a five-word similarity of 0.8, from all pairs."""
-    fps, sets = [plain(t) for t in texts], sets_of(texts)
-    parent = list(range(len(texts)))
-
-    def find(i):
-        while parent[i] != i:
-            i = parent[i]
-        return i
-
-    for i, j in itertools.combinations(range(len(texts)), 2):
-        a, b = sets[i], sets[j]
-        if (fps[i] ^ fps[j]).bit_count() <= 3 or 5 * len(a & b) >= 4 * len(a | b):
-            a, b = find(i), find(j)
-            parent[max(a, b)] = min(a, b)
-    return [find(i) for i in range(len(texts))]
-
-
-def families(seed, n=60, shares=(0.70, 0.74, 0.78, 0.79, 0.80, 0.801, 0.81, 0.83, 0.86)):
-    """Pairs of texts whose five-word similarity lies about the shares, with a passage that many share."""
-    rng = random.Random(seed)
-    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
-    passage, texts = [word() for _ in range(25)], []
-    for g in range(n):
-        size = rng.choice([6, 40, 120, 300])
-        words = [word() for _ in range(size)] + passage * (g % 3 > 0)
-        share = shares[g % len(shares)]
-        other = list(words)
-        cut = round(size * (1 - share) / (1 + share))  # the changed run is in both texts
-        other[:cut] = [word() for _ in range(cut)]
-        texts += [" ".join(words), " ".join(other)]
-    return texts
-
-
-@pytest.mark.parametrize("block", [2_000, 8 << 20])
-def test_stage_matches_brute_force_similarity(spark, monkeypatch, block):
-    """Pairs of 0.8 and more come together, all others stay apart, whatever their fingerprints."""
-    monkeypatch.setattr(simhash, "BLOCK", block)
-    texts = families(5)
-    want = truly_similar(texts)
-    assert want != similar(texts)
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(5)
-    got = {r.key: r["first"].key for r in simhash.similar_groups(docs).collect()}
-    assert [got[i] for i in range(len(texts))] == want
-
-
-def test_rejected_candidates_hide_no_link(spark):
-    """Similar pairs that are no candidates of each other, but of a third that is like neither."""
-    rng = np.random.default_rng(8)
-    base = rng.integers(0, 1 << 62, 100).astype(np.uint64)
-    sets = [np.unique(base[a:b]) for a, b in [(0, 70), (30, 100), (0, 66), (34, 100), (10, 90)]]
-    got = simhash.forest_of_sets(sets)
-    parent = list(range(len(sets)))
-    for i, j in got:
-        a, b = sets[i], sets[j]
-        assert 5 * len(np.intersect1d(a, b)) >= 4 * len(np.union1d(a, b))
-        parent = [parent[i] if p == parent[j] else p for p in parent]
-    assert len(set(parent)) == 3 and parent[0] == parent[2] and parent[1] == parent[3]
-
-
-def test_links_below_the_similarity_are_rejected(spark):
-    """Fingerprints of 0.72 often lie within the bits; such texts stay apart."""
-    rng = random.Random(3)
-    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
-    texts = []
-    for _ in range(60):
-        words = [word() for _ in range(200)]
-        texts += [" ".join(words), " ".join([word() for _ in range(33)] + words[33:])]
-    assert len(set(similar(texts))) < len(texts)
-    got = simhash.similar_groups(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()
-    assert all(r.key == r["first"].key for r in got)
-
-
-def test_prefixes_meet():
-    rng = np.random.default_rng(9)
-    for _ in range(500):
-        n = int(rng.integers(1, 60))
-        a = np.unique(rng.integers(0, 1 << 62, n).astype(np.uint64))
-        b = np.unique(np.concatenate([a[rng.random(len(a)) < 0.95], rng.integers(0, 1 << 62, n // 20).astype(np.uint64)]))
-        common = np.sort(rng.choice(a, len(a) // 2, replace=False))
-        if len(b) and 5 * len(np.intersect1d(a, b)) >= 4 * len(np.union1d(a, b)):
-            assert len(np.intersect1d(simhash.prefix(a, common), simhash.prefix(b, common)))
+def test_second_tables_cover(spark):
+    """What a bucket's fingerprints share is fixed; the second masks cover the other places, so that a bucket is small."""
+    masks = simhash.covering_masks(3)
+    rng = random.Random(11)
+    for m in masks:
+        free = [i for i in range(64) if not m >> i & 1]
+        second = simhash.covering_masks(3, free)
+        assert all(not own & m and len(free) - own.bit_count() <= 16 for own in second)
+        for _ in range(500):
+            flips = sum(1 << b for b in rng.sample(free, rng.randint(1, 3)))
+            assert any(not own & flips for own in second)
+
+
+def test_one_text_in_a_third_of_the_rows(spark):
+    """Copies of one text and a chain of near texts; of rows with one key and text one stays, whatever their order."""
+    same = "one two three four five six seven eight nine ten"
+    rows = [(i, same, str(i % 4)) for i in range(300)] + [(0, same, "9")] * 2 + [(1_000 + i, f"text {i} of its own kind and {i * i} words", "0") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    kept = [sorted(map(tuple, simhash.deduplicate(docs.repartition(n)).collect())) for n in (2, 7)]
+    roots = grouped([plain(t) for _, t, _ in rows])
+    assert kept[0] == kept[1] and [k[0] for k in kept[0]] == sorted({rows[r][0] for r in set(roots)})

@@ -8,57 +8,48 @@ vector has odd overlap with v. The vectors of at most ``radius`` differing
 positions leave some v without odd overlap, so that every linked pair shares
 its whole key in that v's table: nothing within the radius is missed.
 
-Equal fingerprints collapse before the tables. In a table, a bucket of more
-than TILE fingerprints is cut into blocks, and each pair of blocks is a tile;
-no task holds more than two blocks. A tile gives a spanning forest of its
-links, never all pairs. Components of the forest edges are the groups.
-
-Texts with a five-word similarity of 0.8 differ in about 10 of 64 bits, beyond
-any radius that can be covered. ``deduplicate`` therefore also links texts whose
-sets of five-word shingles have a Jaccard similarity of at least 0.8, measured
-exactly (on 64-bit hashes of the shingles). Two such sets share at least one of
-the first n - ceil(0.8 n) + 1 shingles of each, in any order common to all
-texts; these prefixes are the keys under which sets meet, so that every pair
-meets. Shingles that many texts of a sample hold come last in the order, which
-changes the cost and never the result. Sets that meet and differ in at most
-SCREEN_BITS of a 128-bit fingerprint are candidates (about 19 bits are expected
-at 0.8, with a deviation of 4). In each component of candidates all pairs are
-compared by their sets, in tiles of bounded blocks, and only the verified links
-join groups: a rejected pair cannot hide a true one.
+Equal fingerprints collapse before the tables. Buckets are read one after the
+other, and a bucket gives a spanning forest of its links, never all pairs. The
+few buckets of more than TILE fingerprints are covered once more: what their
+fingerprints share is fixed, so that linked ones differ in the other places
+only, and the masks over these part a bucket again. A second bucket has so
+many fixed places that it cannot hold more than some ten thousand different
+fingerprints. Keys that a sample shows to be very common go to the second
+tables at once, so that no task reads a large bucket. Components of the forest
+edges are the groups.
 
 A text without words has fingerprint zero, linked like any other; a null text
 is empty; fewer words than a shingle make one shingle. Rows may repeat a key or
 lack one: each row gets its fingerprint, and a group's name is the least key in
-it (null if it has none). An empty table gives an empty result.
+it (null if it has none). Of rows with one key and one text ``deduplicate``
+keeps the one whose columns have the least hash. An empty table gives an empty
+result.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from waypost.llm.common import map_texts, text_of
 from waypost.llm.components import components
+from waypost.operators.joins import join_hot
 from waypost.session import materialize
 
 WORDS, RADIUS, SEED = 3, 3, 42
-#: Words in a shingle of the wide fingerprint; different bits (of 128) that 0.8 seldom passes; those up to which sets that meet are compared.
-WIDE_WORDS, WIDE_BITS, SCREEN_BITS = 5, 22, 40
-#: Sampled texts, the share of them that makes a shingle common, and the most common shingles kept.
-SAMPLE, COMMON_SHARE, COMMON = 2_000, 0.005, 20_000
-#: Bytes of text in a block of a candidate component.
-BLOCK = 8 << 20
-#: Fingerprints in a block of a bucket; bytes of a text that are shingled at once.
-TILE, PIECE = 2_048, 1 << 22
+#: Fingerprints in a bucket that is searched at once; bytes of a text that are shingled at once.
+TILE, PIECE = 8_192, 1 << 22
 #: Groups of up to so many fingerprints are screened together.
 SMALL = 16
+#: Fingerprints sampled to find common keys, and how often a common key is in the sample.
+SAMPLE, COMMON = 200_000, 50
 
 # ---- fingerprints ------------------------------------------------------------------------------------
 
@@ -96,52 +87,6 @@ def fingerprint(text: str, size: int = WORDS, seed: int = SEED) -> int:
     return int.from_bytes(majority(text, size, 8, lambda shingles: [xxhash.xxh64_digest(s, seed) for s in shingles]), "big")
 
 
-def shingle_set(text: str, size: int = WIDE_WORDS, seed: int = SEED) -> np.ndarray:
-    """The distinct hashes of a text's word shingles, in order; empty without words."""
-    raw = text.encode("utf-8", "surrogatepass").lower()
-    found, held = [np.empty(0, np.uint64)], []
-    for words in words_of(raw):
-        held = held + words if held else words
-        if len(held) < size:
-            continue
-        hashes = (xxhash.xxh64_intdigest(b" ".join(s), seed) for s in zip(*(held[i:] for i in range(size))))
-        found.append(np.unique(np.fromiter(hashes, np.uint64)))
-        held = held[len(held) - size + 1 :]
-    if len(found) == 1 and held:
-        found.append(np.array([xxhash.xxh64_intdigest(b" ".join(held), seed)], np.uint64))
-    return np.unique(np.concatenate(found))
-
-
-def sketch(members: np.ndarray) -> tuple[int, int]:
-    """128 bits that over half of the set's members have set in their hashes; equal for equal sets."""
-    if not len(members):
-        return 0, 0
-    with np.errstate(over="ignore"):
-        other = (members ^ (members >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15)
-    other ^= other >> np.uint64(32)
-    bits = np.zeros(128, np.int64)
-    for lo in range(0, len(members), PIECE // 128):
-        pair = np.stack([members[lo : lo + PIECE // 128], other[lo : lo + PIECE // 128]], axis=1).astype(">u8")
-        bits += np.unpackbits(pair.view(np.uint8).reshape(-1, 16), axis=1).sum(0, dtype=np.int64)
-    raw = np.packbits(2 * bits > len(members)).tobytes()
-    return int.from_bytes(raw[:8], "big"), int.from_bytes(raw[8:], "big")
-
-
-def prefix(members: np.ndarray, common: np.ndarray) -> np.ndarray:
-    """The first n - ceil(0.8 n) + 1 members of a set in the order of all texts, common ones last."""
-    n = len(members)
-    if not n:
-        return members
-    late = np.isin(members, common)
-    return np.concatenate([members[~late], members[late]])[: n - (4 * n + 4) // 5 + 1]
-
-
-def wide_fingerprint(text: str, size: int = WIDE_WORDS, seed: int = SEED) -> tuple[int, int]:
-    """128 bits as two numbers."""
-    raw = majority(text, size, 16, lambda shingles: [xxhash.xxh3_128_digest(s, seed) for s in shingles])
-    return int.from_bytes(raw[:8], "big"), int.from_bytes(raw[8:], "big")
-
-
 def signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
@@ -160,20 +105,19 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", words
 # ---- covering tables ---------------------------------------------------------------------------------
 
 
-def covering_masks(radius: int, bits: int = 64) -> list[int]:
-    """One mask per non-zero vector of radius + 1 bits; the vectors of the positions go round."""
+def covering_masks(radius: int, places: Sequence[int] = range(64)) -> list[int]:
+    """One mask per non-zero vector of radius + 1 bits over the bit ``places``, whose vectors go round."""
     n = (1 << (radius + 1)) - 1
-    vector = [1 + i % n for i in range(bits)]
-    return [sum(1 << i for i in range(bits) if (vector[i] & v).bit_count() % 2) for v in range(1, n + 1)]
+    return [sum(1 << place for i, place in enumerate(places) if ((1 + i % n) & v).bit_count() % 2) for v in range(1, n + 1)]
 
 
 def different(fps: np.ndarray, other: np.ndarray) -> np.ndarray:
-    """Different bits of fingerprints in rows of unsigned 64-bit numbers."""
-    return np.bitwise_count(fps ^ other).sum(axis=-1, dtype=np.int64)
+    """Different bits of unsigned 64-bit fingerprints."""
+    return np.bitwise_count(fps ^ other)
 
 
 def forest(fps: np.ndarray, radius: int) -> list[tuple[int, int]]:
-    """A spanning forest of the links among fingerprints (rows of unsigned numbers), as index pairs."""
+    """A spanning forest of the links among fingerprints, as index pairs."""
     left = np.arange(len(fps))
     out: list[tuple[int, int]] = []
     while len(left) > 1:
@@ -204,61 +148,68 @@ def forests(fps: np.ndarray, cuts: np.ndarray, radius: int) -> list[tuple[int, i
 
 
 def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """u, v: edges among the distinct ``fp`` that join exactly those within the radius, directly or over others."""
-    keys = F.array(*(F.col("fp").bitwiseAND(F.lit(signed(m))) for m in covering_masks(radius)))
-    return met(fps.select(F.col("fp").alias("id"), "fp"), ["fp"], keys, radius)
-
-
-def candidates(sets: DataFrame, bits: int = SCREEN_BITS) -> DataFrame:
-    """u, v: spanning edges among rows of ``id``, ``hi``, ``lo`` and ``prefix`` that share a member of their prefixes and differ in at most ``bits`` bits."""
-    return met(sets, ["hi", "lo"], F.col("prefix"), bits, same_table=True)
-
-
-def met(fps: DataFrame, columns: list[str], keys: Column, radius: int, same_table: bool = False) -> DataFrame:
-    """u, v: spanning edges among rows (``id`` and fingerprint ``columns``) that share a table's key and lie within the radius.
-
-    Each place in the array ``keys`` is a table of its own, or all are one."""
-    keyed = fps.select("id", *columns, F.posexplode(keys).alias("t", "k"))
-    keyed = keyed.withColumn("t", F.lit(0)) if same_table else keyed
-    bucket = Window.partitionBy("t", "k")
-    counted = keyed.select("*", F.count("*").over(bucket).alias("n"), F.row_number().over(bucket.orderBy("id")).alias("r")).where("n > 1")
-    block = F.floor((F.col("r") - 1) / TILE).cast("int")
-    last = F.floor((F.col("n") - 1) / TILE).cast("int")
-    tiles = F.transform(F.sequence(F.lit(0), last), lambda other: F.struct(F.least(other, block).alias("i"), F.greatest(other, block).alias("j")))
-    # Most buckets are one tile; only larger ones are dealt to several.
-    whole = counted.where(F.col("n") <= TILE).select("t", "k", F.lit(0).alias("i"), F.lit(0).alias("j"), "id", *columns)
-    cut = counted.where(F.col("n") > TILE).select("t", "k", "id", *columns, F.explode(tiles).alias("tile")).select("t", "k", "tile.i", "tile.j", "id", *columns)
-    spread = whole.unionByName(cut)
-    # The blocks i and j of a tile spread a hot bucket over tasks.
-    dealt = spread.repartition("t", "k", "i", "j").sortWithinPartitions("t", "k", "i", "j", "id")
-    schema = "u bigint, v bigint"
+    """u, v: edges among the distinct ``fp`` (a written table) that join exactly those within the radius, directly or over others."""
+    masks = covering_masks(radius)
+    keyed = fps.select("fp", F.posexplode(F.array(*(F.col("fp").bitwiseAND(F.lit(signed(m))) for m in masks))).alias("t", "k"))
+    rate = max(fps.count() // SAMPLE, 1)
+    sample = keyed.where(F.pmod(F.xxhash64("fp"), F.lit(rate)) == 0)
+    # Of at most some SAMPLE fingerprints: a bounded number of keys is common. They are searched like all others, by the second tables.
+    common = materialize(sample.groupBy("t", "k").agg(F.count("*").alias("n")).where((F.col("n") >= COMMON) & (F.col("n") * rate > TILE)).select("t", "k"))
+    rare = keyed.join(F.broadcast(common), ["t", "k"], "left_anti")
+    found = materialize(forest_edges(rare, ["t", "k"], radius, TILE))
+    again = keyed.join(F.broadcast(common), ["t", "k"], "left_semi").unionByName(found.where("v IS NULL").select(F.col("u").alias("fp"), "t", "k"))
+    # The second masks of a table go over the places that its first mask leaves free.
+    second = [covering_masks(radius, [i for i in range(64) if not m >> i & 1]) for m in masks]
+    parts = F.array(*(F.array(*(F.col("fp").bitwiseAND(F.lit(signed(m))) for m in own)) for own in second))
+    parted = again.select("fp", "t", "k", F.posexplode(F.get(parts, F.col("t"))).alias("t2", "k2"))
+    inside = forest_edges(parted, ["t", "k", "t2", "k2"], radius)
+    return found.where("v IS NOT NULL").unionByName(inside).select("u", "v").distinct()
+
+
+def forest_edges(rows: DataFrame, keys: list[str], radius: int, most: int | None = None) -> DataFrame:
+    """u, v, t, k: spanning edges among the ``fp`` of each bucket. The rows of a bucket of over ``most`` come back as they are, without v."""
+    dealt = rows.select(*keys, "fp").repartition(*keys).sortWithinPartitions(*keys, "fp")
+    schema = "u bigint, v bigint, t int, k bigint"
     arrow = to_arrow_schema(T.StructType.fromDDL(schema))
+    width = len(keys)
+
+    def batch_of(u, v, bucket: np.ndarray) -> pa.RecordBatch:
+        columns = [u, v, bucket[:, 0], bucket[:, 1]]
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) if c is not None else pa.nulls(len(u), f.type) for c, f in zip(columns, arrow)], schema=arrow)
 
-    def edges(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
-        """Of whole groups; a row has its group (4 numbers), id and fingerprint."""
-        group = rows[:, :4]
-        cuts = np.flatnonzero(np.concatenate([[True], (group[1:] != group[:-1]).any(axis=1), [True]]))
+    def edges(held: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Of whole buckets; a row has its keys and fingerprint."""
+        cuts = np.flatnonzero(np.concatenate([[True], (held[1:, :width] != held[:-1, :width]).any(axis=1), [True]]))
         # Counting the bits of signed numbers would take their absolute values.
-        found = forests(np.ascontiguousarray(rows[:, 5:]).view(np.uint64), cuts, radius)
+        found = forests(np.ascontiguousarray(held[:, width]).view(np.uint64), cuts, radius)
         if found:
-            u, v = (rows[list(side), 4] for side in zip(*found))
-            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], schema=arrow)
+            u, v = (list(side) for side in zip(*found))
+            yield batch_of(held[u, width], held[v, width], held[u, :2])
 
     def run(batches):
-        held = np.empty((0, 5 + len(columns)), np.int64)
+        held, over = np.empty((0, width + 1), np.int64), None
         for batch in batches:
-            held = np.concatenate([held, np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns], axis=1)])
+            new = np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns], axis=1)
+            if over is not None:  # the rest of a large bucket
+                rest = (new[:, :width] == over).all(axis=1)
+                if rest.any():
+                    yield batch_of(new[rest, width], None, new[rest, :2])
+                new, over = new[~rest], over if rest.all() else None
+            held = np.concatenate([held, new])
             if not len(held):
                 continue
-            other = (held[:, :4] != held[-1, :4]).any(axis=1)
+            other = (held[:, :width] != held[-1, :width]).any(axis=1)
             whole = int(np.flatnonzero(other)[-1]) + 1 if other.any() else 0
+            if most is not None and len(held) - whole > most:
+                yield batch_of(held[whole:, width], None, held[whole:, :2])
+                over, held = held[-1, :width].copy(), held[:whole]
             if whole:
                 yield from edges(held[:whole])
                 held = held[whole:]
         if len(held):
             yield from edges(held)
 
-    return dealt.mapInArrow(run, schema).distinct()
+    return dealt.mapInArrow(run, schema)
 
 
 # ---- operators ---------------------------------------------------------------------------------------
@@ -272,11 +223,13 @@ def order_of(key: Column, h: Column) -> Column:
 def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, radius: int = RADIUS) -> DataFrame:
     """key, h, fp and first (struct none, key, h: the first row of the group) of each row."""
     rows = materialize(fingerprints(docs, key, text, words))
-    distinct = materialize(rows.groupBy("fp").agg(F.min(order_of(F.col("key"), F.col("h"))).alias("own")))
+    distinct = materialize(rows.groupBy("fp").agg(F.min(order_of(F.col("key"), F.col("h"))).alias("own"), F.count("*").alias("n")))
     node = components(links(distinct.select("fp"), radius)).select(F.col("node").alias("fp"), F.col("component").alias("root"))
-    known = distinct.join(node, "fp", "left").select("fp", "own", F.coalesce("root", "fp").alias("root"))
-    first = known.groupBy("root").agg(F.min("own").alias("first"))
-    return rows.join(known.join(first, "root").select("fp", "first"), "fp")
+    known = materialize(distinct.join(node, "fp", "left").select("fp", "own", "n", F.coalesce("root", "fp").alias("root")))
+    first = materialize(known.groupBy("root").agg(F.min("own").alias("first"), F.count("*").alias("fps")))
+    # Neither the rows of a common fingerprint nor the fingerprints of a large group meet in one task.
+    found = materialize(join_hot(known, first, ["root"], "fps").select("fp", "n", "first"))
+    return join_hot(rows, found, ["fp"], "n")
 
 
 def hex16(fp: Column) -> Column:
@@ -289,119 +242,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     return found.select(F.col("key").alias(key), hex16(F.col("fp")).alias("fingerprint"), F.col("first.key").alias("component_id"))
 
 
-def common_shingles(docs: DataFrame, text: str = "text") -> np.ndarray:
-    """Hashes of shingles that many texts of a sample hold, in order."""
-
-    def run(texts):
-        return {"s": [s for t in texts for s in shingle_set(t).view(np.int64).tolist()]}
-
-    some = docs.select(text_of(text).alias("_text")).withColumn("_h", F.xxhash64("_text")).orderBy("_h").limit(SAMPLE).select("_text")
-    counts = map_texts(some, "s bigint", run, text=0).groupBy("s").count().where(F.col("count") > COMMON_SHARE * SAMPLE)
-    found = counts.orderBy(F.desc("count"), "s").limit(COMMON).collect()
-    return np.sort(np.array([r.s for r in found], np.int64)).view(np.uint64)
-
-
-def forest_of_sets(sets: list[np.ndarray]) -> list[tuple[int, int]]:
-    """A spanning forest of the pairs with a Jaccard similarity of at least 0.8, as index pairs."""
-    sizes = np.array([len(s) for s in sets], np.int64)
-    owner = np.repeat(np.arange(len(sets)), sizes)
-    _, token = np.unique(np.concatenate(sets), return_inverse=True)
-    holders = owner[np.argsort(token, kind="stable")]  # of each token, one after the other
-    starts = np.concatenate([[0], np.cumsum(np.bincount(token))]).astype(np.int64)
-    cuts = np.concatenate([[0], np.cumsum(sizes)])
-    free = np.ones(len(sets), bool)
-    out: list[tuple[int, int]] = []
-    for root in range(len(sets)):
-        if not free[root]:
-            continue
-        free[root], todo = False, [root]
-        while todo and free.any():
-            at = todo.pop()
-            own = token[cuts[at] : cuts[at + 1]]
-            count = starts[own + 1] - starts[own]
-            places = np.arange(count.sum()) + np.repeat(starts[own] - (np.cumsum(count) - count), count)
-            both = np.bincount(holders[places], minlength=len(sets))
-            # both >= 0.8 (a + b - both), in whole numbers; sets without members are equal.
-            found = np.flatnonzero(free & (9 * both >= 4 * (sizes + sizes[at]))).tolist()
-            free[found] = False
-            out += [(at, i) for i in found]
-            todo += found
-    return out
-
-
-def verified(texts: DataFrame) -> DataFrame:
-    """u, v: edges that join exactly the similar ones (five-word Jaccard similarity of at least 0.8) among rows of ``root``, ``id``, ``text`` with one root, directly or over others."""
-    before = Window.partitionBy("root").orderBy("id").rowsBetween(Window.unboundedPreceding, -1)
-    sized = texts.withColumn("size", F.octet_length("text").cast("bigint"))
-    # Blocks are dealt from the sizes alone; the texts follow.
-    block = F.floor(F.coalesce(F.sum("size").over(before), F.lit(0)) / BLOCK).cast("int")
-    placed = sized.select("root", "id", "size").withColumn("block", block)
-    last = F.max("block").over(Window.partitionBy("root"))
-    tiles = F.transform(F.sequence(F.lit(0), F.col("last")), lambda other: F.struct(F.least(other, F.col("block")).alias("i"), F.greatest(other, F.col("block")).alias("j")))
-    dealt = placed.withColumn("last", last).select("root", "id", F.explode(tiles).alias("tile")).join(texts.select("id", "text"), "id")
-    dealt = dealt.select("root", "tile.i", "tile.j", "id", "text").repartition("root", "i", "j").sortWithinPartitions("root", "i", "j", "id")
-    schema = "u bigint, v bigint"
-    arrow = to_arrow_schema(T.StructType.fromDDL(schema))
-
-    def edges(ids: list[int], sets: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        found = forest_of_sets(sets) if len(ids) > 1 else []
-        if found:
-            u, v = ([ids[i] for i in side] for side in zip(*found))
-            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], schema=arrow)
-
-    def run(batches):
-        tile, ids, sets = None, [], []
-        for batch in batches:
-            for *at, one, text in zip(*(c.to_pylist() for c in batch.columns)):
-                if at != tile:
-                    yield from edges(ids, sets)
-                    tile, ids, sets = at, [], []
-                ids.append(one)
-                sets.append(shingle_set(text))
-        yield from edges(ids, sets)
-
-    return dealt.mapInArrow(run, schema).distinct()
-
-
-def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", bits: int = SCREEN_BITS) -> DataFrame:
-    """key, h and first (the first row of the group) of each row; texts link by the 64-bit fingerprint or by their sets of five-word shingles."""
-    kind = docs.schema[key].dataType.simpleString()
-    common = common_shingles(docs, text)
-
-    def run(keys, texts, hashes):
-        sets = [shingle_set(t) for t in texts]
-        wide = [sketch(s) for s in sets]
-        return {
-            "key": keys, "h": hashes, "fp": [signed(fingerprint(t)) for t in texts],
-            "id": [signed(xxhash.xxh3_64_intdigest(s.tobytes(), SEED)) for s in sets],
-            "hi": [signed(a) for a, _ in wide], "lo": [signed(b) for _, b in wide],
-            "prefix": [prefix(s, common).view(np.int64) for s in sets],
-        }
-
-    whole = text_of(text)
-    source = docs.select(F.col(key), whole.alias("_text"), F.xxhash64(whole).alias("_h"))
-    rows = materialize(map_texts(source, f"key {kind}, h bigint, fp bigint, id bigint, hi bigint, lo bigint, prefix array<bigint>", run))
-    # Nodes are the fingerprint and the set of a text, each text an edge between its two.
-    narrow, whole_set = (lambda fp: F.xxhash64(fp, F.lit(0))), (lambda one: F.xxhash64(one, F.lit(1)))
-    ends = rows.select(narrow("fp").alias("u"), whole_set("id").alias("v")).distinct()
-    close = links(rows.select("fp").distinct()).select(narrow("u").alias("u"), narrow("v").alias("v"))
-    # Equal sets have equal columns; one text stands for each.
-    sets = rows.groupBy("id").agg(F.first("hi").alias("hi"), F.first("lo").alias("lo"), F.first("prefix").alias("prefix"))
-    own = rows.groupBy("id").agg(F.min("h").alias("_h"))
-    root = components(candidates(sets, bits)).select(F.col("node").alias("id"), F.col("component").alias("root"))
-    wanted = materialize(own.join(root, "id"))
-    texts = source.select("_h", F.col("_text").alias("text")).join(wanted, "_h").dropDuplicates(["_h"]).select("root", "id", "text")
-    similar = verified(materialize(texts)).select(whole_set("u").alias("u"), whole_set("v").alias("v"))
-    node = components(ends.unionByName(close).unionByName(similar)).withColumnRenamed("component", "root")
-    known = materialize(rows.select("key", "h", narrow("fp").alias("node")).join(node, "node").drop("node"))
-    first = known.groupBy("root").agg(F.min(order_of(F.col("key"), F.col("h"))).alias("first"))
-    return known.join(first, "root").drop("root")
-
-
-def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", bits: int = SCREEN_BITS) -> DataFrame:
-    """``docs``, all columns as they are, with the first row of each group of similar texts; of equal rows one stays."""
+def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, radius: int = RADIUS) -> DataFrame:
+    """``docs``, all columns as they are, with the first row of each group of linked texts."""
+    found = groups(docs, key, text, words, radius)
     name = lambda k: F.coalesce(k.cast("string"), F.lit("\x00"))  # noqa: E731  a null key is a key
-    firsts = similar_groups(docs, key, text, bits).select("first").distinct().select(name(F.col("first.key")).alias("k"), F.col("first.h").alias("h"))
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), name(F.col(key)).alias("k"), F.xxhash64(text_of(text)).alias("h"))
-    same = Window.partitionBy("k", "h").orderBy("k")  # dealt by the join already
-    return rows.join(firsts, ["k", "h"], "left_semi").withColumn("n", F.row_number().over(same)).where("n = 1").select("row.*")
+    firsts = found.select(name(F.col("first.key")).alias("k"), F.col("first.h").alias("h")).distinct()
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    rows = docs.select(row.alias("row"), name(F.col(f"`{key}`")).alias("k"), F.xxhash64(text_of(f"`{text}`")).alias("h"))
+    kept = rows.join(firsts, ["k", "h"], "left_semi")
+    # Rows of one key and text are alike for the groups; one of them stays. The aggregate combines before the exchange.
+    return kept.groupBy("k", "h").agg(F.min_by("row", F.xxhash64("row")).alias("row")).select("row.*")
