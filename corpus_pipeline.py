@@ -16,7 +16,7 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each group linked by SimHash fingerprints (3 of 64 bits at three words) or a five-word similarity of 0.8."""
+    """The first document of each group linked by SimHash fingerprints: three-word shingles, at most 3 of 64 bits."""
     return simhash.deduplicate(docs)
 
 
