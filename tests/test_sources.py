@@ -92,3 +92,39 @@ def test_undated_rows_are_counted(spark, tmp_path):
     dims = Dims(DM.dim(spark, [("TIA", "Tirana", "Rinas")], "iata string, city string, airport string"), DM.countries(spark))
     assert {r["source"]: (r["n_unparsed"], r["n_rows"]) for r in undated_rows(spark, str(tmp_path), dims).collect()} == {"alarms": (1, 2), "travelers": (0, 1)}
     assert [df.count() for df in load_clean_data(spark, str(tmp_path), dims)] == [1, 1]
+
+
+def test_one_large_file_is_read_by_many_tasks(spark, tmp_path):
+    """Cells with line breaks, quotes and delimiters at every edge of the splits; one cell fills several splits."""
+    import csv
+    import random
+
+    rng = random.Random(3)
+    cell = lambda n: "".join(rng.choice(['"', "\n", ",", "a", "é", "x y", "\n\n"]) for _ in range(rng.randint(0, n)))
+    rows = [[str(i), cell(30), "k" + cell(12)] for i in range(3_000)]
+    rows[700][1] = cell(12_000) + "end"
+    rows[701] = ["701", "", "\n"]
+    file = tmp_path / "large.csv"
+    with file.open("w", newline="") as out:
+        writer = csv.writer(out, lineterminator="\n")
+        writer.writerow(["id", "a b", "c"])
+        writer.writerows(rows)
+    (tmp_path / "other.csv").write_text('id,a b,c\n-1,"x\n\ny",z')
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        df = FI.scan_csv(spark, str(tmp_path))
+        got = {r[0]: tuple(r) for r in df.collect()}
+        tasks = spark.read.text(str(file)).rdd.getNumPartitions()
+        whole = {r[0]: tuple(r) for r in FI.scan_csv(spark, str(tmp_path), multi_line=True).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
+    assert tasks > 20 and got == whole and len(got) == 3_001
+    plain = lambda v: None if v in FI.NA_TOKENS else v
+    assert all(got[r[0]] == (r[0], plain(r[1]), plain(r[2])) for r in rows)
+
+
+def test_carriage_returns_end_records(spark, tmp_path):
+    (tmp_path / "crlf.csv").write_bytes(b'id,t\r\n1,"a\r\nb"\r\n2,c\r\n\r\n3,"d"')
+    got = {r["id"]: r["t"] for r in FI.scan_csv(spark, str(tmp_path)).collect()}
+    assert set(got) == {"1", "2", "3"} and got["2"] == "c" and got["3"] == "d" and got["1"].replace("\r", "") == "a\nb"

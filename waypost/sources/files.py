@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from waypost.sources.csv_records import csv_records
+
 # Cell texts that a CSV scan reads as missing.
 NA_TOKENS = [
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
@@ -20,19 +22,24 @@ def csv_header(spark: SparkSession, path: str) -> list[str]:
     return spark.read.option("header", True).option("escape", '"').option("enforceSchema", True).csv(path).columns
 
 
-def scan_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool = True) -> DataFrame:
+def scan_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool | str = "split") -> DataFrame:
     """CSV with a header. Without a schema every column is read as text.
 
-    Raw columns are dirty, so types are never inferred; that also saves the
-    extra pass over the data. Cells holding an NA token become NULL. Quotes
-    inside quoted cells are doubled, and such cells may hold line breaks. Files
-    with line breaks in cells cannot be split, so large inputs should come as
-    many files; ``multi_line=False`` splits files that have none.
+    Raw columns are dirty, so types are never inferred. Cells holding an NA
+    token become NULL. Quotes inside quoted cells are doubled, and such cells
+    may hold line breaks; a large file is still read by many tasks, in three
+    passes (quotes, records, fragments of records at the edges of splits).
+    ``multi_line=False`` reads files without such breaks in one pass;
+    ``multi_line=True`` reads each file in one task, for files whose lines end
+    with a carriage return alone.
     """
-    reader = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
-    if schema is not None:
-        reader = reader.schema(schema)
-    df = reader.csv(path)
+    names = csv_header(spark, path)
+    schema = schema or T.StructType([T.StructField(n, T.StringType()) for n in names])
+    if multi_line == "split":
+        fields = ", ".join(f"{q(f.name)} {f.dataType.simpleString()}" for f in schema)
+        df = csv_records(spark, path).select(F.from_csv("text", fields, {"escape": '"'}).alias("_row")).select("_row.*")
+    else:
+        df = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"').schema(schema).csv(path)
     texts = {name for name, kind in df.dtypes if kind == "string"}
     return df.select(
         *[F.when(~F.col(q(c)).isin(NA_TOKENS), F.col(q(c))).alias(c) if c in texts else F.col(q(c)) for c in df.columns]
