@@ -13,6 +13,7 @@ from waypost.functions.dates import calendar_columns, parse_dates
 from waypost.operators.joins import conflict
 from waypost.operators.ordering import most_frequent
 from waypost.operators.stats import quantiles, rows_from
+from waypost.session import materialize
 from waypost.sources import vocab
 from waypost.sources.files import q, rename_columns, scan_csv, text_columns
 
@@ -137,7 +138,7 @@ def fingerprint_counts(df: DataFrame, col: str, keep_digits: bool = False) -> Da
 def impute(df: DataFrame, spec: Mapping[str, str], constant: str = "UNKNOWN") -> DataFrame:
     """Fill NULLs: ``spec`` maps column -> ``median``, ``mode`` or ``constant``.
 
-    All medians and modes come from one aggregate over (column, value) counts;
+    All medians and modes come from one written table of (column, value) counts;
     one row per column reaches the driver. Ties of a mode take the smallest value.
     """
     kinds = dict(df.dtypes)
@@ -146,9 +147,9 @@ def impute(df: DataFrame, spec: Mapping[str, str], constant: str = "UNKNOWN") ->
     if counted:
         cells = [F.struct(F.lit(i).alias("i"), F.col(q(c)).try_cast("double").alias("number"), F.col(q(c)).cast("string").alias("text")) for i, c in enumerate(counted)]
         values = df.select(F.inline(F.array(*cells))).filter(F.col("text").isNotNull()).groupBy("i", "number", "text").agg(F.count(F.lit(1)).alias("w"))
-        found = values.groupBy("i").agg(
-            F.percentile("number", 0.5, F.col("w")).alias("median"), F.min_by("text", F.struct(-F.col("w"), "number", "text")).alias("mode")
-        )
+        values = materialize(values)
+        modes = values.groupBy("i").agg(F.min_by("text", F.struct(-F.col("w"), "number", "text")).alias("mode"))
+        found = modes.join(quantiles(values, ["number"], [0.5], ["i"], "w", written=True), "i").select("i", "mode", F.col("number")[0].alias("median"))
         for r in found.collect():
             c = counted[r["i"]]
             fills[c] = F.lit(r["median"]) if spec[c] == "median" else F.lit(r["mode"]).cast(kinds[c])

@@ -31,12 +31,12 @@ MAD_FLOOR = 1e-9
 FLAGS = ["if_anomaly", "lof_anomaly", "dbscan_anomaly", "z_anomaly"]
 
 
-def flag_top(df: DataFrame, score: str, contamination: float, out: str, by: Sequence[str] = (), rows: int | None = None, severity: str | None = None) -> DataFrame:
+def flag_top(df: DataFrame, score: str, contamination: float, out: str, by: Sequence[str] = (), severity: str | None = None, written: bool = False) -> DataFrame:
     """Flag scores strictly above the (1 - contamination) percentile.
 
     ``severity`` names an optional column ``score - threshold``.
     """
-    limit = quantiles(df, [score], [1.0 - contamination], by, rows=rows)
+    limit = quantiles(df, [score], [1.0 - contamination], by, written=written)
     limit = limit.select(*by, F.col(q(score))[0].alias("_limit"))
     wide = attach(df, limit, by)
     new = {out: (F.col(q(score)) > F.col("_limit")).cast("int")}
@@ -47,7 +47,7 @@ def flag_top(df: DataFrame, score: str, contamination: float, out: str, by: Sequ
 
 def robust_z(
     df: DataFrame, cols: Sequence[str], key: Sequence[str], t: float = 3.0, by: Sequence[str] = (),
-    rows: int | None = None, mad_zero: str = "floor",
+    mad_zero: str = "floor",
 ) -> DataFrame:
     """Largest |x - median| / MAD over the columns, and the flag ``> t``.
 
@@ -55,19 +55,18 @@ def robust_z(
     ``mad_zero="skip"`` leaves such columns out instead.
     """
     vectors = df.select(*by, *key, F.array(*[F.col(q(c)).cast("double") for c in cols]).alias("x"))
-    return robust_z_vectors(vectors, "x", key, t, by, rows, mad_zero)
+    return robust_z_vectors(materialize(vectors), "x", key, t, by, mad_zero)
 
 
 def robust_z_vectors(
-    df: DataFrame, vec: str, key: Sequence[str], t: float = 3.0, by: Sequence[str] = (), rows: int | None = None, mad_zero: str = "floor",
+    df: DataFrame, vec: str, key: Sequence[str], t: float = 3.0, by: Sequence[str] = (), mad_zero: str = "floor",
 ) -> DataFrame:
-    """``robust_z`` on an array column."""
-    n = df.count() if rows is None else rows
+    """``robust_z`` on an array column of a written table."""
 
     def middle(vectors: DataFrame, name: str) -> DataFrame:
-        cells = vectors.select(*by, F.posexplode("x").alias("_i", "_v"))
-        per = quantiles(cells, ["_v"], [0.5], [*by, "_i"], rows=n).select(*by, "_i", F.col("_v")[0].alias("m"))
-        packed = F.transform(F.array_sort(F.collect_list(F.struct("_i", "m"))), lambda s: s["m"]).alias(name)
+        cells = vectors.select(*by, F.posexplode("x").alias("_axis", "_value"))
+        per = quantiles(cells, ["_value"], [0.5], [*by, "_axis"], written=True).select(*by, "_axis", F.col("_value")[0].alias("m"))
+        packed = F.transform(F.array_sort(F.collect_list(F.struct("_axis", "m"))), lambda s: s["m"]).alias(name)
         return per.groupBy(*by).agg(packed) if by else per.agg(packed)
 
     base = df.select(*by, *key, F.col(vec).alias("x"))
@@ -130,17 +129,16 @@ def fit_detectors(
     by = list(by)
     chosen = list(cols) if cols is not None else select_features(routes.columns)
     matrix = materialize(feature_matrix(routes, chosen, key, by))
-    n = matrix.count()
 
     forest = isolation_scores(matrix, key, "x", by, trees, seed)
-    forest = flag_top(materialize(forest), "if_raw", contamination, "if_anomaly", by, n, severity="if_score").drop("if_raw")
+    forest = flag_top(materialize(forest), "if_raw", contamination, "if_anomaly", by, severity="if_score", written=True).drop("if_raw")
 
     nb = neighborhood(matrix, key, "x", by, block_rows=block_rows, written=True, lists=lists)
     marks, params = density_points(nb)
     density = materialize(point_scores(nb, key, marks))
-    density = flag_top(density, "lof_score", contamination, "lof_anomaly", by, n)
+    density = flag_top(density, "lof_score", contamination, "lof_anomaly", by, written=True)
 
-    z = robust_z_vectors(matrix, "x", [key], by=by, rows=n)
+    z = robust_z_vectors(matrix, "x", [key], by=by)
 
     on = [*by, key]
     scored = routes.join(forest, on, "left").join(density, on, "left").join(z, on, "left")
@@ -171,21 +169,21 @@ def fit_panel_detectors(
             {"if_anomaly": F.lit(0), "anomaly_severity_iso": F.lit(0.0), "lof_anomaly": F.lit(0), "anomaly_severity_lof": F.lit(0.0)}
         )
     raw = panel.select(key, F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in cols]).alias("x"))
-    iso = flag_top(materialize(isolation_scores(raw, key, "x", trees=PANEL_TREES, seed=seed)), "if_raw", contamination, "if_anomaly", severity="anomaly_severity_iso")
+    iso = flag_top(materialize(isolation_scores(raw, key, "x", trees=PANEL_TREES, seed=seed)), "if_raw", contamination, "if_anomaly", severity="anomaly_severity_iso", written=True)
     nb = neighborhood(scaled_vectors(panel, cols, key), key, "x", block_rows=block_rows, lists=lists)
-    lof = flag_top(materialize(point_scores(nb, key, lof_points(nb))), "lof_score", contamination, "lof_anomaly")
+    lof = flag_top(materialize(point_scores(nb, key, lof_points(nb))), "lof_score", contamination, "lof_anomaly", written=True)
     lof = lof.withColumnRenamed("lof_score", "anomaly_severity_lof")
     return z.join(iso.drop("if_raw"), key).join(lof, key)
 
 
-def contamination_sweep(scored: DataFrame, grid: Sequence[float], if_score: str = "if_score", lof_score: str = "lof_score", rows: int | None = None) -> DataFrame:
+def contamination_sweep(scored: DataFrame, grid: Sequence[float], if_score: str = "if_score", lof_score: str = "lof_score", written: bool = False) -> DataFrame:
     """Flags and consensus per contamination value.
 
     Scores do not depend on contamination, so they are thresholded at every
     grid value in one aggregate; nothing is fitted again.
     """
     qs = [1.0 - c for c in grid]
-    limits = quantiles(scored, [if_score, lof_score], qs, rows=rows)
+    limits = quantiles(scored, [if_score, lof_score], qs, written=written)
     limits = limits.select(F.col(q(if_score)).alias("_if_limits"), F.col(q(lof_score)).alias("_lof_limits"))
     wide = attach(scored.select(if_score, lof_score, "dbscan_anomaly", "z_anomaly"), limits)
     aggs: list[Column] = [F.sum("dbscan_anomaly").alias("_db"), F.sum("z_anomaly").alias("_z")]

@@ -699,7 +699,6 @@ class Neighborhood:
     edges: DataFrame  # by, p, o, dist, w, before
     sizes: DataFrame  # by, n
     by: list[str]
-    rows: int
 
 
 def dbscan_min_samples(n: Column) -> Column:
@@ -720,8 +719,7 @@ def neighborhood(df: DataFrame, key: str, vec: str, by: Sequence[str] = (), k: i
     named = distinct_points(source, by).withColumnRenamed("p", "name")
     points = materialize(named.repartitionByRange("name").sortWithinPartitions("name").withColumn("p", F.monotonically_increasing_id()))
     sizes = points.groupBy(*by).agg(F.sum("w").alias("n"))
-    measured = sizes.agg(F.max("n").alias("n_max"), F.sum("n").alias("n_all")).first()
-    n_max = measured["n_max"] or 1
+    n_max = sizes.agg(F.max("n")).first()[0] or 1
     depth = max(k, min_k, max(5, math.ceil(math.log(max(n_max, 1))) + 1) - 1)
     others = (lists or exact_lists(block_rows))(points, by, depth)
     copies = points.filter(F.col("w") > 1).select(
@@ -730,7 +728,7 @@ def neighborhood(df: DataFrame, key: str, vec: str, by: Sequence[str] = (), k: i
     ahead = W.partitionBy(*by, "p").orderBy("dist", "o").rowsBetween(W.unboundedPreceding, -1)
     listed = others.unionByName(copies).withColumn("before", F.coalesce(F.sum("w").over(ahead), F.lit(0)))
     edges = materialize(listed.filter(F.col("before") < depth))
-    return Neighborhood(source, points, edges, sizes, by, measured["n_all"] or 0)
+    return Neighborhood(source, points, edges, sizes, by)
 
 
 def _with_size(df: DataFrame, nb: Neighborhood) -> DataFrame:
@@ -761,12 +759,11 @@ def k_distance(nb: Neighborhood, min_samples: Column | None = None) -> DataFrame
     return nb.points.select(*nb.by, "p", "w").join(far, [*nb.by, "p"])
 
 
-def dbscan_params(nb: Neighborhood, min_samples: Column | None = None, share: float = 0.95, max_rows: int | None = None) -> DataFrame:
+def dbscan_params(nb: Neighborhood, min_samples: Column | None = None, share: float = 0.95) -> DataFrame:
     """Per scope: row count ``n``, ``min_samples`` and ``eps``."""
     kd = k_distance(nb, min_samples)
-    extra = {} if max_rows is None else {"max_rows": max_rows}
     # Every row of a group of copies counts in the percentile.
-    eps = quantiles(kd, ["kdist"], [share], nb.by, weight="w", rows=nb.rows, **extra)
+    eps = quantiles(kd, ["kdist"], [share], nb.by, weight="w")
     eps = eps.select(*nb.by, F.col("kdist")[0].alias("eps"))
     m = min_samples if min_samples is not None else dbscan_min_samples(F.col("n"))
     sized = nb.sizes.withColumn("min_samples", m.cast("bigint"))
@@ -825,7 +822,7 @@ def density_points(nb: Neighborhood, k: int = 20) -> tuple[DataFrame, DataFrame]
         F.first("m").cast("bigint").alias("min_samples"),
     )
     reach = materialize(nb.points.select(*by, "p", F.col("w").alias("copies")).join(reach, [*by, "p"]))
-    eps = quantiles(reach, ["ddist"], [0.95], by, weight="copies", rows=nb.rows)
+    eps = quantiles(reach, ["ddist"], [0.95], by, weight="copies", written=True)
     sizes = reach.groupBy(*by).agg(F.first("n").alias("n"), F.first("min_samples").alias("min_samples"))
     params = materialize(attach(sizes, eps.select(*by, F.col("ddist")[0].alias("eps")), by))
 

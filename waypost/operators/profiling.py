@@ -116,7 +116,7 @@ def missing_report(df: DataFrame) -> DataFrame:
 def describe(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Count, mean, sample deviation, minimum, exact quartiles, maximum."""
     chosen = list(cols) if cols is not None else numeric_columns(df)
-    quart = quantiles(df, chosen, [0.25, 0.5, 0.75])
+    quart = quantiles(df, chosen, [0.25, 0.5, 0.75], written=True)
     aggs: list[Column] = []
     for i, c in enumerate(chosen):
         x = F.col(q(c)).cast("double")
@@ -140,7 +140,7 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
 
 def quantile_table(df: DataFrame, cols: Sequence[str], qs: Sequence[float]) -> DataFrame:
     """(column, q, value), one row per column and quantile."""
-    wide = quantiles(df, cols, qs)
+    wide = quantiles(df, cols, qs, written=True)
     records = [
         {"column_name": F.lit(c), "q": F.lit(float(p)), "value": F.col(q(c))[j]} for c in cols for j, p in enumerate(qs)
     ]
@@ -257,7 +257,7 @@ def top_routes(df: DataFrame, dep: str, arr: str, n: int = 15) -> DataFrame:
 
 
 def _fences(df: DataFrame, cols: Sequence[str], k: float) -> tuple[DataFrame, list[str]]:
-    quart = quantiles(df, cols, [0.25, 0.5, 0.75])
+    quart = quantiles(df, cols, [0.25, 0.5, 0.75], written=True)
     names: list[str] = []
     parts: list[Column] = []
     for i, c in enumerate(cols):
@@ -323,9 +323,9 @@ def mad_zscore(df: DataFrame, col: str, t: float = 3.5) -> DataFrame:
 def _with_mad(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     logs = df.select(*[F.log1p(F.col(q(c)).cast("double")).alias(f"_l{i}") for i, c in enumerate(cols)])
     names = [f"_l{i}" for i in range(len(cols))]
-    med = quantiles(logs, names, [0.5]).select(*[F.col(n)[0].alias(f"_med{i}") for i, n in enumerate(names)])
+    med = quantiles(logs, names, [0.5], written=True).select(*[F.col(n)[0].alias(f"_med{i}") for i, n in enumerate(names)])
     dev = attach(logs, med).select(*[F.abs(F.col(f"_l{i}") - F.col(f"_med{i}")).alias(f"_d{i}") for i in range(len(cols))])
-    mad = quantiles(dev, [f"_d{i}" for i in range(len(cols))], [0.5])
+    mad = quantiles(dev, [f"_d{i}" for i in range(len(cols))], [0.5], written=True)
     mad = mad.select(*[F.col(f"_d{i}")[0].alias(f"_mad{i}") for i in range(len(cols))])
     return attach(attach(df, med), mad)
 
@@ -333,7 +333,7 @@ def _with_mad(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def mad_summary(df: DataFrame, cols: Sequence[str], t: float = 3.5) -> DataFrame:
     """Raw median, MAD of logs, flag count and share per column."""
     wide = _with_mad(df, cols)
-    raw = quantiles(df, cols, [0.5]).select(*[F.col(q(c))[0].alias(f"_raw{i}") for i, c in enumerate(cols)])
+    raw = quantiles(df, cols, [0.5], written=True).select(*[F.col(q(c))[0].alias(f"_raw{i}") for i, c in enumerate(cols)])
     aggs = [F.count(F.lit(1)).alias("_n")]
     for i, c in enumerate(cols):
         z = MAD_SCALE * (F.log1p(F.col(q(c)).cast("double")) - F.col(f"_med{i}")) / F.col(f"_mad{i}")

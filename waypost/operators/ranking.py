@@ -26,7 +26,7 @@ def _group(df: DataFrame, by: Sequence[str]):
     return df.groupBy(*by) if by else df.groupBy()
 
 
-def risk_thresholds(scored: DataFrame, by: Sequence[str] = (), rows: int | None = None) -> DataFrame:
+def risk_thresholds(scored: DataFrame, by: Sequence[str] = (), written: bool = False) -> DataFrame:
     """Population median and subset percentiles of one scope, and the limits built from them."""
     flagged = F.col("anomaly_consensus") == 1
     cols = scored.select(
@@ -35,7 +35,7 @@ def risk_thresholds(scored: DataFrame, by: Sequence[str] = (), rows: int | None
         F.when(flagged, F.col("alert_rate")).alias("sub_rate"),
         F.when(flagged, F.col("tot_investigated")).alias("sub_vol"),
     )
-    found = quantiles(cols, ["rate", "sub_rate", "sub_vol"], [0.25, 0.33, 0.5, 0.66], by, rows=rows)
+    found = quantiles(cols, ["rate", "sub_rate", "sub_vol"], [0.25, 0.33, 0.5, 0.66], by, written=written)
     table = found.select(
         *by,
         F.col("rate")[2].alias("pop_median"),
@@ -122,7 +122,7 @@ def apply_post_processing(scored: DataFrame, by: Sequence[str] = (), drop: bool
     """
     n = scored.count()
     prepared = normalise_for_priority(scored, by)
-    levelled = with_risk_level(with_confidence(prepared), risk_thresholds(scored, by, n), by)
+    levelled = with_risk_level(with_confidence(prepared), risk_thresholds(scored, by, written=True), by)
     post = rank(priority_score(levelled), by, rows=n)
     return post, drop_disqualified(post) if drop else post
 

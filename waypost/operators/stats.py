@@ -4,10 +4,10 @@ Two rules hold for every caller:
 
 * One-row statistics reach the rows as a scalar subquery, never as a join.
   Per-group statistics reach them through an equi-join on the group key.
-* An exact percentile keeps every distinct value of its group in one buffer.
-  ``quantiles`` therefore measures the input first. Up to ``MAX_BUFFERED`` rows
-  it uses the built-in aggregate; beyond that it cuts the value range into
-  buckets and sorts only the buckets that hold a wanted rank.
+* Quantiles are exact and never hold a group in one buffer. A mergeable sketch
+  of each group gives cut points that lie close around the wanted ranks; the
+  rows between two cuts are counted, and only the values between the two cuts
+  that enclose a wanted rank are put in order.
 """
 
 from __future__ import annotations
@@ -18,10 +18,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from waypost.operators.joins import join_groups
+from waypost.session import materialize
 from waypost.sources.files import q
 
-MAX_BUFFERED = 1_000_000
-BUCKETS = 256
+#: Size of a sketch, the share of ranks that it is surely right to, and the cuts that are there for weighted rows.
+SKETCH, SKETCH_ERROR, COARSE = 1024, 0.01, 16
 
 
 def attach(df: DataFrame, stats: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -39,46 +41,35 @@ def quantiles(
     qs: Sequence[float],
     by: Sequence[str] = (),
     weight: str | None = None,
-    rows: int | None = None,
-    max_rows: int = MAX_BUFFERED,
+    written: bool = False,
 ) -> DataFrame:
     """Exact linearly interpolated quantiles, one row per group.
 
-    Result columns: ``by``, then one array per column in the order of ``qs``.
-    ``rows`` is the known row count; it is measured when absent.
-    """
-    n = df.count() if rows is None else rows
-    if n <= max_rows:
-        points = F.array(*[F.lit(float(x)) for x in qs])
-        freq = F.col(weight) if weight else F.lit(1)
-        aggs = [F.percentile(F.col(q(c)).cast("double"), points, freq).alias(c) for c in cols]
-        return df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
-    return _bucketed_quantiles(df, cols, qs, list(by), weight)
-
-
-def _bucketed_quantiles(df: DataFrame, cols: Sequence[str], qs: Sequence[float], by: list[str], weight: str | None) -> DataFrame:
-    """Exact quantiles without holding a group in one task.
-
-    Equal values are counted before the first exchange, so a value shared by a
-    third of all rows is one row afterwards. Approximate split points divide
-    the distinct values into buckets; bucket totals give each bucket's first
-    rank; only the buckets with a wanted rank are sorted.
+    Result columns: ``by``, then one array per column in the order of ``qs``
+    (null for a column without values). Three passes over ``df`` find them, so
+    it is written first unless it is ``written`` already or a source table.
     """
+    by = list(by)
+    fixed = df.select(*by, *[F.col(q(c)).cast("double").alias(f"_v{i}") for i, c in enumerate(cols)], *([F.col(weight).cast("bigint").alias("_w")] if weight else []))
+    fixed = fixed if written else materialize(fixed)
     key = [*by, "_c"]
-    weight_col = F.col(weight).cast("bigint") if weight else F.lit(1).cast("bigint")
-    cells = F.array(*[F.struct(F.lit(i).alias("_c"), F.col(q(c)).cast("double").alias("_v")) for i, c in enumerate(cols)])
-    values = (
-        df.select(*by, weight_col.alias("_w"), F.inline(cells))
-        .filter(F.col("_v").isNotNull())
-        .groupBy(*key, "_v")
-        .agg(F.sum("_w").alias("_w"))
+    # Cuts on both sides of every wanted rank; of weighted rows ranks are not known yet, so some lie all over.
+    ranks = {min(max(x + d, 0.0), 1.0) for x in qs for d in (-SKETCH_ERROR, SKETCH_ERROR)} | {i / COARSE for i in range(1, COARSE)}
+    wanted_ranks = F.array(*[F.lit(float(r)) for r in sorted(ranks)])
+    sketches = (fixed.groupBy(*by) if by else fixed.groupBy()).agg(*[F.kll_sketch_agg_double(f"_v{i}", F.lit(SKETCH)).alias(f"_s{i}") for i in range(len(cols))])
+    # A sketch without values has no quantiles.
+    cuts = sketches.select(
+        *by,
+        *[F.when(F.kll_sketch_get_n_double(f"_s{i}") > 0, F.array_distinct(F.kll_sketch_get_quantile_double(f"_s{i}", wanted_ranks))).alias(f"_s{i}") for i in range(len(cols))],
     )
-    points = [i / BUCKETS for i in range(1, BUCKETS)]
-    splits = values.groupBy(*key).agg(F.percentile_approx("_v", points, BUCKETS * 16).alias("_splits"))
-    bucket = F.size(F.filter("_splits", lambda s: s < F.col("_v")))
-    placed = values.join(splits, key).select(*key, "_v", "_w", bucket.alias("_b"))
-
-    totals = placed.groupBy(*key, "_b").agg(F.sum("_w").alias("_n"))
+    cells = [
+        F.struct(F.lit(i).alias("_c"), F.col(f"_v{i}").alias("_v"), F.size(F.filter(f"_s{i}", lambda s, v=F.col(f"_v{i}"): s < v)).alias("_b")) for i in range(len(cols))
+    ]
+    wide = join_groups(fixed, cuts, by) if by else attach(fixed, cuts)
+    weight_col = F.col("_w") if weight else F.lit(1).cast("bigint").alias("_w")
+    placed = wide.select(*by, weight_col, F.inline(F.array(*cells))).filter(F.col("_v").isNotNull())
+
+    totals = placed.groupBy(*key, "_b").agg(F.sum("_w").alias("_n")).filter(F.col("_n") > 0)
     in_order = W.partitionBy(*key).orderBy("_b")
     ranked = totals.select(
         *key,
@@ -98,7 +89,10 @@ def _bucketed_quantiles(df: DataFrame, cols: Sequence[str], qs: Sequence[float],
         )
     )
     within = W.partitionBy(*key, "_b", "_i").orderBy("_v").rowsBetween(W.unboundedPreceding, 0)
-    run = placed.join(targets, [*key, "_b"]).withColumn("_run", F.col("_start") + F.sum("_w").over(within))
+    values = join_groups(placed, targets, [*key, "_b"]).groupBy(*key, "_b", "_i", "_v").agg(
+        F.sum("_w").alias("_w"), *[F.first(c).alias(c) for c in ("_start", "_rank", "_lo", "_hi")]
+    )
+    run = values.withColumn("_run", F.col("_start") + F.sum("_w").over(within))
     found = run.groupBy(*key, "_i").agg(
         F.min(F.when(F.col("_run") > F.col("_lo"), F.col("_v"))).alias("_vlo"),
         F.min(F.when(F.col("_run") > F.col("_hi"), F.col("_v"))).alias("_vhi"),
@@ -112,13 +106,9 @@ def _bucketed_quantiles(df: DataFrame, cols: Sequence[str], qs: Sequence[float],
         return F.max(F.when((F.col("_c") == i) & (F.col("_i") == j), F.col("_value")))
 
     aggs = [F.array(*[one(i, j) for j in range(len(qs))]).alias(c) for i, c in enumerate(cols)]
-    return solved.groupBy(*by).agg(*aggs) if by else solved.agg(*aggs)
-
-
-def medians(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), rows: int | None = None, prefix: str = "med_", **kw) -> DataFrame:
-    """Median of each column, named ``prefix + column``."""
-    table = quantiles(df, cols, [0.5], by, rows=rows, **kw)
-    return table.select(*by, *[F.col(q(c))[0].alias(prefix + c) for c in cols])
+    if not by:
+        return solved.agg(*aggs)
+    return join_groups(sketches.select(*by), solved.groupBy(*by).agg(*aggs), by, "left")
 
 
 def melt(df: DataFrame, cols: Sequence[str], name: str = "column_name", value: str = "value", keep: Sequence[str] = ()) -> DataFrame:

@@ -128,7 +128,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     """Exact quantiles by bucket selection, the path for inputs too large to buffer."""
-    wide = quantiles(table(spark, sf, "lineitem"), ["l_extendedprice", "l_quantity"], [0.5, 0.95], ["l_returnflag"], max_rows=0)
+    wide = quantiles(table(spark, sf, "lineitem"), ["l_extendedprice", "l_quantity"], [0.5, 0.95], ["l_returnflag"], written=True)
     parts = [wide.select("l_returnflag", F.lit(c).alias("column_name"), r6(F.col(c)[0], "q50"), r6(F.col(c)[1], "q95")) for c in ("l_extendedprice", "l_quantity")]
     return parts[0].unionByName(parts[1])
 
