@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from waypost.operators import changes as X
 from waypost.operators import panel as P
 from waypost.operators import ranking as G
 from waypost.operators import reports as H
@@ -278,3 +279,44 @@ def _(spark, sf):
     return out.select(
         *ID_COLS, "if_anomaly", r6("anomaly_severity_iso"), "lof_anomaly", r6("anomaly_severity_lof"), "z_anomaly", "rules_fired", "confirmed_anomaly"
     )
+
+
+# ---- change of behaviour ------------------------------------------------------------------------
+
+ROUTE = ["departure_airport_iata", "arrival_airport_iata"]
+DAILY = f"""{BASE}, daily AS (SELECT departure_airport_iata, arrival_airport_iata, departure_date, CAST(sum(total_alarms_day) AS BIGINT) AS total_alarms_day, CAST(sum(entries) AS BIGINT) AS entries,
+  CASE WHEN sum(entries) > 0 THEN CAST(sum(total_alarms_day) AS DOUBLE) / sum(entries) ELSE 0.0 END AS rate
+  FROM rated GROUP BY 1, 2, 3)"""
+
+
+def _daily(spark: SparkSession, sf: str) -> DataFrame:
+    return materialize(X.daily_rates(_master(spark, sf), ROUTE, "departure_date", "total_alarms_day", "entries"))
+
+
+def _rolled(days: int) -> str:
+    w = f"OVER (PARTITION BY departure_airport_iata, arrival_airport_iata ORDER BY departure_date RANGE BETWEEN INTERVAL {days - 1} DAY PRECEDING AND CURRENT ROW)"
+    return R(f"CASE WHEN sum(entries) {w} > 0 THEN CAST(sum(total_alarms_day) {w} AS DOUBLE) / sum(entries) {w} ELSE 0.0 END") + f" AS rate_{days}d"
+
+
+@query("rolling_route_rates", f"{DAILY} SELECT departure_airport_iata, arrival_airport_iata, departure_date, {R('rate')} AS rate, {_rolled(7)}, {_rolled(28)} FROM daily")
+def _(spark, sf):
+    out = X.rolling_rates(_daily(spark, sf), ROUTE, "departure_date", "total_alarms_day", "entries")
+    return out.select(*ROUTE, "departure_date", r6("rate"), r6("rate_7d"), r6("rate_28d"))
+
+
+@query(
+    "route_changes",
+    f"""{DAILY.replace("WITH ", "WITH RECURSIVE ", 1)}, numbered AS (
+  SELECT *, row_number() OVER w AS i, (rate - avg(rate) OVER p) / nullif(stddev_samp(rate) OVER p, 0) AS z FROM daily
+  WINDOW p AS (PARTITION BY departure_airport_iata, arrival_airport_iata), w AS (PARTITION BY departure_airport_iata, arrival_airport_iata ORDER BY departure_date)),
+chart AS (
+  SELECT departure_airport_iata, arrival_airport_iata, departure_date, i, greatest(0.0, coalesce(z, 0) - 0.5) AS rise, greatest(0.0, -coalesce(z, 0) - 0.5) AS fall FROM numbered WHERE i = 1
+  UNION ALL
+  SELECT n.departure_airport_iata, n.arrival_airport_iata, n.departure_date, n.i, greatest(0.0, c.rise + coalesce(z, 0) - 0.5), greatest(0.0, c.fall - coalesce(z, 0) - 0.5)
+  FROM chart c JOIN numbered n ON n.i = c.i + 1 AND n.departure_airport_iata IS NOT DISTINCT FROM c.departure_airport_iata AND n.arrival_airport_iata IS NOT DISTINCT FROM c.arrival_airport_iata)
+SELECT departure_airport_iata, arrival_airport_iata, departure_date, {R('rise')} AS rise, {R('fall')} AS fall, CAST(greatest(rise, fall) > 5 AS INT) AS change_flag FROM chart""",
+)
+def _(spark, sf):
+    """Days on which a route's alarm rate has drifted away from its mean."""
+    out = X.cusum(_daily(spark, sf), ROUTE, "departure_date")
+    return out.select(*ROUTE, "departure_date", r6("rise"), r6("fall"), "change_flag")

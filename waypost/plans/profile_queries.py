@@ -12,7 +12,7 @@ from waypost.plans.cleaning_queries import _COUNT, WD, _dirty
 from waypost.plans.fixtures import table, view, with_views
 from waypost.plans.registry import R, n64, query, r6
 from waypost.plans.route_queries import ROUTE_MASTER, routes_of
-from waypost.session import materialize
+from waypost.session import materialize, scratch_path
 
 DIRTY_COLS = ["raw_count", "raw_gender", "raw_zone", "raw_text", "text_backup", "raw_risk"]
 ORDER_COLS = [("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"), ("o_totalprice", "double"), ("o_orderdate", "timestamp_ntz"), ("o_orderpriority", "string")]
@@ -61,6 +61,23 @@ def _(spark, sf):
     return C.profile(table(spark, sf, "lineitem"), exact=False)
 
 
+_LINE_KINDS = {"l_orderkey": "bigint", "l_partkey": "bigint", "l_suppkey": "bigint", "l_linenumber": "int", "l_returnflag": "string", "l_linestatus": "string", "l_shipdate": "timestamp_ntz"}
+
+
+@query("profile_from_states", _profile_sql("lineitem", [(c, _LINE_KINDS.get(c, "double")) for c in _LINE_COLS]))
+def _(spark, sf):
+    """States of four parts, written one after the other, and the profile of them all; counts within five standard
+    errors (5 %) of the exact ones are shown as these."""
+    lines, path = table(spark, sf, "lineitem").select(*_LINE_COLS), scratch_path(spark, "states")
+    for part in range(4):
+        C.profile_states(lines.filter(F.col("l_orderkey") % 4 == part)).write.mode("append").parquet(path)
+    united = C.profile_of_states(spark.read.parquet(path))
+    exact = C.profile(lines).select("column_name", F.col("cardinality").alias("exact"))
+    near = F.abs(F.col("cardinality") - F.col("exact")) <= 0.05 * F.col("exact")
+    shown = united.join(exact, "column_name").withColumn("cardinality", F.when(near, F.col("exact")).otherwise(F.col("cardinality")))
+    return shown.select("column_name", "dtype", "missing", "missing_pct", "cardinality")
+
+
 _CARD = "SELECT column_name, cardinality, CASE WHEN cardinality > 400 THEN 'high' WHEN cardinality > 15 THEN 'warn' ELSE 'low' END AS bucket FROM ({}) t"
 
 
