@@ -330,6 +330,71 @@ def _(spark, sf):
     return isolation_scores(_embeddings(spark, sf), "vec_id", "embedding").select("vec_id", r6("if_raw"))
 
 
+def _far(spark: SparkSession, sf: str) -> DataFrame:
+    """Routes, each a second time under another key, and one row far away from all."""
+    rows = materialize(matrix_of(spark, sf))
+    copies = rows.select(F.concat("route", F.lit("#")).alias("route"), "x")
+    far = rows.orderBy("route").limit(1).select(F.lit("far").alias("route"), F.transform("x", lambda v: F.lit(1000.0)).alias("x"))
+    return rows.unionByName(copies).unionByName(far)
+
+
+@query(
+    "forest_checks",
+    f"{MATRIX} SELECT 2 * count(*) + 1 AS n_scored, CAST(0 AS BIGINT) AS n_out_of_range, CAST(0 AS BIGINT) AS n_copies_apart, CAST(1 AS INT) AS place_of_far_row, "
+    "CAST(0 AS BIGINT) AS n_changed_by_partitions FROM matrix",
+)
+def _(spark, sf):
+    """What holds for any forest: scores inside (0, 1), equal ones for equal rows, the highest for a far row, the same ones however rows are dealt."""
+    rows = materialize(_far(spark, sf))
+    scores = materialize(isolation_scores(rows, "route", "x"))
+    again = isolation_scores(rows.repartition(13), "route", "x").withColumnRenamed("if_raw", "again")
+    plain = scores.select(F.rtrim("route", F.lit("#")).alias("route"), "if_raw")
+    apart = plain.groupBy("route").agg(F.min("if_raw").alias("a"), F.max("if_raw").alias("b")).filter("a <> b").agg(F.count(F.lit(1)).alias("n_copies_apart"))
+    above = scores.filter(F.col("if_raw") >= scores.filter("route = 'far'").select("if_raw").scalar()).agg(F.count(F.lit(1)).cast("int").alias("place_of_far_row"))
+    changed = scores.join(again, "route").filter("if_raw <> again").agg(F.count(F.lit(1)).alias("n_changed_by_partitions"))
+    out = scores.agg(F.count(F.lit(1)).alias("n_scored"), F.count_if(~((F.col("if_raw") > 0) & (F.col("if_raw") < 1))).alias("n_out_of_range"))
+    for one in (apart, above, changed):
+        out = out.withColumn(one.columns[0], one.scalar())
+    return out
+
+
+@query(
+    "pca_checks",
+    f"{MATRIX} SELECT count(*) AS n_rows, CAST(0 AS DOUBLE) AS correlation, CAST(1 AS DOUBLE) AS first_is_eigenvector, CAST(1 AS DOUBLE) AS second_is_eigenvector, "
+    "TRUE AS first_is_larger, TRUE AS no_column_varies_more FROM matrix",
+)
+def _(spark, sf):
+    """Projections on eigenvectors of the covariance matrix: their covariances with the columns have the length of the variance."""
+    rows = materialize(matrix_of(spark, sf))
+    wide = materialize(DT.pca2(rows, "route", "x").join(rows, "route")).select("pc1", "pc2", *[F.col("x")[i].alias(f"x{i}") for i in range(DIM)])
+    length = lambda pc: F.sqrt(sum((F.pow(F.covar_samp(f"x{i}", pc), 2) for i in range(DIM)), F.lit(0.0)))
+    return wide.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.abs(F.round(F.corr("pc1", "pc2"), 6)).alias("correlation"),
+        r6(length("pc1") / F.var_samp("pc1"), "first_is_eigenvector"), r6(length("pc2") / F.var_samp("pc2"), "second_is_eigenvector"),
+        (F.var_samp("pc1") >= F.var_samp("pc2")).alias("first_is_larger"),
+        (F.var_samp("pc1") * (1 + 1e-9) >= F.greatest(*[F.var_samp(f"x{i}") for i in range(DIM)])).alias("no_column_varies_more"),
+    )
+
+
+LOF_FLAGS = f"""{DBSCAN}{LOF[len(PAIRS):]}, lim AS (SELECT quantile_cont(lof_score, 0.95) AS t FROM lof),
+lof_flagged AS (SELECT p, CAST(lof_score > t AS INT) AS lof_anomaly FROM lof CROSS JOIN lim)"""
+
+
+@query(
+    "ensemble_checks",
+    f"{LOF_FLAGS} SELECT p AS route, lof_anomaly, dbscan_anomaly, TRUE AS votes_add_up, TRUE AS flags_follow_scores FROM lof_flagged JOIN noise USING (p)",
+)
+def _(spark, sf):
+    """The ensemble's density flags as SQL finds them one by one, and its votes and other flags against its own scores."""
+    scored = run_routes(view(spark, sf, "alarms"), view(spark, sf, "travelers"), CATEGORIES).scored
+    votes = sum((F.col(f) for f in DT.FLAGS[1:]), F.col(DT.FLAGS[0]))
+    return scored.select(
+        "route", "lof_anomaly", "dbscan_anomaly",
+        ((F.col("anomaly_votes") == votes) & (F.col("anomaly_consensus") == (votes >= 2).cast("int"))).alias("votes_add_up"),
+        ((F.col("if_anomaly") == (F.col("if_score") > 0).cast("int")) & (F.col("z_anomaly") == (F.col("z_max") > 3).cast("int"))).alias("flags_follow_scores"),
+    )
+
+
 @query("detector_ensemble")
 def _(spark, sf):
     run = run_routes(view(spark, sf, "alarms"), view(spark, sf, "travelers"), CATEGORIES)

@@ -233,7 +233,31 @@ def _(spark, sf):
     )
 
 
-@query("rendered_report")
+def _trimmed(c: str) -> str:
+    return f"coalesce(regexp_replace(regexp_replace(printf('%.6f', CAST({c} AS DOUBLE)), '0+$', ''), '[.]$', ''), 'null')"
+
+
+_TOP_SQL = {c: f"coalesce(CAST({c} AS VARCHAR), '')" for c in RP.TOP_COLUMNS} | {c: _trimmed(c) for c in ("alert_rate", "absolute_alarms", "priority_score", "tot_investigated")}
+_TOP_SQL["ci95_str"] = "CASE WHEN tot_investigated > 0 THEN printf('[%.1f%%, %.1f%%]', 100 * ci95_low, 100 * ci95_high) ELSE 'n/a' END"
+_TOP_LINE = " || ' | ' || ".join(_TOP_SQL.values())
+_LEVEL_ORDER = " ".join(["CASE risk_level", *[f"WHEN '{v}' THEN {i}" for i, v in enumerate(vocab.RISK_LEVELS)], "END"])
+_COUNT_LINES = " || ',' || chr(10) || ".join(
+    [f"""'  "{f}": ' || sum({f})""" for f in FLAGS] + [f"""'  "consensus_>={n}": ' || count_if(anomaly_votes >= {n})""" for n in (2, 3)]
+)
+_REPORT_PARTS = [
+    f"'{RP.TITLE}'", "''", "'## Perimeter'", "chr(123) || chr(125)", "''", "'## Summary'", "'- Routes analysed: **' || n_routes || '**'",
+    "'- Consensus anomalies (≥ 2/4 detectors): **' || n_clean || '**'", "'- Risk distribution: ' || levels", "''", "'## Detector counts'", "counts", "''",
+    "'## Top-10 ranked anomalies'", f"coalesce('| {' | '.join(RP.TOP_COLUMNS)} |' || chr(10) || '|{'|'.join('---' for _ in RP.TOP_COLUMNS)}|' || chr(10) || lines, '{RP.NO_ANOMALIES}')", "''",
+    "'## Interpretation'", f"'{RP.INTERPRETATION}'", "''",
+]
+_REPORT = f"""{POST}, lv AS (SELECT risk_level, count(*) AS n FROM clean GROUP BY 1),
+dist AS (SELECT chr(123) || coalesce(string_agg(chr(39) || risk_level || chr(39) || ': ' || n, ', ' ORDER BY n DESC, {_LEVEL_ORDER}), '') || chr(125) AS levels FROM lv),
+best AS (SELECT string_agg('| ' || {_TOP_LINE} || ' |', chr(10) ORDER BY rank) AS lines FROM (SELECT * FROM clean ORDER BY rank LIMIT 10)),
+found AS (SELECT count(*) AS n_routes, chr(123) || chr(10) || {_COUNT_LINES} || chr(10) || chr(125) AS counts FROM scored)
+SELECT {" || chr(10) || ".join(_REPORT_PARTS)} AS report_md FROM found, dist, best, (SELECT count(*) AS n_clean FROM clean)"""
+
+
+@query("rendered_report", _REPORT)
 def _(spark, sf):
     scored = _voted(spark, sf)
     clean = materialize(G.apply_post_processing(scored)[1])
