@@ -52,4 +52,5 @@ def load_all() -> None:
         ranking_queries,
         relation_queries,
         route_queries,
+        stream_queries,
     )
