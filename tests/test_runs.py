@@ -69,3 +69,21 @@ def test_empty_consensus(spark):
     scored = spark.createDataFrame([("a→b", "a", "b", 0.1, 5, 1, 0)], schema)
     post, clean = apply_post_processing(scored)
     assert post.count() == 0 and clean.count() == 0
+
+
+def test_temporary_tables_are_deleted(spark, tmp_path):
+    from pathlib import Path
+
+    from pyspark.sql import functions as F
+
+    from waypost.session import materialize, scratch_dir, temporary_tables
+
+    kept = materialize(spark.range(3))
+    folder = Path(scratch_dir(spark).removeprefix("file:"))
+    before = set(folder.iterdir())
+    with temporary_tables(spark):
+        inside = materialize(spark.range(5))
+        with temporary_tables(spark):
+            assert materialize(inside.where("id > 1")).count() == 3
+        assert inside.agg(F.sum("id")).first()[0] == 10 and len(set(folder.iterdir()) - before) == 1
+    assert set(folder.iterdir()) == before and kept.count() == 3

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -114,6 +115,7 @@ def perimeter_json(role: Column, iata: Column) -> Column:
 
 
 # Texts of the context block.
+CONTEXT_HEADS = ("PERIMETER: ", "USER QUERY: ", "TOTAL OBSERVATIONS IN SCOPE: ", "CONFIRMED ANOMALIES: ")
 CONTEXT_TITLE, CONTEXT_NONE = "TOP CONFIRMED ANOMALIES (most severe first):", "NO CONFIRMED ANOMALIES IN THIS PERIMETER."
 
 
@@ -121,8 +123,7 @@ def context_block(df: DataFrame, severity: str, key: Sequence[str], k: int = 10,
     """The whole context as numbered lines: what was asked, rows in scope, confirmed rows, then the lines or a note that there are none."""
     counted = df.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("confirmed_anomaly") == 1).alias("c"))
     head = F.array(
-        F.lit(f"PERIMETER: {perimeter}"), F.lit(f"USER QUERY: {request or '(none)'}"),
-        F.concat(F.lit("TOTAL OBSERVATIONS IN SCOPE: "), F.col("n").cast("string")), F.concat(F.lit("CONFIRMED ANOMALIES: "), F.col("c").cast("string")),
+        *[F.concat(F.lit(h), v) for h, v in zip(CONTEXT_HEADS, (F.lit(perimeter), F.lit(request or "(none)"), F.col("n").cast("string"), F.col("c").cast("string")))],
         F.lit(""), F.when(F.col("c") == 0, CONTEXT_NONE).otherwise(CONTEXT_TITLE),
     )
     order = W.orderBy(F.desc(severity), *key)
@@ -162,6 +163,15 @@ def audit(stage: str, df: DataFrame, **metrics: Column) -> DataFrame:
     return counted.select(F.lit(stage).alias("stage"), "n_rows", detail.alias("metrics"))
 
 
+def audit_observed(spark: SparkSession, stages: Mapping[str, Observation]) -> DataFrame:
+    """The audit rows of stages that were watched while they were written; no job of its own."""
+    rows = []
+    for stage, seen in stages.items():
+        metrics = dict(seen.get)
+        rows.append((stage, metrics.pop("n_rows"), json.dumps({k: v for k, v in metrics.items() if v is not None}, separators=(",", ":"), default=str)))
+    return spark.createDataFrame(rows, "stage string, n_rows bigint, metrics string")
+
+
 def audit_log(parts: Sequence[DataFrame]) -> DataFrame:
     out = parts[0]
     for part in parts[1:]:

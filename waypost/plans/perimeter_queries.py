@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from waypost.operators import perimeters as H
@@ -13,8 +13,8 @@ from waypost.operators.routes import alarm_routes, combine_sides, country_top_ia
 from waypost.plans.fixtures import CATEGORIES, TOKEN, table, view, with_views
 from waypost.plans.ranking_queries import POST, _voted
 from waypost.plans.registry import R, n64, query, r6
-from waypost.plans.route_queries import KEYS, TRAVELER_COLS
-from waypost.plans.runs import SCOPE, run_perimeters
+from waypost.plans.route_queries import KEYS, ROUTE_MASTER, TRAVELER_COLS
+from waypost.plans.runs import SCOPE, run_perimeters, run_routes
 from waypost.session import materialize
 from waypost.sources import dims as DM
 from waypost.sources import vocab
@@ -264,11 +264,29 @@ def _(spark, sf):
     return RP.render_report(RP.report_payload(scored, clean), F.lit("{}")).select("report_md")
 
 
-@query(
-    "audit_log",
-    f"{with_views('travelers', 'alarms')} SELECT 'alarms' AS stage, count(*) AS n_rows, '{{\"flights\":' || CAST(SUM(total_flights) AS BIGINT) || '}}' AS metrics FROM alarms UNION ALL SELECT 'travelers', count(*), '{{}}' FROM travelers",
+_AUDIT = (
+    f"{with_views('travelers', 'alarms')} SELECT 'alarms' AS stage, count(*) AS n_rows, '{{\"flights\":' || CAST(SUM(total_flights) AS BIGINT) || '}}' AS metrics FROM alarms UNION ALL SELECT 'travelers', count(*), '{{}}' FROM travelers"
 )
+
+
+@query("audit_log", _AUDIT)
 def _(spark, sf):
     return RP.audit_log(
         [RP.audit("alarms", view(spark, sf, "alarms"), flights=F.sum("total_flights")), RP.audit("travelers", view(spark, sf, "travelers"))]
     )
+
+
+@query("observed_audit", _AUDIT)
+def _(spark, sf):
+    """Counts and metrics taken while the tables are written."""
+    seen = {"alarms": Observation(), "travelers": Observation()}
+    materialize(view(spark, sf, "alarms"), seen["alarms"], flights=F.sum("total_flights"))
+    materialize(view(spark, sf, "travelers"), seen["travelers"])
+    return RP.audit_observed(spark, seen)
+
+
+@query("run_audit", f"{ROUTE_MASTER} SELECT 'routes' AS stage, count(*) AS n_rows FROM routes UNION ALL SELECT 'detectors', count(*) FROM routes")
+def _(spark, sf):
+    """What the writes of a whole run saw of its first stages."""
+    audit = run_routes(view(spark, sf, "alarms"), view(spark, sf, "travelers"), CATEGORIES).audit
+    return audit.where("stage <> 'ranking'").select("stage", "n_rows")

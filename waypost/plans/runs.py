@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from waypost.operators.detectors import fit_detectors, fit_panel_detectors
@@ -22,7 +22,7 @@ from waypost.operators.perimeters import (
     traveler_routes_by_perimeter,
 )
 from waypost.operators.ranking import apply_business_rules, apply_post_processing, drop_disqualified
-from waypost.operators.reports import perimeter_json, render_report, report_payload
+from waypost.operators.reports import audit_observed, perimeter_json, render_report, report_payload
 from waypost.operators.routes import (
     Categories,
     alarm_routes,
@@ -46,14 +46,16 @@ class RouteRun:
     scored: DataFrame
     post: DataFrame
     clean: DataFrame
+    audit: DataFrame  # one row per stage, counted while it was written
 
 
 def run_routes(alarms: DataFrame, travelers: DataFrame, cats: Categories | None = None, contamination: float = vocab.CONTAMINATION, seed: int = vocab.SEED) -> RouteRun:
     """Whole data: route master, detectors, ranking."""
-    routes = materialize(build_route_master(alarms, travelers, cats))
-    scored = materialize(fit_detectors(routes, contamination=contamination, seed=seed, dbscan_info=True))
-    post = materialize(apply_post_processing(scored)[0])
-    return RouteRun(routes, scored, post, drop_disqualified(post))
+    seen = {stage: Observation() for stage in ("routes", "detectors", "ranking")}
+    routes = materialize(build_route_master(alarms, travelers, cats), seen["routes"])
+    scored = materialize(fit_detectors(routes, contamination=contamination, seed=seed, dbscan_info=True), seen["detectors"], consensus=F.sum("anomaly_consensus"))
+    post = materialize(apply_post_processing(scored)[0], seen["ranking"], disqualified=F.count_if(F.col("quality_note").isin(vocab.DISQUALIFYING)))
+    return RouteRun(routes, scored, post, drop_disqualified(post), audit_observed(routes.sparkSession, seen))
 
 
 @dataclass(frozen=True)

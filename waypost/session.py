@@ -13,9 +13,12 @@ import glob
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cores: str = "*", app: str = "waypost", **conf: str) -> SparkSession:
@@ -66,16 +69,43 @@ def scratch_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder."""
-    return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    for paths in _SCOPES:
+        paths.append(path)
+    return path
 
 
-def materialize(df: DataFrame) -> DataFrame:
+#: Paths made in the scopes that are open now, the outermost first.
+_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[None]:
+    """Delete, at the end, the intermediate tables that were written inside.
+
+    Frames are lazy: write or collect what is wanted before the scope ends.
+    """
+    paths: list[str] = []
+    _SCOPES.append(paths)
+    try:
+        yield
+    finally:
+        _SCOPES.remove(paths)
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+        for path in paths:
+            place = hadoop.Path(path)
+            place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def materialize(df: DataFrame, watch: Observation | None = None, **metrics: Column) -> DataFrame:
     """Write ``df`` once and return a frame that scans the written table.
 
     The schema is passed to the reader, so reading back starts no
-    schema-inference job.
+    schema-inference job. ``watch`` gets the number of rows and the ``metrics``
+    from the write itself.
     """
     spark = df.sparkSession
     path = scratch_path(spark, "table")
-    df.write.parquet(path)
+    seen = df if watch is None else df.observe(watch, F.count(F.lit(1)).alias("n_rows"), *[c.alias(n) for n, c in metrics.items()])
+    seen.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
