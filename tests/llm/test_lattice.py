@@ -1,3 +1,4 @@
+import hashlib
 import math
 from collections import Counter
 
@@ -51,7 +52,7 @@ def test_samples_follow_the_distribution(pieces, text):
         assert len(set(ids)) == len(ids) == min(3, len(want))
         assert all(s.logp == pytest.approx(want[i], abs=1e-9) for s, i in zip(samples, ids))
         assert all(a.value >= b.value for a, b in zip(samples, samples[1:]))
-        assert all(pieces.decode(s.ids) == text for s in samples)
+        assert all(pieces.decode(s.ids).decode() == text for s in samples)
     # Each path's probability over its inclusion probability adds up to one on average.
     assert np.mean([sum(math.exp(s.logp - s.inclusion) for s in x) for x in got]) == pytest.approx(1, abs=0.03)
 
@@ -87,7 +88,7 @@ def test_spelling_matches_library(pieces):
         ids = library.encode(text)
         spelled = "".join(map(pieces.spell, lattice.words_of(text)))
         assert "".join(pieces.text[i] for i in ids) == spelled
-        assert pieces.decode(ids) == library.decode(ids)
+        assert pieces.decode(ids).decode() == library.decode(ids)
 
 
 def test_edges(spark, edge_docs, no_docs, pieces):
@@ -103,3 +104,8 @@ def test_edges(spark, edge_docs, no_docs, pieces):
     again = {(r.doc_id, r["rank"], tuple(r.ids)) for r in lattice.sample_segmentations(edge_docs.repartition(1), MODEL, k=2).collect()}
     assert again == {(r.doc_id, r["rank"], tuple(r.ids)) for r in rows}
     assert lattice.sample_digests(no_docs, MODEL).count() == 0
+    digests = lattice.sample_digests(edge_docs, MODEL, k=2).collect()
+    texts = {(d, hashlib.sha256((t or "").encode()).hexdigest()) for d, t in texts}
+    assert {(r.doc_id, r.text_sha256) for r in digests} == texts and len(digests) == len(rows)
+    with pytest.raises(ValueError, match="between"):
+        lattice.sample_digests(edge_docs, MODEL, k=1_000)

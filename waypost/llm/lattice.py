@@ -24,13 +24,14 @@ vocabularies score a piece by rank alone. Characters without a piece become
 byte pieces, as in the library.
 
 A null or empty text has one segmentation, without pieces. Texts with fewer
-than K segmentations give all of them, with inclusion score 0 (certain). Rows
+than K segmentations (K is below 1 000) give all of them, with inclusion score 0 (certain). Rows
 that repeat a key and a text give the same samples; a null key is a key. An
 empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import math
 import random
@@ -47,7 +48,13 @@ from waypost.llm.common import map_texts, per_process, text_of
 #: Samples per row, sharpness of the distribution (1 takes piece probabilities as they are), seed.
 K, ALPHA, SEED = 3, 1.0, 2024
 #: Shift of the Zipf-Mandelbrot law; bytes of text sampled at once; word lattices remembered; words split off singly.
-SHIFT, SLICE, MOST_WORDS, NEAR = 2.7, 2 << 20, 200_000, 10
+SHIFT, SLICE, MOST_WORDS, NEAR = 2.7, 2 << 20, 400_000, 10
+#: Ids decoded at once, about.
+DECODED = 1 << 17
+#: Paths of a word are counted up to this; k is smaller.
+MOST_PATHS = 1_000
+#: Letters from a word's end up to which masses are added without logarithms; a letter has a probability above 1e-12.
+NO_UNDERFLOW = 25
 MARK, BYTE_BASE = "▁", 0xF0000
 U = np.uint64
 GOLDEN = 0x9E3779B97F4A7C15
@@ -73,6 +80,7 @@ class Pieces:
             self.text[i] = chr(BYTE_BASE + b)
         scored = [*zip(normal, logp), *((i, float(logp.min())) for i in self.bytes)]
         single = {self.text[i] for i in normal if len(self.text[i]) == 1}
+        self.plain = single.issuperset(map(chr, range(0x21, 0x7F)))  # signs of printable ASCII; a space is a mark by then
         self.unknown = re.compile("[^" + "".join(map(re.escape, sorted(single))) + "]")
         tables: list[dict[int, list]] = [{} for _ in range(max(map(len, self.text.values())))]
         for i, p in scored:
@@ -81,6 +89,9 @@ class Pieces:
                 h = (h * 1_000_003 + ord(c)) % (1 << 64)
                 entry = tables[n].setdefault(h, [-1, 0.0])
             entry[0], entry[1] = i, p
+        plain = [bytes([self.bytes[i]]) if i in self.bytes else self.text.get(i, "").replace(MARK, " ").encode() for i in range(model.get_piece_size())]
+        self.size = np.array([len(p) for p in plain], np.int32)
+        self.start, self.raw = (np.cumsum(self.size) - self.size).astype(np.int32), np.frombuffer(b"".join(plain), np.uint8)
         self.tables = []
         for table in tables:
             keys = np.array(sorted(table), np.uint64)
@@ -89,14 +100,32 @@ class Pieces:
     def spell(self, word: str) -> str:
         """The word after its space mark, characters without a piece as byte signs."""
         word = MARK + word.replace(" ", MARK)
+        if self.plain and word[1:].isascii() and word[1:].isprintable():
+            return word
         return self.unknown.sub(lambda m: "".join(chr(BYTE_BASE + b) for b in m[0].encode("utf-8", "surrogatepass")), word)
 
-    def decode(self, ids) -> str:
-        """Text of a sequence of ids."""
-        raw = "".join(self.text[int(i)] for i in ids)
-        raw = re.sub(f"[{chr(BYTE_BASE)}-{chr(BYTE_BASE + 255)}]+", lambda m: bytes(ord(c) - BYTE_BASE for c in m[0]).decode("utf-8", "replace"), raw)
-        raw = raw.replace(MARK, " ")
-        return raw[1:] if raw[:1] == " " else raw
+    def decode(self, ids) -> bytes:
+        """UTF-8 text of a sequence of ids."""
+        return self.decode_all([np.asarray(ids, np.int32)])[0]
+
+    def decode_all(self, sequences: list[np.ndarray]) -> list[bytes]:
+        """UTF-8 texts of sequences of ids."""
+        out, lo = [], 0
+        while lo < len(sequences):
+            hi, held = lo, 0
+            while hi < len(sequences) and (hi == lo or held + len(sequences[hi]) <= DECODED):
+                held += len(sequences[hi])
+                hi += 1
+            own = sequences[lo:hi]
+            ids = np.concatenate(own)
+            size = self.size[ids]
+            end = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
+            kind = np.int32 if end[-1] < 1 << 31 else np.int64
+            raw = self.raw[np.arange(end[-1], dtype=kind) + np.repeat((self.start[ids] - end[:-1]).astype(kind), size)].tobytes()
+            cuts = end[np.cumsum([0, *map(len, own)])].tolist()
+            out += [raw[a + (raw[a : a + 1] == b" ") : b] if b > a else b"" for a, b in zip(cuts[:-1], cuts[1:])]
+            lo = hi
+        return out
 
 
 def words_of(text: str) -> list[str]:
@@ -117,7 +146,8 @@ class Lattice(NamedTuple):
     piece: np.ndarray
     cond: np.ndarray  # probability of an edge given its node
     cum: np.ndarray  # running sum of cond inside a node, the last above 1
-    paths: np.ndarray  # paths from each node to its word's end, up to 1 000
+    low: np.ndarray  # running sum before an edge
+    paths: np.ndarray  # paths from each node to its word's end, up to MOST_PATHS
     final: np.ndarray  # True for nodes at a word's end
 
 
@@ -162,21 +192,27 @@ def build(pieces: Pieces, words: list[str]) -> Lattice:
     by_left = np.argsort(far.astype(np.uint16) if len(far) and far.max() < 1 << 16 else far, kind="stable")
     edge_left = left[start[by_left]]
     cuts = np.flatnonzero(np.concatenate([[True], edge_left[1:] != edge_left[:-1], [True]])) if len(start) else np.array([0])
+    prob, mass = np.exp(weight), np.ones(total)
     for a, b in zip(cuts[:-1], cuts[1:]):
         edges = by_left[a:b]
         owner = start[edges]
         heads = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
-        value = weight[edges] + back[to[edges]]
-        top = np.maximum.reduceat(value, heads)
-        sums = np.add.reduceat(np.exp(value - np.repeat(top, np.diff(np.append(heads, len(value))))), heads)
-        back[owner[heads]] = top + np.log(sums)
-        paths[owner[heads]] = np.minimum(np.add.reduceat(paths[to[edges]], heads), 1_000)
+        owner = owner[heads]
+        if edge_left[a] <= NO_UNDERFLOW:
+            mass[owner] = np.add.reduceat(prob[edges] * mass[to[edges]], heads)
+            back[owner] = np.log(mass[owner])
+        else:
+            value = weight[edges] + back[to[edges]]
+            top = np.maximum.reduceat(value, heads)
+            back[owner] = top + np.log(np.add.reduceat(np.exp(value - np.repeat(top, np.diff(np.append(heads, len(value))))), heads))
+        paths[owner] = np.minimum(np.add.reduceat(paths[to[edges]], heads), MOST_PATHS)
     cond = np.exp(weight + back[to] - back[start])
     run = np.cumsum(cond)
     cum = run - np.where(first[start] > 0, run[first[start] - 1], 0.0) if len(start) else run
+    low = cum - cond
     if len(start):
         cum[np.append(np.flatnonzero(start[1:] != start[:-1]), len(start) - 1)] = 2.0
-    return Lattice(root, first.astype(np.int32), to.astype(np.int32), piece.astype(np.int32), cond, cum, paths.astype(np.int16), ~letters)
+    return Lattice(root, first.astype(np.int32), to.astype(np.int32), piece.astype(np.int32), cond, cum, low, paths.astype(np.int16), ~letters)
 
 
 class Numbers(dict):
@@ -192,28 +228,47 @@ class Numbers(dict):
 
 
 class Words:
-    """Lattices of the words seen lately."""
+    """Lattices of the words seen lately, in arrays with room to grow."""
 
     def __init__(self, pieces: Pieces):
         self.pieces = pieces
-        self.number, self.lattice = Numbers(), build(pieces, [])
+        self.number, self.arrays, self.size = Numbers(), {}, {"words": 0, "nodes": 0, "edges": 0}
+        self.add(build(pieces, []))
+
+    @property
+    def lattice(self) -> Lattice:
+        return Lattice(*(self.arrays[name][: self.size[COUNTED[name]] + (name == "first")] for name in Lattice._fields))
+
+    def add(self, more: Lattice) -> None:
+        """Append lattices; node and edge numbers move behind those that are there."""
+        shift = {"root": self.size["nodes"], "first": self.size["edges"], "to": self.size["nodes"]}
+        for name, new in zip(Lattice._fields, more):
+            at = self.size[COUNTED[name]]
+            held = self.arrays.get(name)
+            if held is None or len(held) < at + len(new):
+                grown = np.empty(2 * (at + len(new)) + 1, new.dtype)
+                if held is not None:
+                    grown[:at] = held[:at]
+                self.arrays[name] = held = grown
+            held[at : at + len(new)] = new + new.dtype.type(shift[name]) if name in shift else new
+        for kind, n in (("words", len(more.root)), ("nodes", len(more.final)), ("edges", len(more.to))):
+            self.size[kind] += n
 
     def find(self, words: list[str]) -> np.ndarray:
         """Root of each word's lattice; builds those that are missing."""
         if len(self.number) > MOST_WORDS:
-            self.number, self.lattice = Numbers(), build(self.pieces, [])
+            self.number, self.size = Numbers(), dict.fromkeys(self.size, 0)
         which = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
         if self.number.new:
-            more, old = build(self.pieces, self.number.new), self.lattice
-            nodes, edges = len(old.final), len(old.to)
-            self.number.new = []
-            self.lattice = Lattice(
-                np.concatenate([old.root, more.root + nodes]), np.concatenate([old.first[:-1], more.first + np.int32(edges)]), np.concatenate([old.to, more.to + np.int32(nodes)]),
-                *(np.concatenate([a, b]) for a, b in zip(old[3:], more[3:])),
-            )
+            new, self.number.new = self.number.new, []
+            self.add(build(self.pieces, new))
         return self.lattice.root[which]
 
 
+#: What the entries of a lattice's arrays count.
+COUNTED = {"root": "words", "first": "nodes", "to": "edges", "piece": "edges", "cond": "edges", "cum": "edges", "low": "edges", "paths": "nodes", "final": "nodes"}
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Finaliser of a 64-bit counter hash."""
     x = (x ^ (x >> U(30))) * U(0xBF58476D1CE4E5B9)
@@ -253,8 +308,7 @@ def draw(lat: Lattice, roots: np.ndarray, counter: np.ndarray) -> Draw:
             edge[late] += 1
             late = late[u[late] > lat.cum[edge[late]]]
         p = lat.cond[edge]
-        before = np.where(edge > lat.first[node], lat.cum[edge - 1], 0.0)
-        u = np.clip((u - before) / p, 1e-16, 1 - 1e-16)
+        u = np.clip((u - lat.low[edge]) / p, 1e-16, 1 - 1e-16)
         logp[who] += np.log(p)
         count[who] += 1
         steps.append((who, edge))
@@ -346,32 +400,37 @@ def sample_texts(pieces: Pieces | Words, texts: list[str], seeds: list[int], k:
     # With None the set leaves the parent at that word or a later one.
     queues: list[list] = [[(-float(v), 0, -1, 0, None)] for v in value]
     for s in range(k):
-        fresh = draw(lat, roots, base + U((s + 1) * 0xD1342543DE82EF95 % (1 << 64)))
-        for n, queue in enumerate(queues):
-            a, b = bounds[n], bounds[n + 1]
-            rng = rngs[n]
-            job = pop(queue, tops[n], several[a:b], rng)
+        jobs = [pop(queue, tops[n], several[bounds[n] : bounds[n + 1]], rngs[n]) for n, queue in enumerate(queues)]
+        # Words behind the one where a winner leaves its parent are drawn anew; those before it stay.
+        behind = [bounds[n + 1] if job is None else bounds[n] if job[1] < 0 else bounds[n] + job[2] + 1 for n, job in enumerate(jobs)]
+        place = np.concatenate([[0], np.cumsum(np.array(bounds[1:], np.int64) - behind)]) if texts else np.zeros(1, np.int64)
+        which = np.arange(place[-1]) + np.repeat(np.array(behind, np.int64) - place[:-1], np.diff(place))
+        fresh = draw(lat, roots[which], base[which] + U((s + 1) * 0xD1342543DE82EF95 % (1 << 64)))
+        for n, (queue, job) in enumerate(zip(queues, jobs)):
             if job is None:
                 continue
+            a, b = bounds[n], bounds[n + 1]
+            rng = rngs[n]
             top, parent, word, taken = job
-            cut = fresh.offset[a]
-            edges, offset, logs = fresh.edges[cut : fresh.offset[b]], fresh.offset[a : b + 1] - cut, fresh.logp[a:b]
+            at, end = int(place[n]), int(place[n + 1])
+            cut = fresh.offset[at]
+            edges, offset, logs = fresh.edges[cut : fresh.offset[end]], fresh.offset[at : end + 1] - cut, fresh.logp[at:end]
             lo = 0
             if parent >= 0:
                 before = tops[n][parent][1]
                 other = draw_other(lat, int(roots[a + word]), taken, rng)
-                head, tail = before.edges[: before.offset[word]], edges[offset[word + 1] :]
-                edges = np.concatenate([head, np.array(other, np.int64), tail])
-                grown = len(head) + len(other)
-                offset = np.concatenate([before.offset[: word + 1], offset[word + 1 :] - offset[word + 1] + grown])
-                logs = np.concatenate([before.logs[:word], [math.log(max(mass(lat, other), 1e-300))], logs[word + 1 :]])
+                head = before.edges[: before.offset[word]]
+                edges = np.concatenate([head, np.array(other, np.int64), edges])
+                offset = np.concatenate([before.offset[: word + 1], offset + len(head) + len(other)])
+                logs = np.concatenate([before.logs[:word], [math.log(max(mass(lat, other), 1e-300))], logs])
                 lo = word + 1
                 if lat.paths[roots[a + word]] > len(taken) + 1:
                     left = max(1 - sum(mass(lat, t) for t in [*taken, other]), 1e-300)
                     again = truncated(logs[:word].sum() + math.log(left), top, rng.expovariate(1.0))
                     push(queue, again, parent, word, [*taken, other])
             tops[n].append((top, _Path(edges, offset, logs)))
-            leave(queue, tops[n], len(tops[n]) - 1, lo, top, several[a:b], rng)
+            # Behind the last winner only the greatest bound counts: all its sets wait as one.
+            leave(queue, tops[n], len(tops[n]) - 1, lo, top, several[a:b], rng, near=NEAR if s < k - 1 else 0)
     out = []
     for queue, winners in zip(queues, tops):
         kappa = -queue[0][0] if queue and len(winners) == k else -math.inf
@@ -387,7 +446,7 @@ def push(queue: list, bound: float, parent: int, word: int, taken: list | None)
     heapq.heappush(queue, (-float(bound), len(queue), parent, word, taken))
 
 
-def leave(queue: list, winners: list, me: int, lo: int, top: float, several: np.ndarray, rng: random.Random, best: bool = False) -> None:
+def leave(queue: list, winners: list, me: int, lo: int, top: float, several: np.ndarray, rng: random.Random, best: bool = False, near: int = NEAR) -> None:
     """Queue the sets that leave winner ``me`` at word ``lo`` or later, all bounded by ``top``.
 
     A set's mass is the path's probability before the word, times that of any
@@ -396,7 +455,7 @@ def leave(queue: list, winners: list, me: int, lo: int, top: float, several: np.
     split hands its bound on.
     """
     path = winners[me][1]
-    near = min(len(path.logs) - lo, NEAR)
+    near = min(len(path.logs) - lo, near)
     prefix, sets = float(path.logs[:lo].sum()), []
     for word, (log, many) in enumerate(zip(path.logs[lo : lo + near].tolist(), several[lo : lo + near].tolist()), lo):
         if many:
@@ -435,26 +494,30 @@ def sample_segmentations(docs: DataFrame, model: str, key: str = "doc_id", text:
 
     ``model`` names the vocabulary file on the executors.
     """
-    return _sampled(docs, model, key, text, k, alpha, seed, "ids array<int>", lambda ids: {"ids": ids.tolist()})
+    return _sampled(docs, model, key, text, k, alpha, seed, "ids array<int>", lambda _, ids: {"ids": [i.tolist() for i in ids]})
 
 
 def sample_digests(docs: DataFrame, model: str, key: str = "doc_id", text: str = "text", k: int = K, alpha: float = ALPHA, seed: int = SEED) -> DataFrame:
-    """As ``sample_segmentations`` with the number and unsigned crc32 of the ids (little-endian, 32 bits) instead of them."""
-    return _sampled(docs, model, key, text, k, alpha, seed, "n_ids bigint, ids_crc32 bigint", lambda ids: {"n_ids": len(ids), "ids_crc32": zlib.crc32(ids)})
+    """As ``sample_segmentations`` with the number and unsigned crc32 of the ids (little-endian, 32 bits) and the hex
+    SHA-256 of the text that they decode to instead of them."""
+    return _sampled(docs, model, key, text, k, alpha, seed, "n_ids bigint, ids_crc32 bigint, text_sha256 string", digests)
+
+
+def digests(pieces: Pieces, ids: list[np.ndarray]) -> dict[str, list]:
+    return {"n_ids": [len(i) for i in ids], "ids_crc32": [zlib.crc32(i) for i in ids], "text_sha256": [hashlib.sha256(t).hexdigest() for t in pieces.decode_all(ids)]}
 
 
 def _sampled(docs, model, key, text, k, alpha, seed, fields, view) -> DataFrame:
+    if not 0 < k < MOST_PATHS:
+        raise ValueError(f"k is between 1 and {MOST_PATHS - 1}")
     kind = docs.schema[key].dataType.simpleString()
-    names = [f.split()[0] for f in fields.split(", ")]
 
     def run(keys, texts, seeds):
         pieces = per_process(("lattice_words", model, alpha), lambda: Words(Pieces(model, alpha)))
-        out: dict[str, list] = {c: [] for c in [key, "rank", *names, "log_prob", "perturbed", "log_inclusion"]}
-        for own, samples in zip(keys, sample_texts(pieces, texts, seeds, k)):
-            for rank, s in enumerate(samples, 1):
-                for c, v in {key: own, "rank": rank, **view(s.ids), "log_prob": s.logp, "perturbed": s.value, "log_inclusion": s.inclusion}.items():
-                    out[c].append(v)
-        return out
+        rows = [(own, rank, s) for own, samples in zip(keys, sample_texts(pieces, texts, seeds, k)) for rank, s in enumerate(samples, 1)]
+        own, ranks, samples = zip(*rows) if rows else ((), (), ())
+        scores = {"log_prob": [s.logp for s in samples], "perturbed": [s.value for s in samples], "log_inclusion": [s.inclusion for s in samples]}
+        return {key: own, "rank": ranks, **view(pieces.pieces, [s.ids for s in samples]), **scores}
 
     schema = f"`{key}` {kind}, rank int, {fields}, log_prob double, perturbed double, log_inclusion double"
     return map_texts(_rows(docs, key, text, seed), schema, run, most=SLICE)
@@ -466,7 +529,7 @@ def decode(rows: DataFrame, model: str, key: str = "doc_id", ids: str = "ids") -
 
     def run(keys, sequences):
         pieces = per_process(("pieces", model), lambda: Pieces(model))
-        return {key: keys, "text": [None if s is None else pieces.decode(s) for s in sequences]}
+        return {key: keys, "text": [None if s is None else pieces.decode(s).decode("utf-8", "replace") for s in sequences]}
 
     import pyarrow as pa
     from pyspark.sql import types as T
