@@ -12,6 +12,7 @@ TRICKY = ["", "plain", "</turn>\n", "<next/>", '<turn role="user">', "&lt;", "&a
 def rows():
     out = [(i, t, ["system", "user", "assistant", "assistant"][t % 4], TRICKY[(i + t) % len(TRICKY)], "x", "y") for i in range(12) for t in range(i + 1)]
     out += [(50, 0, None, None, None, None), (50, 0, "assistant", None, None, None), (50, None, 'odd"<&role', "z", None, None)]
+    out += [(53, 0, "user", t, None, None) for t in ("<", "1", "&", "a")] + [(53, 0, r, "t", None, None) for r in ("<", "&", "1")]
     out += [(None, 1, "user", "same", None, None)] * 2 + [(51, 0, "assistant", "w " * 50_000, None, None)]
     out += [(52, t, "user" if t % 3 else "assistant", "t%d" % t, None, None) for t in range(2_000)]
     return out

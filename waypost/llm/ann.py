@@ -9,7 +9,7 @@ until that CDF reaches CONFIDENCE.
 
 The projections are indexed by a kd-tree, grown on a bounded sample of them;
 its leaves split all rows, and each leaf is one bounded group (a leaf with more
-rows than LEAF_ROWS is dealt over several tasks). A query first searches its
+rows than twice what was aimed at is dealt over several tasks). A query first searches its
 own leaf. The k-th distance found there bounds the projected radius that the
 test can ever need, and the query goes only to the leaves that this ball
 touches. Each visit runs the test with the radius known so far and returns at
@@ -39,6 +39,8 @@ from waypost.session import materialize
 M, CONFIDENCE, K = 8, 0.98, 10
 #: Rows of the sample that places the cuts, rows aimed at in a leaf, queries that meet a leaf in one task.
 SAMPLE_ROWS, LEAF_ROWS, CROWD = 20_000, 4_096, 16_384
+#: Least rows aimed at in a leaf, and leaves aimed at for each core.
+SMALL_LEAF, LEAVES_PER_CORE = 128, 4
 SEED = 17
 
 
@@ -174,6 +176,8 @@ def nearest(rows: DataFrame, is_query: Column, key: str = "vec_id", vector: str
     flat = whole.where(usable(F.col("v"), dims) & F.col("id").isNotNull())
     data = materialize(flat.mapInPandas(project, "id bigint, v array<double>, q boolean, p array<double>"))
     n = data.count()
+    # Few rows are cut finer, so that every core has leaves.
+    leaf_rows = min(leaf_rows, max(SMALL_LEAF, n // (LEAVES_PER_CORE * data.sparkSession.sparkContext.defaultParallelism)))
     sample = data.select("p").sample(min(1.0, SAMPLE_ROWS / max(1, n)), seed=seed).limit(2 * SAMPLE_ROWS) if n > SAMPLE_ROWS else data.select("p")
     tree = grow(np.array([r.p for r in sample.collect()], float).reshape(-1, M), max(1, -(-n // leaf_rows)))
     level = chi_square_quantile(confidence)

@@ -50,11 +50,13 @@ def format_chats(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", ro
         F.col(conv).alias("c"),
         F.struct(
             F.col(turn).alias("turn"),
-            escape_role(F.coalesce(F.col(role), F.lit(""))).alias("role"),
-            escape(F.coalesce(F.col(text), F.lit(""))).alias("text"),
+            F.coalesce(F.col(role), F.lit("")).alias("role"),
+            F.coalesce(F.col(text), F.lit("")).alias("text"),
         ).alias("one"),
     )
-    sorted_turns = rows.groupBy("c").agg(F.sort_array(F.collect_list("one")).alias("turns"))
+    # Ties of the turn number go by role and text as they are, so escapes come after the order.
+    escaped = lambda one: F.struct(escape_role(one["role"]).alias("role"), escape(one["text"]).alias("text"))
+    sorted_turns = rows.groupBy("c").agg(F.transform(F.sort_array(F.collect_list("one")), escaped).alias("turns"))
 
     def segment(one: Column, i: Column) -> Column:
         first = (i == 0) | (F.get("turns", i - 1)["role"] != one["role"])
