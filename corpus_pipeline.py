@@ -1,4 +1,11 @@
-"""Corpus pipeline: quality rules, SimHash near-dedup, personal data, packing."""
+"""Corpus pipeline: quality rules, SimHash near-dedup, personal data, packing.
+
+Null texts are empty and leave with the quality rules; rows without a key, with
+a repeated key or with further columns go through every stage as they are. Of
+linked texts the one with the least key stays (those without a key last), of
+rows with one key and one text one. Without a column ``n_chars`` none is made.
+An empty table gives an empty result.
+"""
 
 from __future__ import annotations
 
@@ -23,6 +30,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data masked by its kind; n_chars follows the text."""
     masked = pii.redact(docs, pii.fit(pii.labelled_windows(docs)))
+    if "n_chars" not in docs.columns:
+        return masked
     return masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
