@@ -8,9 +8,6 @@ from check_oracles import canonical
 from waypost.plans.fixtures import TABLES
 
 QUERIES, ORACLES = entry_points.queries(), entry_points.oracle_sql()
-# Long runs that check_oracles.py covers at sf0.01.
-SLOW = {"panel_detectors", "perimeter_runs", "perimeter_reports", "detector_ensemble", "knn_routes", "within_radius", "dbscan_cluster_counts", "lof_flags", "dbscan_severity"}
-
 
 @pytest.fixture(scope="module")
 def con(sf):
@@ -24,7 +21,7 @@ def test_registry():
     assert set(ORACLES) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(set(ORACLES) - SLOW))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_oracle(spark, sf, con, name):
     df = QUERIES[name](spark, sf)
     have = canonical([tuple(r) for r in df.collect()], df.columns)

@@ -93,15 +93,17 @@ def cardinality_buckets(df: DataFrame, warn: int = WARN_CARDINALITY, high: int =
 
 
 def distinct_values(df: DataFrame, cols: Sequence[str], limit: int = HIGH_CARDINALITY) -> DataFrame:
-    """Sorted distinct values of the columns that have at most ``limit`` of them.
+    """Number of distinct values per column, and the sorted values where there are at most ``limit`` (else null).
 
-    Columns over the limit are removed by their count first, so no list longer
-    than ``limit`` is ever built.
+    Columns are counted first, long texts by their digests; only the values of
+    the columns under the limit are exchanged, and no list is longer than it.
     """
-    values = value_frequencies(df, cols).filter(F.col("value").isNotNull())
-    narrow = values.groupBy("column_name").agg(F.count(F.lit(1)).alias("_d")).filter(F.col("_d") <= limit)
-    kept = values.join(narrow.select("column_name"), "column_name", "left_semi")
-    return kept.groupBy("column_name").agg(F.array_sort(F.collect_list("value")).alias("values_sorted"))
+    counts = profile(df, cols).select("column_name", F.col("cardinality").alias("n_distinct"))
+    # One row per column.
+    narrow = F.broadcast(counts.filter(F.col("n_distinct").between(1, limit)).select("column_name"))
+    values = melt(df, cols).filter(F.col("value").isNotNull()).join(narrow, "column_name", "left_semi").groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+    lists = values.groupBy("column_name").agg(F.array_sort(F.collect_list("value")).alias("values_sorted"))
+    return counts.join(lists, "column_name", "left")
 
 
 def missing_counts(df: DataFrame, name: str) -> DataFrame:

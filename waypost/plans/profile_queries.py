@@ -91,7 +91,10 @@ def _(spark, sf):
 
 @query(
     "distinct_values",
-    " UNION ALL ".join(f"SELECT '{c}' AS column_name, list_sort(list(DISTINCT {c})) AS values_sorted FROM documents" for c in ("lang", "source")),
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(DISTINCT {c}) AS n_distinct, CASE WHEN count(DISTINCT {c}) BETWEEN 1 AND 100 THEN list_sort(list(DISTINCT {c}) FILTER ({c} IS NOT NULL)) END AS values_sorted FROM documents"
+        for c in ("lang", "source", "text")
+    ),
 )
 def _(spark, sf):
     return C.distinct_values(table(spark, sf, "documents"), ["lang", "source", "text"], limit=100)
