@@ -183,6 +183,7 @@ def tag_perimeters(reduced: DataFrame, perimeters: DataFrame) -> DataFrame:
     The list of perimeters holds at most two entries per airport code.
     """
     wanted = perimeters.select("perimeter_id").distinct()
+    # Two entries per airport code and the whole: thousands, whatever the data. Dealt by perimeter, the whole would be one task.
     return _tagged(reduced).join(F.broadcast(wanted), "perimeter_id", "left_semi")
 
 
@@ -196,6 +197,7 @@ def traveler_routes_by_perimeter(tagged: DataFrame, k_nat: int = 3, k_doc: int =
     wide = tagged
     for col, slot, k, exclude in _slots(k_nat, k_doc, k_out):
         top = top_categories(tagged, col, k, exclude, "n", by).select(*by, F.col("value").alias(col), F.col("place").alias(slot))
+        # At most ``k`` rows per perimeter, of which there are two per airport code and the whole.
         wide = wide.join(F.broadcast(top), [*by, col], "left")
     aggs = _totals()
     for i in range(1, k_nat + 1):

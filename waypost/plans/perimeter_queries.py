@@ -216,6 +216,34 @@ def _(spark, sf):
     return _batched(spark, sf).reports
 
 
+@query(
+    "perimeter_run_checks",
+    f"{_PR} SELECT perimeter_id, count(*) AS n_routes, count(*) >= {vocab.MIN_ROUTES} AS scored, TRUE AS votes_add_up, TRUE AS flags_within_share FROM pr GROUP BY 1",
+)
+def _(spark, sf):
+    """Every perimeter of a batched run: its routes, whether it is scored at all, its votes, and no more forest and LOF flags than the contamination allows."""
+    scored = _batched(spark, sf).scored
+    votes = sum((F.col(f) for f in FLAGS[1:]), F.col(FLAGS[0]))
+    most = F.ceil(F.lit(vocab.CONTAMINATION) * F.count(F.lit(1)))
+    return scored.groupBy(SCOPE).agg(
+        F.count(F.lit(1)).alias("n_routes"), F.bool_or(F.col("if_score").isNotNull()).alias("scored"), F.bool_and(F.col("anomaly_votes") == votes).alias("votes_add_up"),
+        ((F.sum("if_anomaly") <= most) & (F.sum("lof_anomaly") <= most)).alias("flags_within_share"),
+    )
+
+
+@query(
+    "perimeter_report_checks",
+    f"{_PR}, n AS (SELECT perimeter_id, count(*) AS n_routes FROM pr GROUP BY 1) SELECT request_id, status, "
+    f"CASE WHEN status = 'ready' THEN CAST(coalesce(n_routes, 0) AS VARCHAR) END AS routes_named, CASE WHEN status <> 'ready' THEN CASE status WHEN 'invalid_input' THEN '{H.NO_MATCH}' ELSE 'No records found for ' || role || ' IATA = ' || iata || '.' END END AS reason_named "
+    "FROM status LEFT JOIN n USING (perimeter_id)",
+)
+def _(spark, sf):
+    """The numbers and reasons that the reports of a batched run name, read out of their texts."""
+    reports = _batched(spark, sf).reports
+    routes, reason = F.regexp_extract("report_md", r"Routes analysed: \*\*(\d+)\*\*", 1), F.regexp_extract("report_md", r"\*\*Reason\*\*: (.*)\n", 1)
+    return reports.select("request_id", "status", F.nullif(routes, F.lit("")).alias("routes_named"), F.nullif(reason, F.lit("")).alias("reason_named"))
+
+
 @query(
     "report_payload",
     f"{POST}, lv AS (SELECT risk_level, count(*) AS n FROM clean GROUP BY 1) SELECT (SELECT count(*) FROM scored) AS n_routes, (SELECT count(*) FROM clean) AS n_consensus, "
