@@ -58,16 +58,18 @@ def quantiles(
     wanted_ranks = F.array(*[F.lit(float(r)) for r in sorted(ranks)])
     sketches = (fixed.groupBy(*by) if by else fixed.groupBy()).agg(*[F.kll_sketch_agg_double(f"_v{i}", F.lit(SKETCH)).alias(f"_s{i}") for i in range(len(cols))])
     # A sketch without values has no quantiles.
-    cuts = sketches.select(
-        *by,
-        *[F.when(F.kll_sketch_get_n_double(f"_s{i}") > 0, F.array_distinct(F.kll_sketch_get_quantile_double(f"_s{i}", wanted_ranks))).alias(f"_s{i}") for i in range(len(cols))],
-    )
-    cells = [
-        F.struct(F.lit(i).alias("_c"), F.col(f"_v{i}").alias("_v"), F.size(F.filter(f"_s{i}", lambda s, v=F.col(f"_v{i}"): s < v)).alias("_b")) for i in range(len(cols))
+    cut = [
+        F.struct(F.lit(i).alias("_c"), F.when(F.kll_sketch_get_n_double(f"_s{i}") > 0, F.array_distinct(F.kll_sketch_get_quantile_double(f"_s{i}", wanted_ranks))).alias("_cuts"))
+        for i in range(len(cols))
     ]
-    wide = join_groups(fixed, cuts, by) if by else attach(fixed, cuts)
+    # Sketches draw at random: written once, so that counting and selecting see the same cuts.
+    cuts = materialize(sketches.select(*by, F.inline(F.array(*cut))))
     weight_col = F.col("_w") if weight else F.lit(1).cast("bigint").alias("_w")
-    placed = wide.select(*by, weight_col, F.inline(F.array(*cells))).filter(F.col("_v").isNotNull())
+    cells = F.inline(F.array(*[F.struct(F.lit(i).alias("_c"), F.col(f"_v{i}").alias("_v")) for i in range(len(cols))]))
+    values = fixed.select(*by, weight_col, cells).filter(F.col("_v").isNotNull())
+    # Without groups there is one row of cuts per column.
+    wide = join_groups(values, cuts, key) if by else values.join(F.broadcast(cuts), "_c")
+    placed = wide.select(*key, "_v", "_w", F.size(F.filter("_cuts", lambda s: s < F.col("_v"))).alias("_b"))
 
     totals = placed.groupBy(*key, "_b").agg(F.sum("_w").alias("_n")).filter(F.col("_n") > 0)
     in_order = W.partitionBy(*key).orderBy("_b")
@@ -108,7 +110,7 @@ def quantiles(
     aggs = [F.array(*[one(i, j) for j in range(len(qs))]).alias(c) for i, c in enumerate(cols)]
     if not by:
         return solved.agg(*aggs)
-    return join_groups(sketches.select(*by), solved.groupBy(*by).agg(*aggs), by, "left")
+    return join_groups(cuts.select(*by).distinct(), solved.groupBy(*by).agg(*aggs), by, "left")
 
 
 def melt(df: DataFrame, cols: Sequence[str], name: str = "column_name", value: str = "value", keep: Sequence[str] = ()) -> DataFrame:
