@@ -1,3 +1,4 @@
+import hashlib
 import re
 import time
 
@@ -168,3 +169,16 @@ def test_sampled_excerpts_have_every_kind_and_no_repeats(spark):
     got = pii.labelled_windows(spark.createDataFrame(rows, "doc_id bigint, text string"))
     assert len({t for t, _ in got}) == len(got) and {s.kind for _, spans in got for s in spans} == set(pii.KINDS)
     assert any(t == "x@y.org" for t, _ in got)
+
+
+def test_counts_are_of_base_spans(spark, model):
+    """Spans that the model adds are in ``spans`` and ``n_added`` only."""
+    texts = ["mail abc.12@mail3.example.com or jane.doe (at) mail (dot) org, que le reste", "erntou +1 (269) 555-3296 and 42.1.3.200, a@b.c", None, "x 1.2.3.256 (212) 555-0123 1.2.3.4.5.6.7.8"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    rows = {r.doc_id: r for r in pii.digest(docs, model).collect()}
+    for i, t in enumerate(texts):
+        want = plain(t or "")
+        assert [rows[i][f"n_{k}"] for k in pii.KINDS] == [sum(s.kind == k for s in want) for k in pii.KINDS]
+        assert rows[i].base_sha256 == hashlib.sha256(pii.joined(want).encode()).hexdigest()
+        assert rows[i].n_added == len(rows[i].spans.split(",")) * (rows[i].spans != "") - len(want)
+    assert rows[0].n_added > 0

@@ -467,20 +467,21 @@ def find(docs: DataFrame, model: Tagger, key: str = "doc_id", text: str = "text"
 
 
 def digest(docs: DataFrame, model: Tagger, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Counts by kind, the hash of the base spans, and all spans as text."""
+    """Counts of the base spans by kind, their hash, all spans as text, and the number that the model added."""
     kind = docs.schema[key].dataType.simpleString()
 
     def run(keys, texts):
-        out: dict[str, list] = {key: keys, **{f"n_{k}": [] for k in KINDS}, "base_sha256": [], "spans": []}
+        out: dict[str, list] = {key: keys, **{f"n_{k}": [] for k in KINDS}, "base_sha256": [], "spans": [], "n_added": []}
         for base, every in all_spans(model, texts):
             for k in KINDS:
-                out[f"n_{k}"].append(sum(s.kind == k for s in every))
+                out[f"n_{k}"].append(sum(s.kind == k for s in base))
             rank = sorted(base, key=lambda s: (KINDS.index(s.kind), s.start))
             out["base_sha256"].append(hashlib.sha256(joined(rank).encode()).hexdigest())
             out["spans"].append(joined(every))
+            out["n_added"].append(len(every) - len(base))
         return out
 
-    schema = f"`{key}` {kind}, " + ", ".join(f"n_{k} bigint" for k in KINDS) + ", base_sha256 string, spans string"
+    schema = f"`{key}` {kind}, " + ", ".join(f"n_{k} bigint" for k in KINDS) + ", base_sha256 string, spans string, n_added bigint"
     return map_texts(docs.select(F.col(key), text_of(text).alias("_text")), schema, run)
 
 
