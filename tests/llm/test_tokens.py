@@ -89,6 +89,22 @@ def test_every_plain_character_matches_library():
     assert got == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_plain_texts_look_up_each_distinct_word_once():
+    class Counted(dict):
+        lookups = 0
+
+        def __getitem__(self, key):
+            Counted.lookups += 1
+            return dict.__getitem__(self, key) if key in self else self.setdefault(key, encoder.merge(key))
+
+    library, encoder = Tokenizer.from_file(WORDS), bitplanes.WordEncoder(WORDS)
+    encoder.pretokens = Counted()
+    texts = ["The same few words, they're said 7 times.\n" * 200, "", "the SAME été", "日本 words", " ", "the"]
+    got = [np.frombuffer(b, "<u4").tolist() for b in encoder.encode(texts)]
+    assert got == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert Counted.lookups == len(encoder.pretokens) < 15
+
+
 @pytest.mark.parametrize("kind", ["bit", "byte"])
 def test_file_edges(spark, edge_docs, no_docs, monkeypatch, kind):
     library = Tokenizer.from_file(WORDS)
