@@ -109,3 +109,35 @@ def test_edges(spark, edge_docs, no_docs, pieces):
     assert {(r.doc_id, r.text_sha256) for r in digests} == texts and len(digests) == len(rows)
     with pytest.raises(ValueError, match="between"):
         lattice.sample_digests(edge_docs, MODEL, k=1_000)
+
+
+def test_forgetting_keeps_words_in_use(pieces, monkeypatch):
+    """Words that come in every call are built once, though the table of words overflows again and again."""
+    built, build = Counter(), lattice.build
+    monkeypatch.setattr(lattice, "build", lambda p, own: built.update(own) or build(p, own))
+    monkeypatch.setattr(lattice, "MOST_WORDS", 12)
+    words = lattice.Words(pieces)
+    for i in range(30):
+        text = f"the cat {'abcdefghij'[i % 10] * (2 + i // 10)} once{i}"
+        got = lattice.sample_texts(words, [text], [i], 3)[0]
+        want = lattice.sample_texts(lattice.Words(pieces), [text], [i], 3)[0]
+        built.subtract(lattice.words_of(text))  # those of the fresh table
+        assert [s.ids.tolist() for s in got] == [s.ids.tolist() for s in want]
+    assert built["the"] == built["cat"] == 1 and len(words.number) <= 16
+
+
+def test_words_of_all_texts(pieces):
+    texts = ["a b", "", " lead", "c", "d  e ", "\u2581f g", "é\n x", " "]
+    words, counts = lattice.words_of_all(texts)
+    assert words.to_pylist() == [w.encode() for t in texts for w in lattice.words_of(t)]
+    assert counts == [len(lattice.words_of(t)) for t in texts]
+
+
+def test_far_sets_wait_together(pieces, monkeypatch):
+    """With FAR at zero only the first word's set is split off singly; second samples keep their distribution."""
+    monkeypatch.setattr(lattice, "FAR", 0.0)
+    want, n = brute(pieces, "a the b"), 4_000
+    got = lattice.sample_texts(pieces, ["a the b"] * n, list(range(n)), 4)
+    second = Counter((tuple(s[0].ids.tolist()), tuple(s[1].ids.tolist())) for s in got)
+    gap = sum(abs(second[i, j] / n - math.exp(want[i] + want[j]) / (1 - math.exp(want[i]))) for i in want for j in want if i != j) / 2
+    assert gap < 0.08 and all(len({tuple(s.ids.tolist()) for s in x}) == 4 for x in got)

@@ -33,6 +33,7 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import itertools
 import math
 import random
 import re
@@ -40,6 +41,7 @@ import zlib
 from typing import NamedTuple
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,6 +51,8 @@ from waypost.llm.common import map_texts, per_process, text_of
 K, ALPHA, SEED = 3, 1.0, 2024
 #: Shift of the Zipf-Mandelbrot law; bytes of text sampled at once; word lattices remembered; words split off singly.
 SHIFT, SLICE, MOST_WORDS, NEAR = 2.7, 2 << 20, 400_000, 10
+#: Words behind the one where a path's log-probability has fallen by this are not split off singly.
+FAR = 2.5
 #: Ids decoded at once, about.
 DECODED = 1 << 17
 #: Paths of a word are counted up to this; k is smaller.
@@ -99,9 +103,9 @@ class Pieces:
 
     def spell(self, word: str) -> str:
         """The word after its space mark, characters without a piece as byte signs."""
+        if self.plain and word.isascii() and word.isprintable() and " " not in word:
+            return MARK + word
         word = MARK + word.replace(" ", MARK)
-        if self.plain and word[1:].isascii() and word[1:].isprintable():
-            return word
         return self.unknown.sub(lambda m: "".join(chr(BYTE_BASE + b) for b in m[0].encode("utf-8", "surrogatepass")), word)
 
     def decode(self, ids) -> bytes:
@@ -132,24 +136,59 @@ def words_of(text: str) -> list[str]:
     """Stretches that start at a space (the first at the mark put before a text), without that space."""
     if not text:
         return []
-    if "  " in text or text[0] == " " or text[-1] == " " or MARK in text:
+    if spaced(text):
         return re.findall(r" ( *[^ ]*)", " " + text.replace(MARK, " "))
     return text.split(" ")
 
 
+def spaced(text: str) -> bool:
+    """True where words may hold spaces themselves."""
+    return "  " in text or text[0] == " " or text[-1] == " " or MARK in text
+
+
+def words_of_all(texts: list[str]) -> tuple[pa.Array, list[int]]:
+    """The words of all texts in a row, in UTF-8, and how many each text has."""
+    parts, counts, plain = [pa.array([], pa.binary())], [], []
+
+    def split() -> None:
+        if plain:
+            data = np.frombuffer(" ".join(plain).encode("utf-8", "surrogatepass"), np.uint8)
+            gaps = np.flatnonzero(data == ord(" "))
+            starts = np.concatenate([[0], gaps - np.arange(len(gaps)), [len(data) - len(gaps)]]).astype(np.int32)
+            parts.append(pa.Array.from_buffers(pa.binary(), len(starts) - 1, [None, pa.py_buffer(starts), pa.py_buffer(data[data != ord(" ")])]))
+            plain.clear()
+
+    for text in texts:
+        if text and not spaced(text):
+            plain.append(text)
+            counts.append(text.count(" ") + 1)
+        else:
+            split()
+            own = words_of(text)
+            parts.append(pa.array([w.encode("utf-8", "surrogatepass") for w in own], pa.binary()))
+            counts.append(len(own))
+    split()
+    return pa.concat_arrays(parts), counts
+
+
+#: An edge: running sum of cond inside its node (the last above 1) and before the edge, its probability given its node,
+#: the node behind it, its piece. What a draw needs of an edge lies together.
+EDGE = np.dtype([("cum", "f8"), ("low", "f8"), ("cond", "f8"), ("to", "i4"), ("piece", "i4")])
+
+
 class Lattice(NamedTuple):
     """Word lattices side by side. Edges are sorted by the node that they leave."""
 
     root: np.ndarray  # node where each word starts
     first: np.ndarray  # first edge of each node; one more at the end
-    to: np.ndarray
-    piece: np.ndarray
-    cond: np.ndarray  # probability of an edge given its node
-    cum: np.ndarray  # running sum of cond inside a node, the last above 1
-    low: np.ndarray  # running sum before an edge
+    edge: np.ndarray
     paths: np.ndarray  # paths from each node to its word's end, up to MOST_PATHS
     final: np.ndarray  # True for nodes at a word's end
 
+    @property
+    def cond(self) -> np.ndarray:
+        return self.edge["cond"]
+
 
 def build(pieces: Pieces, words: list[str]) -> Lattice:
     """All lattices of some distinct words at once."""
@@ -183,7 +222,7 @@ def build(pieces: Pieces, words: list[str]) -> Lattice:
     start = np.repeat(np.arange(total), degree)
     to, piece, weight = (np.empty(len(start), kind) for kind in (np.int64, np.int32, float))
     for own, rank, n, slot in rows:
-        place = first[own] + rank
+        place = first[own + 1] - 1 - rank  # longest first: the most probable, as a rule, so that draws find theirs soon
         to[place], piece[place], weight[place] = own + n, pieces.tables[n - 1][1][slot], pieces.tables[n - 1][2][slot]
     del rows
     back, paths = np.zeros(total), np.ones(total, np.int64)
@@ -212,27 +251,36 @@ def build(pieces: Pieces, words: list[str]) -> Lattice:
     low = cum - cond
     if len(start):
         cum[np.append(np.flatnonzero(start[1:] != start[:-1]), len(start) - 1)] = 2.0
-    return Lattice(root, first.astype(np.int32), to.astype(np.int32), piece.astype(np.int32), cond, cum, low, paths.astype(np.int16), ~letters)
+    edge = np.empty(len(start), EDGE)
+    edge["cum"], edge["low"], edge["cond"], edge["to"], edge["piece"] = cum, low, cond, to, piece
+    return Lattice(root, first.astype(np.int32), edge, paths.astype(np.int16), ~letters)
 
 
 class Numbers(dict):
     """Numbers words as they come; ``new`` has those numbered since it was last emptied."""
 
     def __init__(self):
-        self.new: list[str] = []
+        self.new: list[bytes] = []
 
-    def __missing__(self, word: str) -> int:
+    def __missing__(self, word: bytes) -> int:
         self.new.append(word)
         self[word] = number = len(self)
         return number
 
 
+def copy(to: np.ndarray, at: int, part: np.ndarray) -> None:
+    """``to[at:]`` begins with ``part``; numpy copies records field by field, their bytes are copied at once."""
+    size = part.dtype.itemsize
+    to.view(np.uint8)[at * size : (at + len(part)) * size] = part.view(np.uint8)
+
+
 class Words:
     """Lattices of the words seen lately, in arrays with room to grow."""
 
     def __init__(self, pieces: Pieces):
         self.pieces = pieces
         self.number, self.arrays, self.size = Numbers(), {}, {"words": 0, "nodes": 0, "edges": 0}
+        self.uses = np.zeros(0, np.int32)  # calls that asked for each word
         self.add(build(pieces, []))
 
     @property
@@ -241,32 +289,62 @@ class Words:
 
     def add(self, more: Lattice) -> None:
         """Append lattices; node and edge numbers move behind those that are there."""
-        shift = {"root": self.size["nodes"], "first": self.size["edges"], "to": self.size["nodes"]}
+        shift = {"root": self.size["nodes"], "first": self.size["edges"]}
         for name, new in zip(Lattice._fields, more):
             at = self.size[COUNTED[name]]
             held = self.arrays.get(name)
             if held is None or len(held) < at + len(new):
                 grown = np.empty(2 * (at + len(new)) + 1, new.dtype)
                 if held is not None:
-                    grown[:at] = held[:at]
+                    copy(grown, 0, held[:at])
                 self.arrays[name] = held = grown
-            held[at : at + len(new)] = new + new.dtype.type(shift[name]) if name in shift else new
-        for kind, n in (("words", len(more.root)), ("nodes", len(more.final)), ("edges", len(more.to))):
+            copy(held, at, new + new.dtype.type(shift[name]) if name in shift else new)
+            if name == "edge":
+                held["to"][at : at + len(new)] += self.size["nodes"]
+        for kind, n in (("words", len(more.root)), ("nodes", len(more.final)), ("edges", len(more.edge))):
             self.size[kind] += n
 
-    def find(self, words: list[str]) -> np.ndarray:
+    def find(self, words: pa.Array) -> np.ndarray:
         """Root of each word's lattice; builds those that are missing."""
         if len(self.number) > MOST_WORDS:
-            self.number, self.size = Numbers(), dict.fromkeys(self.size, 0)
-        which = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+            self.forget(MOST_WORDS // 4)
+        distinct = words.dictionary_encode()
+        own = distinct.dictionary.to_numpy(zero_copy_only=False).tolist()
+        which = np.fromiter(map(self.number.__getitem__, own), np.int64, len(own))
         if self.number.new:
             new, self.number.new = self.number.new, []
-            self.add(build(self.pieces, new))
-        return self.lattice.root[which]
+            self.add(build(self.pieces, [w.decode("utf-8", "surrogatepass") for w in new]))
+            self.uses = np.append(self.uses, np.zeros(len(new), np.int32))
+        self.uses[which] += 1
+        return self.lattice.root[which][distinct.indices.to_numpy()]
+
+    def forget(self, most: int) -> None:
+        """Keep the lattices of about ``most`` words, those that were asked for most often."""
+        lat = self.lattice
+        kept = np.sort(np.argsort(-self.uses, kind="stable")[:most])
+        node = np.append(lat.root, len(lat.final))
+        nodes = node[kept + 1] - node[kept]
+        at = ranges(node[kept], nodes)
+        edge = lat.first.astype(np.int64)[node]
+        edges = edge[kept + 1] - edge[kept]
+        own = lat.edge.take(ranges(edge[kept], edges))
+        root, start = np.cumsum(nodes) - nodes, np.cumsum(edges) - edges
+        own["to"] += np.repeat(root - node[kept], edges).astype(np.int32)
+        first = lat.first[at] + np.repeat(start - edge[kept], nodes)
+        less = Lattice(root, np.append(first, len(own)).astype(np.int32), own, lat.paths[at], lat.final[at])
+        old, self.number = list(self.number), Numbers()
+        self.number.update((old[k], i) for i, k in enumerate(kept.tolist()))
+        self.uses, self.size = self.uses[kept] // 2, dict.fromkeys(self.size, 0)
+        self.add(less)
+
+
+def ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... of each range, one range after another."""
+    return np.arange(size.sum()) + np.repeat(start - (np.cumsum(size) - size), size)
 
 
 #: What the entries of a lattice's arrays count.
-COUNTED = {"root": "words", "first": "nodes", "to": "edges", "piece": "edges", "cond": "edges", "cum": "edges", "low": "edges", "paths": "nodes", "final": "nodes"}
+COUNTED = {"root": "words", "first": "nodes", "edge": "edges", "paths": "nodes", "final": "nodes"}
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -292,32 +370,35 @@ class Draw(NamedTuple):
 def draw(lat: Lattice, roots: np.ndarray, counter: np.ndarray) -> Draw:
     """One path from each root, by forward sampling with the noise of ``counter``."""
     node, who = roots, np.arange(len(roots))
-    logp, count = np.zeros(len(roots)), np.zeros(len(roots), np.int64)
-    u, steps, step = uniform(counter), [], 0
+    count = np.zeros(len(roots), np.int64)
+    u, steps, step, cum = uniform(counter), [], 0, lat.edge["cum"]
     while True:
-        go = ~lat.final[node]
-        if not go.all():
+        ends = lat.final[node]
+        if ends.any():
+            count[who[ends]] = step
+            go = np.flatnonzero(~ends)
             node, who, u = node[go], who[go], u[go]
         if not len(node):
             break
         if step and step % 6 == 0:
             u = uniform(counter[who] + U(step * GOLDEN % (1 << 64)))
-        edge = lat.first[node].copy()
-        late = np.flatnonzero(u > lat.cum[edge])
+        edge = lat.first[node].astype(np.intp)
+        late = np.flatnonzero(u > cum[edge])
         while len(late):
             edge[late] += 1
-            late = late[u[late] > lat.cum[edge[late]]]
-        p = lat.cond[edge]
-        u = np.clip((u - lat.low[edge]) / p, 1e-16, 1 - 1e-16)
-        logp[who] += np.log(p)
-        count[who] += 1
-        steps.append((who, edge))
-        node, step = lat.to[edge], step + 1
+            late = late[u[late] > cum[edge[late]]]
+        taken = lat.edge.take(edge)
+        p = np.ascontiguousarray(taken["cond"])
+        u = np.clip((u - taken["low"]) / p, 1e-16, 1 - 1e-16)
+        steps.append((who, edge, p))
+        node, step = taken["to"].astype(np.intp), step + 1
     offset = np.concatenate([[0], np.cumsum(count)])
-    out = np.empty(offset[-1], np.int64)
-    for n, (who, edge) in enumerate(steps):
-        out[offset[who] + n] = edge
-    return Draw(out, offset, logp)
+    out, probs = np.empty(offset[-1], np.int64), np.empty(offset[-1])
+    for n, (who, edge, p) in enumerate(steps):
+        place = offset[who] + n
+        out[place], probs[place] = edge, p
+    logs = np.add.reduceat(np.log(probs), offset[:-1]) if len(roots) else probs  # a word has an edge at least
+    return Draw(out, offset, logs)
 
 
 def mass(lat: Lattice, path: tuple) -> float:
@@ -332,7 +413,7 @@ def draw_other(lat: Lattice, node: int, taken: list[tuple], rng: random.Random)
         edges, weights = range(low, high), lat.cond[low:high].tolist()
         for e in {t[0] for t in taken}:
             through = [t[1:] for t in taken if t[0] == e]
-            free = lat.paths[lat.to[e]] > len(through)
+            free = lat.paths[lat.edge["to"][e]] > len(through)
             weights[e - low] = max(weights[e - low] * (1 - sum(mass(lat, t) for t in through)), 1e-300) if free else 0.0
         pick, total = 0, sum(weights)
         u = rng.random() * total
@@ -344,7 +425,7 @@ def draw_other(lat: Lattice, node: int, taken: list[tuple], rng: random.Random)
         e = edges[pick]
         taken = [t[1:] for t in taken if t[0] == e]
         out.append(e)
-        node = int(lat.to[e])
+        node = int(lat.edge["to"][e])
     return tuple(out)
 
 
@@ -382,10 +463,8 @@ def log_inclusion(phi: float, kappa: float) -> float:
 def sample_texts(pieces: Pieces | Words, texts: list[str], seeds: list[int], k: int = K) -> list[list[Sample]]:
     """Up to k different segmentations of each text, in falling order of their perturbed values."""
     known = pieces if isinstance(pieces, Words) else Words(pieces)
-    words, bounds = [], [0]
-    for text in texts:
-        words += words_of(text)
-        bounds.append(len(words))
+    words, counts = words_of_all(texts)
+    bounds = [0, *itertools.accumulate(counts)]
     roots = known.find(words)
     lat = known.lattice
     del words
@@ -431,13 +510,13 @@ def sample_texts(pieces: Pieces | Words, texts: list[str], seeds: list[int], k:
             tops[n].append((top, _Path(edges, offset, logs)))
             # Behind the last winner only the greatest bound counts: all its sets wait as one.
             leave(queue, tops[n], len(tops[n]) - 1, lo, top, several[a:b], rng, near=NEAR if s < k - 1 else 0)
-    out = []
+    out, piece = [], lat.edge["piece"]
     for queue, winners in zip(queues, tops):
         kappa = -queue[0][0] if queue and len(winners) == k else -math.inf
         row = []
         for top, path in winners:
             phi = float(path.logs.sum())
-            row.append(Sample(top, phi, log_inclusion(phi, kappa), lat.piece[path.edges]))
+            row.append(Sample(top, phi, log_inclusion(phi, kappa), piece[path.edges]))
         out.append(row)
     return out
 
@@ -450,17 +529,22 @@ def leave(queue: list, winners: list, me: int, lo: int, top: float, several: np.
     """Queue the sets that leave winner ``me`` at word ``lo`` or later, all bounded by ``top``.
 
     A set's mass is the path's probability before the word, times that of any
-    other path there. The nearest words get a set each, the others share one.
+    other path there. The nearest words get a set each, the others share one,
+    from where the path's probability has fallen by exp(-FAR) at the latest.
     With ``best`` one set, drawn by mass, has exactly ``top``, as a set that is
     split hands its bound on.
     """
     path = winners[me][1]
     near = min(len(path.logs) - lo, near)
     prefix, sets = float(path.logs[:lo].sum()), []
+    far = prefix - FAR
     for word, (log, many) in enumerate(zip(path.logs[lo : lo + near].tolist(), several[lo : lo + near].tolist()), lo):
         if many:
             sets.append((prefix + math.log(max(-math.expm1(log), 1e-300)), word))
         prefix += log
+        if prefix < far:
+            near = word + 1 - lo
+            break
     if len(path.logs) > lo + near and several[lo + near :].any():
         sets.append((prefix + math.log(max(-math.expm1(float(path.logs[lo + near :].sum())), 1e-300)), -1))
     pick = rng.choices(range(len(sets)), [math.exp(max(phi - sets[0][0], -700.0)) for phi, _ in sets])[0] if best and sets else -1
@@ -531,7 +615,6 @@ def decode(rows: DataFrame, model: str, key: str = "doc_id", ids: str = "ids") -
         pieces = per_process(("pieces", model), lambda: Pieces(model))
         return {key: keys, "text": [None if s is None else pieces.decode(s).decode("utf-8", "replace") for s in sequences]}
 
-    import pyarrow as pa
     from pyspark.sql import types as T
     from pyspark.sql.pandas.types import to_arrow_schema
 
