@@ -68,7 +68,7 @@ def _(spark, sf):
 @query("knn_vectors_blocked", f"{EMB_PAIRS} SELECT p AS vec_id, o AS neighbor, {R('dist')} AS dist, place FROM ranked WHERE place <= 5")
 def _(spark, sf):
     """Same search with small blocks, so that block routing is exercised."""
-    out = N.knn(_embeddings(spark, sf), "vec_id", "embedding", 5, block_rows=128)
+    out = N.knn(_embeddings(spark, sf), "vec_id", "embedding", 5, block_rows=128, written=True)
     return out.select("vec_id", "neighbor", r6("dist"), "place")
 
 
