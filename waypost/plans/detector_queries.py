@@ -99,7 +99,7 @@ SELECT p AS vec_id, o AS neighbor, {R('dist')} AS dist, place FROM ranked WHERE
 def _(spark, sf):
     e = _embeddings(spark, sf).select("vec_id", "embedding")
     both = e.unionByName(e.withColumn("vec_id", F.col("vec_id") + 1000000))
-    return N.knn(both, "vec_id", "embedding", 4).select("vec_id", "neighbor", r6("dist"), "place")
+    return N.knn(both, "vec_id", "embedding", 4, written=True).select("vec_id", "neighbor", r6("dist"), "place")
 
 
 @query(
