@@ -61,7 +61,7 @@ def _embeddings(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("knn_vectors", f"{EMB_PAIRS} SELECT p AS vec_id, o AS neighbor, {R('dist')} AS dist, place FROM ranked WHERE place <= 5")
 def _(spark, sf):
-    out = N.knn(_embeddings(spark, sf), "vec_id", "embedding", 5)
+    out = N.knn(_embeddings(spark, sf), "vec_id", "embedding", 5, written=True)
     return out.select("vec_id", "neighbor", r6("dist"), "place")
 
 
